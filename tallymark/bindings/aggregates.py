@@ -231,15 +231,15 @@ register(
 )
 register(
     "agg_usage_status",
-    lambda t: rounded(usage.usage_status(t("usage_log").withColumn("cost_usd", F.col("cost_usd").cast("double")), 7)),
-    """SELECT day, round(sum(CAST(cost_usd AS DOUBLE)), 4) AS total_cost_usd, count(DISTINCT session_id) AS session_count,
+    lambda t: rounded(usage.usage_status(t("usage_log").withColumn("cost_usd", F.col("cost_usd").cast("double")), 7), 6),
+    """SELECT day, round(sum(CAST(cost_usd AS DOUBLE)), 6) AS total_cost_usd, count(DISTINCT session_id) AS session_count,
               CAST(coalesce(sum(tokens) FILTER (session_id = 7), 0) AS BIGINT) AS session_tokens, count(*) FILTER (session_id = 7) > 0 AS session_exists
        FROM <usage_log> GROUP BY 1""",
 )
 register(
     "agg_usage_merge",
-    lambda t: rounded(usage.merge_usage(t("usage_log").withColumn("cost_usd", F.col("cost_usd").cast("double")))),
-    """SELECT day, session_id, CAST(sum(tokens) AS BIGINT) AS tokens, round(sum(CAST(cost_usd AS DOUBLE)), 4) AS cost_usd FROM <usage_log> GROUP BY 1, 2""",
+    lambda t: rounded(usage.merge_usage(t("usage_log").withColumn("cost_usd", F.col("cost_usd").cast("double"))), 6),
+    """SELECT day, session_id, CAST(sum(tokens) AS BIGINT) AS tokens, round(sum(CAST(cost_usd AS DOUBLE)), 6) AS cost_usd FROM <usage_log> GROUP BY 1, 2""",
 )
 
 

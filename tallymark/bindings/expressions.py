@@ -214,7 +214,7 @@ register(
 register(
     "prj_cost",
     lambda t: t("events").select(
-        "event_id", F.round(E.cost(F.col("value") * 1000, F.col("user_id") * 1000, 3.0, 15.0), 6).alias("cost_usd")),
+        "event_id", E.round_to(E.cost(F.col("value") * 1000, F.col("user_id") * 1000, 3.0, 15.0), 6).alias("cost_usd")),
     "SELECT event_id, round(value * 1000 / 1e6 * 3e0 + user_id * 1000 / 1e6 * 15e0, 6) AS cost_usd FROM <events>",
 )
 register(

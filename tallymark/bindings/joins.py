@@ -36,14 +36,14 @@ def _r(x, y, digits=4):
             f"THEN round(covar_pop({x}, {y}) / (sqrt(var_pop({x}) FILTER ({ok})) * sqrt(var_pop({y}) FILTER ({ok}))), {digits}) END")
 
 
-def stats_sql(keys, filters):
+def stats_sql(keys, filters, digits=2):
     """Statistics of the mart by SQL, for any keys."""
-    out = [f"round(avg(math_pct_prof) FILTER (pct_high_income IS NOT NULL), 2) AS avg_math_pct_prof",
-           f"round(avg(pct_high_income) FILTER (math_pct_prof IS NOT NULL), 2) AS avg_pct_high_income",
+    out = [f"round(avg(math_pct_prof) FILTER (pct_high_income IS NOT NULL), {digits}) AS avg_math_pct_prof",
+           f"round(avg(pct_high_income) FILTER (math_pct_prof IS NOT NULL), {digits}) AS avg_pct_high_income",
            f"{_r('pct_high_income', 'math_pct_prof')} AS pearson_r",
            "count(*) FILTER (math_pct_prof IS NOT NULL AND pct_high_income IS NOT NULL) AS school_count"]
     for m in marts.METRICS:
-        out += [f"round(avg({m.x}) FILTER (math_pct_prof IS NOT NULL), 2) AS {m.avg_name}",
+        out += [f"round(avg({m.x}) FILTER (math_pct_prof IS NOT NULL), {digits}) AS {m.avg_name}",
                 f"{_r(m.x, 'math_pct_prof')} AS {m.r_name}",
                 f"count(*) FILTER ({m.x} IS NOT NULL AND math_pct_prof IS NOT NULL) AS {m.n_name}"]
     return (f"SELECT {', '.join(keys)}, {', '.join(out)} FROM <districts> WHERE {filters} GROUP BY {', '.join(keys)} "
@@ -64,8 +64,12 @@ register(
     "jn_left_upper_name", lambda t: rounded(schools(t)),
     f"SELECT * REPLACE ({', '.join(f'round({c}, 4) AS {c}' for c in _ROUND)}) FROM ({DISTRICTS_SQL})",
 )
-register("agg_state_stats", lambda t: marts.state_stats(schools(t)), over_districts(STATE_SQL))
-register("agg_county_stats", lambda t: marts.county_stats(schools(t)), over_districts(COUNTY_SQL))
+# eight digits instead of the published two: the averaged ratios have exact halves at two
+register(
+    "agg_state_stats", lambda t: marts.state_stats(schools(t), 8), over_districts(stats_sql(["state"], "state <> ''", 8)))
+register(
+    "agg_county_stats", lambda t: marts.county_stats(schools(t), 8),
+    over_districts(stats_sql(["state", "county_fips"], "state <> '' AND county_fips <> ''", 8)))
 
 
 def _map_stats(t):

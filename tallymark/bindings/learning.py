@@ -1,12 +1,13 @@
 """Queries for model training. They have no SQL counterpart; their rows depend on the fit."""
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import functions as F
 
 from tallymark.bindings.registry import register
 from tallymark.operators import ml
-from tallymark.plans.lineage import scratch_path
+from tallymark.plans.lineage import scratch_path, settle
 
 NUMERIC = ["enrollment", "grade_eight_enrollment", "schools_in_zip", "math_counts", "math_low_pct", "read_counts",
            "read_high_pct", "avg_natwalkind", "total_10_14", "teachers_fte"]
@@ -18,7 +19,12 @@ def prepared(t):
 
 
 def _split(t):
-    return prepared(t).select("id", ml.LABEL, ml.FEATURES).randomSplit([0.7, 0.3], seed=123)
+    return _features(t).randomSplit([0.7, 0.3], seed=123)
+
+
+def _features(t):
+    """Feature rows, written once: the fits go over them many times."""
+    return settle(prepared(t).select("id", ml.LABEL, ml.FEATURES), "features")
 
 
 def _forest(seed=123):
@@ -27,8 +33,6 @@ def _forest(seed=123):
 
 def _prepare(t):
     df = prepared(t)
-    from pyspark.ml.functions import vector_to_array
-
     values = vector_to_array(ml.FEATURES)
     return df.select("id", ml.LABEL, *[F.get(values, F.lit(i)).alias(f"f{i}") for i in range(8)])
 
@@ -46,11 +50,9 @@ register("ml_tune", _tune)
 
 
 def _finalize(t):
-    df = prepared(t).select("id", ml.LABEL, ml.FEATURES)
+    df = _features(t)
     path = scratch_path(t.spark, "model")
     ml.finalize(df, Pipeline(stages=[LinearRegression(featuresCol=ml.FEATURES, labelCol=ml.LABEL)]), path)
-    from pyspark.ml import PipelineModel
-
     return ml.residuals(PipelineModel.load(path).transform(df))
 
 
@@ -67,7 +69,7 @@ register("ml_diagnostics", _diagnostics)
 
 
 def _unsupervised(t):
-    df = prepared(t).select("id", ml.FEATURES)
+    df = _features(t)
     return ml.pca(df, 2).join(ml.kmeans(df, 4), "id").join(ml.gmm(df, 2), "id")
 
 

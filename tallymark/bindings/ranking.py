@@ -73,7 +73,7 @@ register(
     "win_usage_admission",
     lambda t: rounded(
         usage.usage_admission(t("usage_log"), BUDGET, TOKEN_CAP, MAX_SESSIONS)
-        .withColumn("cost_before", F.col("cost_before").cast("double"))),
+        .withColumn("cost_before", F.col("cost_before").cast("double")), 6),
     f"""WITH a AS (SELECT *, coalesce(sum(CASE WHEN kind = 'record' THEN tokens END) OVER s, 0) AS tokens_before,
                  coalesce(sum(CASE WHEN kind = 'record' THEN 1 END) OVER s, 0) AS records_before,
                  coalesce(sum(CASE WHEN kind = 'record' THEN cost_usd END) OVER d, 0) AS cost_before,
@@ -86,7 +86,7 @@ register(
                   OR records_before > 0 AS registered FROM b),
           r AS (SELECT *, CASE WHEN cost_before >= {BUDGET} THEN 'budget' WHEN registered AND tokens_before >= {TOKEN_CAP} THEN 'session_tokens'
                   WHEN NOT registered AND sessions_before >= {MAX_SESSIONS} THEN 'max_sessions' END AS reason FROM c WHERE kind = 'authorize')
-        SELECT event_id, ts, day, session_id, reason IS NULL AS allowed, reason, round(CAST(cost_before AS DOUBLE), 4) AS cost_before,
+        SELECT event_id, ts, day, session_id, reason IS NULL AS allowed, reason, round(CAST(cost_before AS DOUBLE), 6) AS cost_before,
                CAST(tokens_before AS BIGINT) AS tokens_before FROM r""",
 )
 register(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallymark.bindings.roles import ROLES
+from tallymark.functions.exprs import round_to
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
@@ -31,18 +32,26 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._read: dict[str, DataFrame] = {}
+        self._views: set[str] = set()
         self._tag = hashlib.md5(self.folder.encode()).hexdigest()[:8]
 
     def path(self, table: str) -> str:
         return f"{self.folder}/{table}.parquet"
 
     def __call__(self, name: str) -> DataFrame:
-        if name in TABLES:
-            return self.spark.read.parquet(self.path(name))
-        return self.spark.table(self._view(name))
+        if name not in self._read:
+            if name in TABLES:
+                self._read[name] = self.spark.read.parquet(self.path(name))
+            else:
+                self._read[name] = self.spark.table(self._view(name))
+        return self._read[name]
 
     def _view(self, name: str) -> str:
         view = f"t_{self._tag}_{name}"
+        if view in self._views:
+            return view
+        self._views.add(view)
         if name in TABLES:
             self(name).createOrReplaceTempView(view)
         else:
@@ -85,7 +94,7 @@ def register(name: str, run: Callable[[Tables], DataFrame], sql: str | None = No
 def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
     """Floating results cut to ``digits``, so that both engines agree on them."""
     floats = [f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-    return df.withColumns({c: F.round(c, digits) for c in floats}) if floats else df
+    return df.withColumns({c: round_to(c, digits) for c in floats}) if floats else df
 
 
 def names_of(column: str):

@@ -35,12 +35,12 @@ def _metered(t):
         F.floor(F.col("value") * 10).alias("tokens"), (F.floor(F.col("value") * 10) * 3e-6).alias("cost_usd"))
     target = scratch_path(t.spark, "meter")
     meter.start_meter(meter.usage_meter(events), target, scratch_path(t.spark, "cp")).awaitTermination()
-    return rounded(meter.read_meter(t.spark, target))
+    return rounded(meter.read_meter(t.spark, target), 6)
 
 
 register(
     "st_usage_meter", _metered,
-    """SELECT day, session_id, CAST(sum(tokens) AS BIGINT) AS tokens, round(sum(tokens * 3e-6), 4) AS cost_usd FROM <usage_log> GROUP BY 1, 2""",
+    """SELECT day, session_id, CAST(sum(tokens) AS BIGINT) AS tokens, round(sum(tokens * 3e-6), 6) AS cost_usd FROM <usage_log> GROUP BY 1, 2""",
 )
 
 

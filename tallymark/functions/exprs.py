@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ColumnLike = str | Column
 
@@ -23,6 +24,13 @@ def safe_float(c: ColumnLike) -> Column:
     return F.when(~suffixed, c.try_cast("double"))
 
 
+def number(df: DataFrame, name: str) -> Column:
+    """A column as double: a plain cast if it is numeric, tolerant parsing if it is text."""
+    if isinstance(df.schema[name].dataType, T.NumericType):
+        return F.col(name).cast("double")
+    return safe_float(name)
+
+
 def safe_int(c: ColumnLike) -> Column:
     """Text to bigint; decimals are cut towards zero, anything else is null."""
     c = _c(c).cast("string")
@@ -99,6 +107,16 @@ def content_hash(endpoint: ColumnLike, year: ColumnLike, payload: ColumnLike) ->
 
 # -- arithmetic --------------------------------------------------------------
 
+def round_to(c: ColumnLike, digits: int) -> Column:
+    """Round the binary value scaled by a power of ten, halves away from zero.
+
+    ``round(c, digits)`` rounds the decimal text of a double, so 8.575 (which is a little
+    less) gives 8.58; scaled it gives 8.57, as it does for the tools that read the results.
+    """
+    scale = F.lit(float(10**digits))
+    return F.round(_c(c).cast("double") * scale) / scale
+
+
 def midpoint(high: ColumnLike, low: ColumnLike) -> Column:
     """Mean of both ends, or the one that exists."""
     high, low = _c(high), _c(low)
@@ -115,7 +133,7 @@ def null_safe_sum(*parts: ColumnLike) -> Column:
 
 def ratio(part: ColumnLike, per: ColumnLike, digits: int = 2) -> Column:
     """Rounded quotient, null where either is missing or the divisor is zero."""
-    return F.round(F.try_divide(_c(part), _c(per)), digits)
+    return round_to(F.try_divide(_c(part), _c(per)), digits)
 
 
 def pct_of(part: ColumnLike, whole: ColumnLike) -> Column:

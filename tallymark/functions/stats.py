@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tallymark.functions.exprs import round_to
+
 
 def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -21,7 +23,7 @@ def pair_count(x: str | Column, y: str | Column) -> Column:
 def paired_mean(value: str | Column, other: str | Column, digits: int | None = None) -> Column:
     """Mean of ``value`` over rows where ``other`` exists too."""
     mean = F.avg(F.when(_c(other).isNotNull(), _c(value)))
-    return mean if digits is None else F.round(mean, digits)
+    return mean if digits is None else round_to(mean, digits)
 
 
 def pearson(x: str | Column, y: str | Column, digits: int = 4, min_n: int = 3) -> Column:
@@ -33,4 +35,4 @@ def pearson(x: str | Column, y: str | Column, digits: int = 4, min_n: int = 3) -
     x, y = _c(x).cast("double"), _c(y).cast("double")
     spread = F.sqrt(F.regr_sxx(y, x)) * F.sqrt(F.regr_syy(y, x))
     r = F.try_divide(F.regr_sxy(y, x), spread)
-    return F.when(pair_count(x, y) >= min_n, F.round(r, digits))
+    return F.when(pair_count(x, y) >= min_n, round_to(r, digits))

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.functions.exprs import present, zip_prefix
+from tallymark.functions.exprs import present, round_to, zip_prefix
 
 
 def _sum(c: str | Column) -> Column:
@@ -52,7 +52,7 @@ def group_summary(
         df.na.drop("any", subset=[key])
         .groupBy(key)
         .agg(F.count(counted).alias(count_name), *[_sum(c).alias(n) for n, c in sums.items()])
-        .withColumn(out, F.round(F.try_divide(F.col(per_unit), F.col(count_name)), 0))
+        .withColumn(out, round_to(F.try_divide(F.col(per_unit), F.col(count_name)), 0))
     )
 
 
@@ -152,7 +152,7 @@ def coverage(df: DataFrame, column: str) -> DataFrame:
     return df.agg(
         n.alias("n_rows"),
         has.alias("n_present"),
-        F.coalesce(F.round(F.try_divide(has * 100.0, n), 4), F.lit(0.0)).alias("pct_present"),
+        F.coalesce(round_to(F.try_divide(has * 100.0, n), 4), F.lit(0.0)).alias("pct_present"),
     )
 
 

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallymark.functions.exprs import (
-    midpoint, null_safe_sum, ratio, safe_float, safe_int,
+    midpoint, null_safe_sum, number, ratio, safe_float, safe_int,
 )
+from tallymark.operators.aggregates import count_by
 from tallymark.operators.joins import left_upper_name
 from tallymark.operators.stats import Metric, area_stats
-from tallymark.operators.windows import count_in, dupe_rank
+from tallymark.operators.windows import dupe_rank
 from tallymark.plans.skew import salted_join
 
 # the metrics published next to income, and their result names
@@ -23,6 +25,10 @@ METRICS = [
     Metric("read_high_pct", "avg_read_high_pct", "pearson_r_reading", "n_reading"),
 ]
 
+GOLDEN_NUMBERS = [
+    "math_high_pct", "math_low_pct", "pct_hhi_150k_200k", "pct_hhi_220k_plus", "teachers_fte",
+    "read_high_pct", "avg_natwalkind", "enrollment",
+]
 GEO_COLUMNS = ["ncessch", "state", "county_fips", "zip", "lat", "lon"]
 
 
@@ -46,33 +52,36 @@ def districts(golden: DataFrame, directory: DataFrame, tie: str = "ncessch",
     order = [F.desc_nulls_first("year_json"), F.asc(tie)]
     facts = golden.drop("ncessch")
     joined = left_upper_name(facts, geo, "school_name", order, GEO_COLUMNS, salt_by)
-    high, low = safe_float("math_high_pct"), safe_float("math_low_pct")
+    value = {c: number(golden, c) for c in GOLDEN_NUMBERS}
     return joined.select(
         "school_name",
         *GEO_COLUMNS,
-        midpoint(high, low).alias("math_pct_prof"),
-        null_safe_sum(
-            safe_float("pct_hhi_150k_200k"), safe_float("pct_hhi_220k_plus")
-        ).cast("double").alias("pct_high_income"),
-        safe_float("pct_hhi_150k_200k").alias("pct_hhi_150k_200k"),
-        safe_float("pct_hhi_220k_plus").alias("pct_hhi_220k_plus"),
-        safe_float("teachers_fte").alias("teachers_fte"),
-        *[safe_int(c).alias(c) for c in ("grade_eight_enrollment", "math_counts", "read_counts")],
-        safe_float("read_high_pct").alias("read_high_pct"),
-        safe_float("avg_natwalkind").alias("avg_natwalkind"),
-        *[safe_int(c).alias(c) for c in ("total_10_14", "schools_in_zip")],
-        safe_float("enrollment").alias("enrollment"),
-        ratio(safe_float("enrollment"), safe_float("teachers_fte")).alias("student_teacher_ratio"),
+        midpoint(value["math_high_pct"], value["math_low_pct"]).alias("math_pct_prof"),
+        null_safe_sum(value["pct_hhi_150k_200k"], value["pct_hhi_220k_plus"])
+        .cast("double").alias("pct_high_income"),
+        *[value[c].alias(c) for c in ("pct_hhi_150k_200k", "pct_hhi_220k_plus", "teachers_fte")],
+        *[_count(golden, c).alias(c) for c in ("grade_eight_enrollment", "math_counts", "read_counts")],
+        *[value[c].alias(c) for c in ("read_high_pct", "avg_natwalkind")],
+        *[_count(golden, c).alias(c) for c in ("total_10_14", "schools_in_zip")],
+        value["enrollment"].alias("enrollment"),
+        ratio(value["enrollment"], value["teachers_fte"]).alias("student_teacher_ratio"),
     )
 
 
-def county_stats(schools: DataFrame) -> DataFrame:
-    return area_stats(schools, ["state", "county_fips"], "pct_high_income", "math_pct_prof", METRICS)
+def _count(df: DataFrame, name: str) -> Column:
+    whole = isinstance(df.schema[name].dataType, T.IntegralType)
+    return F.col(name).cast("bigint") if whole else safe_int(name)
+
 
+def county_stats(schools: DataFrame, digits: int = 2) -> DataFrame:
+    keys = ["state", "county_fips"]
+    return area_stats(schools, keys, "pct_high_income", "math_pct_prof", METRICS, digits=digits)
 
-def state_stats(schools: DataFrame) -> DataFrame:
+
+def state_stats(schools: DataFrame, digits: int = 2) -> DataFrame:
     """From the schools, not from the counties: schools without a county count here."""
-    return area_stats(schools, ["state"], "pct_high_income", "math_pct_prof", METRICS)
+    keys = ["state"]
+    return area_stats(schools, keys, "pct_high_income", "math_pct_prof", METRICS, digits=digits)
 
 
 def drill(schools: DataFrame, states: DataFrame, counties: DataFrame, level: str,
@@ -101,12 +110,11 @@ def dim_assessments(assessments: DataFrame, directory: DataFrame, location: Data
 
     The sources describe this mart but do not define it. Assumed keys: school and
     year, then coordinates, then zip and year. Each right side has one row per key.
+    The small tables are joined to each other first, so the assessments are shuffled once.
     """
-    out = salted_join(
-        assessments, directory, ["ncessch", "year"], "left", salt_by
-    )
-    out = salted_join(out, location, ["latitude", "longitude"], "left", salt_by)
-    return salted_join(out, census, ["zip", "year"], "left", salt_by)
+    schools = salted_join(directory, location, ["latitude", "longitude"], "left", ["ncessch", "year"])
+    schools = schools.join(census, ["zip", "year"], "left")
+    return salted_join(assessments, schools, ["ncessch", "year"], "left", salt_by)
 
 
 def golden(directory: DataFrame, assessments: DataFrame, census: DataFrame,
@@ -125,16 +133,16 @@ def golden(directory: DataFrame, assessments: DataFrame, census: DataFrame,
         F.avg("read_low").alias("read_low_pct"),
         F.avg("read_high").alias("read_high_pct"),
     )
-    out = count_in(directory, ["zip_code"], "schools_in_zip", salt_by)
-    out = salted_join(out, scores, ["ncessch"], "left", salt_by)
-    out = salted_join(out, census, ["zip_code"], "left", salt_by)
+    ranked = dupe_rank(directory, ["ncessch"], [F.desc_nulls_first("year"), F.asc("school_name")])
+    zips = count_by(directory, ["zip_code"], "schools_in_zip").join(census, "zip_code", "left")
+    out = salted_join(ranked, zips, ["zip_code"], "left", salt_by, hot_from=directory)
+    out = salted_join(out, scores, ["ncessch"], "left", salt_by, hot_from=directory)
 
     def share(part: str):
         return F.try_divide(F.col(part), F.col("total_pop")) * 100
 
-    out = out.withColumns({
+    return out.withColumns({
         "pct_10_14": share("total_10_14"),
         "pct_hhi_150k_200k": share("hhi_150k_200k"),
         "pct_hhi_220k_plus": share("hhi_220k_plus"),
     })
-    return dupe_rank(out, ["ncessch"], [F.desc_nulls_first("year"), F.asc("school_name")])

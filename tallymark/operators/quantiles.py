@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.functions.exprs import band
+from tallymark.functions.exprs import band, round_to
 from tallymark.functions.lookups import BRACKET_BANDS, BRACKET_EDGES
 from tallymark.plans.scan import ordered_chunks, running
 from tallymark.plans.skew import salted_join
@@ -71,7 +71,7 @@ def quantile_cuts(
 ) -> DataFrame:
     """Quantiles rounded to 4 digits, equal neighbours merged, as ``cuts``."""
     q = quantiles(df, x, probs, keys, "_q", approx)
-    rounded = F.array_distinct(F.transform("_q", lambda v: F.round(v, 4)))
+    rounded = F.array_distinct(F.transform("_q", lambda v: round_to(v, 4)))
     return q.select(*keys, rounded.alias("cuts"), "n", "min", "max")
 
 

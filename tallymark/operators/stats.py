@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.functions.exprs import present
+from tallymark.functions.exprs import present, round_to
 from tallymark.functions.stats import both, pair_count, paired_mean, pearson
 from tallymark.operators.quantiles import quantiles
 from tallymark.operators.windows import first_n_per
@@ -137,8 +137,8 @@ def insight_stats(
         quantiles(long, "_value", [0.5], [*keys, "_which"])
         .groupBy(*keys)
         .agg(
-            F.round(F.max(F.when(F.col("_which") == "_y", F.get("q", F.lit(0)))), 2).alias("median_y"),
-            F.round(F.max(F.when(F.col("_which") == "_x", F.get("q", F.lit(0)))), 2).alias("median_x"),
+            round_to(F.max(F.when(F.col("_which") == "_y", F.get("q", F.lit(0)))), 2).alias("median_y"),
+            round_to(F.max(F.when(F.col("_which") == "_x", F.get("q", F.lit(0)))), 2).alias("median_x"),
         )
     )
 

@@ -28,6 +28,7 @@ def salted_join(
     how: str = "left",
     salt_by: Sequence[str] | None = None,
     salts: int | None = None,
+    hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """``left.join(right, keys, how)`` with the left side's most frequent keys split.
 
@@ -36,11 +37,15 @@ def salted_join(
     once per number. Rows with a null key match nothing and are spread the same way.
     All other keys keep salt 0, so only the hot keys' right rows are copied.
     ``how`` is ``left`` or ``inner``.
+
+    Hot keys are counted on ``hot_from`` (default: ``left``). Give the base table where
+    ``left`` is itself the result of joins, so that these are not run once more just to count.
+    Which keys are taken for hot changes the balance only, never the result.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type {how!r}")
     spread = salts or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = F.broadcast(hot_keys(left, keys).withColumn("_hot", F.lit(True)))
+    hot = F.broadcast(hot_keys(left if hot_from is None else hot_from, keys).withColumn("_hot", F.lit(True)))
     any_null = F.lit(False)
     for k in keys:
         any_null = any_null | F.col(k).isNull()

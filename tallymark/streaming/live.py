@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tallymark.functions.exprs import present
+from tallymark.functions.exprs import present, round_to
 from tallymark.functions.stats import both
 
 
@@ -55,11 +55,11 @@ def merge_moments(moments: DataFrame, keys: Sequence[str]) -> DataFrame:
     scale = F.when(
         varies("_sxx", "_gx") & varies("_syy", "_gy"), F.sqrt("_sxx") * F.sqrt("_syy")
     )
-    r = F.round(F.try_divide(F.col("_sxy"), scale), 4)
+    r = round_to(F.try_divide(F.col("_sxy"), scale), 4)
     return merged.select(
         *keys,
-        F.round("_gy", 2).alias("avg_math_pct_prof"),
-        F.round("_gx", 2).alias("avg_pct_high_income"),
+        round_to("_gy", 2).alias("avg_math_pct_prof"),
+        round_to("_gx", 2).alias("avg_pct_high_income"),
         F.when(F.col("school_count") >= 3, r).alias("pearson_r"),
         "school_count",
     )
