@@ -20,6 +20,8 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallymark.plans.lineage import settle
+
 LABEL, FEATURES, PREDICTION = "label", "features", "prediction"
 
 
@@ -52,7 +54,8 @@ def prepare(
     rows = rows.withColumns({
         c: F.signum(F.col(c).cast("double")) * F.log1p(F.abs(F.col(c).cast("double"))) for c in numeric
     }).withColumn(LABEL, F.col(target).cast("double"))
-    rows = drop_outliers(rows, numeric)
+    # every stage goes over the rows to be fitted
+    rows = settle(drop_outliers(rows, numeric), "training")
     filled = [f"{c}_filled" for c in numeric]
     coded = [f"{c}_index" for c in categorical]
     hot = [f"{c}_hot" for c in categorical]

@@ -12,8 +12,13 @@ from tallymark.operators.quantiles import quantiles
 from tallymark.operators.windows import first_n_per
 
 
-def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """count, mean, std, min, quartiles and max of every numeric column, one row each."""
+def describe(
+    df: DataFrame, columns: Sequence[str] | None = None, approx: bool = False
+) -> DataFrame:
+    """count, mean, std, min, quartiles and max of every numeric column, one row each.
+
+    Exact quartiles shuffle the distinct values; ``approx`` takes them from a sketch.
+    """
     numeric = columns or [
         f.name for f in df.schema if isinstance(f.dataType, T.NumericType)
     ]
@@ -27,7 +32,7 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    quart = quantiles(long, "value", [0.25, 0.5, 0.75], ["column"]).select("column", "q")
+    quart = quantiles(long, "value", [0.25, 0.5, 0.75], ["column"], approx=approx).select("column", "q")
     joined = moments.join(quart, "column", "left")
     return joined.select(
         "column", "count", "mean", "std", "min",

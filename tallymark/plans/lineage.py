@@ -16,7 +16,9 @@ _own_folder: dict[str, str] = {}
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder from ``spark.checkpoint.dir``, or one made for this local session."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
+        "spark.checkpoint.dir"
+    )
     if named:
         return named.rstrip("/")
     app = spark.sparkContext.applicationId

@@ -10,15 +10,19 @@ from pyspark.sql import functions as F
 HOT_KEYS = 64
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], n: int = HOT_KEYS) -> DataFrame:
-    """The ``n`` most frequent non-null keys: every key above 1/n of the rows is among them.
+def hot_keys(df: DataFrame, keys: Sequence[str], spread: int, n: int = HOT_KEYS) -> DataFrame:
+    """The ``n`` most frequent non-null keys and how many parts each should be split into.
 
-    Counting is map-side combined, and the result has at most ``n`` rows whatever
-    the size of the input, so it may be broadcast.
+    Every key above 1/n of the rows is among them. A key's parts (``_salts``) are its share
+    of ``spread``, so all keys together get at most ``spread + n``. Counting is map-side
+    combined; the result has at most ``n`` rows whatever the input, so it may be broadcast.
     """
-    present = df.where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)).select(*keys)
+    present = df.select(*keys).na.drop("any")
     counted = present.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return counted.orderBy(F.desc("_n"), *keys).limit(n).select(*keys)
+    total = counted.agg(F.sum("_n").alias("n")).scalar()
+    top = counted.orderBy(F.desc("_n"), *keys).limit(n)
+    parts = F.ceil(F.col("_n") * F.lit(spread) / total).cast("int")
+    return top.select(*keys, parts.alias("_salts"))
 
 
 def salted_join(
@@ -27,16 +31,16 @@ def salted_join(
     keys: Sequence[str],
     how: str = "left",
     salt_by: Sequence[str] | None = None,
-    salts: int | None = None,
+    spread: int | None = None,
     hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """``left.join(right, keys, how)`` with the left side's most frequent keys split.
 
-    Rows of a hot key get one of ``salts`` numbers from a hash of ``salt_by``
-    (default: all left columns) and the right rows of that key are repeated
-    once per number. Rows with a null key match nothing and are spread the same way.
-    All other keys keep salt 0, so only the hot keys' right rows are copied.
-    ``how`` is ``left`` or ``inner``.
+    Rows of a hot key get one of its part numbers from a hash of ``salt_by`` (default:
+    all left columns) and the right rows of that key are repeated once per part. Rows
+    with a null key match nothing and are spread by the same hash. All other keys keep
+    part 0, so only the hot keys' right rows are copied. ``spread`` is the number of tasks
+    the whole left side is meant for. ``how`` is ``left`` or ``inner``.
 
     Hot keys are counted on ``hot_from`` (default: ``left``). Give the base table where
     ``left`` is itself the result of joins, so that these are not run once more just to count.
@@ -44,18 +48,15 @@ def salted_join(
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type {how!r}")
-    spread = salts or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = F.broadcast(hot_keys(left if hot_from is None else hot_from, keys).withColumn("_hot", F.lit(True)))
+    spread = spread or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = F.broadcast(hot_keys(left if hot_from is None else hot_from, keys, spread))
     any_null = F.lit(False)
     for k in keys:
         any_null = any_null | F.col(k).isNull()
-    number = F.pmod(F.xxhash64(*(salt_by or left.columns)), F.lit(spread)).cast("int")
-    salted_left = left.join(hot, list(keys), "left").withColumn(
-        "_salt", F.when(F.col("_hot") | any_null, number).otherwise(F.lit(0))
-    )
-    every = F.sequence(F.lit(0), F.lit(spread - 1))
-    salted_right = right.join(hot, list(keys), "left").withColumn(
-        "_salt", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0))))
-    )
-    joined = salted_left.drop("_hot").join(salted_right.drop("_hot"), [*keys, "_salt"], how)
+    parts = F.coalesce("_salts", F.when(any_null, F.lit(spread)), F.lit(1))
+    part = F.when(parts > 1, F.pmod(F.xxhash64(*(salt_by or left.columns)), parts).cast("int"))
+    split_left = left.join(hot, list(keys), "left").withColumn("_salt", F.coalesce(part, F.lit(0)))
+    every = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    copied_right = right.join(hot, list(keys), "left").withColumn("_salt", F.explode(every))
+    joined = split_left.drop("_salts").join(copied_right.drop("_salts"), [*keys, "_salt"], how)
     return joined.drop("_salt")

@@ -24,9 +24,16 @@ def table(
     return df if limit is None else df.limit(limit)
 
 
-def page(df: DataFrame, order_key: str, limit: int, offset: int = 0) -> DataFrame:
-    """One page of a table in key order."""
-    return df.orderBy(order_key).offset(offset).limit(limit)
+def page(df: DataFrame, order_key: str, limit: int, offset: int = 0, after=None) -> DataFrame:
+    """One page of a table in key order.
+
+    ``after`` (the last key of the page before) lets the scan skip what was shown, which
+    a deep ``offset`` cannot.
+    """
+    if after is not None:
+        df = df.where(F.col(order_key) > F.lit(after))
+    ordered = df.orderBy(order_key)
+    return (ordered.offset(offset) if offset else ordered).limit(limit)
 
 
 def jdbc(
@@ -64,7 +71,7 @@ def json_pages(pages: DataFrame, payload: str = "value", endpoint: str = "endpoi
 
 def landed_pages(spark: SparkSession, path: str, one_per_line: bool = True) -> DataFrame:
     """Page files under ``endpoint=.../year=...``, one page per line or one per file."""
-    return spark.read.option("wholetext", not one_per_line).text(path)
+    return spark.read.text(path, wholetext=not one_per_line)
 
 
 def coded_wide(
