@@ -9,9 +9,13 @@ from pyspark.sql import functions as F
 
 from tallymark.functions.exprs import band, round_to
 from tallymark.functions.lookups import BRACKET_BANDS, BRACKET_EDGES
-from tallymark.plans.scan import ordered_chunks, running
+from tallymark.plans.lineage import settle
+from tallymark.plans.scan import chunk_offsets, ordered_chunks, running
 from tallymark.plans.skew import salted_join
 
+# chunk lists up to this many rows are broadcast
+SMALL = 10_000
+
 
 def quantiles(
     df: DataFrame,
@@ -24,8 +28,8 @@ def quantiles(
     """Interpolated quantiles of ``x`` per key, as an array in the order of ``probs``.
 
     Also gives ``n``, ``min`` and ``max``. Exact without gathering a group: equal
-    values are first counted together, then running counts over the sorted values
-    tell which of them sit at the wanted positions. ``approx`` uses a sketch instead
+    values are first counted together and sorted into chunks; counts per chunk tell
+    which chunks hold the wanted positions, and only these are opened. ``approx`` uses a sketch instead
     (no interpolation), for when one pass must do.
     """
     value = F.col(x).cast("double")
@@ -37,17 +41,29 @@ def quantiles(
         )
     counted = rows.groupBy(*keys, value.alias("_x")).agg(F.count(F.lit(1)).alias("_n"))
     chunked = ordered_chunks(counted, keys, ["_x"])
-    placed = running(chunked, keys, {"_before": F.col("_n")}, {"_total": "_before"})
+    sums, totals = {"_before": F.col("_n")}, {"_total": "_before"}
 
+    # positions on both sides of each quantile, counted from 0
     at = [(F.col("_total") - 1) * F.lit(float(p)) for p in probs]
     low, high = [F.floor(a) for a in at], [F.ceil(a) for a in at]
 
+    def any_wanted(before: str, size: str) -> Column:
+        """The run of ``size`` positions after ``before`` has a wanted one, or is an end."""
+        first, after = F.col(before), F.col(before) + F.col(size)
+        out = (first == 0) | (after == F.col("_total"))
+        for i in [*low, *high]:
+            out = out | ((first <= i) & (i < after))
+        return out
+
     def holds(i: Column) -> Column:
         return (F.col("_before") <= i) & (i < F.col("_before") + F.col("_n"))
 
-    wanted = (F.col("_before") == 0) | (F.col("_before") + F.col("_n") == F.col("_total"))
-    for i in [*low, *high]:
-        wanted = wanted | holds(i)
+    chunks = chunk_offsets(chunked, keys, sums, totals).where(any_wanted("_o__before", "_c__before"))
+    chunks = settle(chunks, "wanted")
+    if chunks.limit(SMALL + 1).count() <= SMALL:
+        chunks = F.broadcast(chunks)
+    placed = running(chunked, keys, sums, totals, chunks)
+    wanted = any_wanted("_before", "_n")
     picked = placed.where(wanted).groupBy(*keys).agg(
         F.max("_total").alias("n"),
         F.min("_x").alias("min"),

@@ -23,73 +23,49 @@ from tallymark.plans.skew import salted_join
 SPLITS = 8
 
 
-def wkt_rings(wkt: str | Column) -> Column:
-    """All rings of a POLYGON or MULTIPOLYGON as ``ARRAY<ARRAY<STRUCT<x, y>>>``."""
-    wkt = F.col(wkt) if isinstance(wkt, str) else wkt
-    texts = F.regexp_extract_all(wkt, F.lit(r"\(([^()]+)\)"), F.lit(1))
-
-    def point(p: Column) -> Column:
-        xy = F.split(F.trim(p), r"\s+")
-        return F.struct(xy[0].cast("double").alias("x"), xy[1].cast("double").alias("y"))
-
-    return F.transform(texts, lambda ring: F.transform(F.split(ring, ","), point))
-
-
-def ring_edges(rings: str | Column) -> Column:
-    """Edges between consecutive points of every ring."""
-    rings = F.col(rings) if isinstance(rings, str) else rings
-
-    def edges(ring: Column) -> Column:
-        heads = F.slice(ring, 1, F.greatest(F.size(ring) - 1, F.lit(0)))
-        tails = F.slice(ring, 2, F.greatest(F.size(ring) - 1, F.lit(0)))
-        return F.zip_with(
-            heads, tails,
-            lambda a, b: F.struct(
-                a["x"].alias("x1"), a["y"].alias("y1"), b["x"].alias("x2"), b["y"].alias("y2")
-            ),
-        )
+def wkt_rings(wkt: str) -> Column:
+    """All rings of a POLYGON or MULTIPOLYGON column as ``ARRAY<ARRAY<STRUCT<x, y>>>``."""
+    return F.expr(rf"""
+        transform(regexp_extract_all(`{wkt}`, r'\(([^()]+)\)', 1),
+            ring -> transform(split(ring, ','),
+                p -> named_struct('x', CAST(split(trim(p), ' +')[0] AS DOUBLE),
+                                  'y', CAST(split(trim(p), ' +')[1] AS DOUBLE))))""")
+
 
-    return F.flatten(F.transform(rings, edges))
+def ring_edges(rings: str) -> Column:
+    """Edges between consecutive points of every ring, in one list."""
+    return F.expr(f"""
+        flatten(transform(`{rings}`, ring -> zip_with(
+            slice(ring, 1, greatest(size(ring) - 1, 0)), slice(ring, 2, greatest(size(ring) - 1, 0)),
+            (a, b) -> named_struct('x1', a.x, 'y1', a.y, 'x2', b.x, 'y2', b.y))))""")
 
 
 def with_edges(polygons: DataFrame, wkt: str = "geometry") -> DataFrame:
     """Replace the WKT column by ``edges`` and the box ``xmin, ymin, xmax, ymax``."""
-    df = polygons.withColumn("edges", ring_edges(wkt_rings(wkt))).drop(wkt)
-    xs, ys = F.transform("edges", lambda e: e["x1"]), F.transform("edges", lambda e: e["y1"])
-    return df.withColumns({
-        "xmin": F.array_min(xs), "ymin": F.array_min(ys),
-        "xmax": F.array_max(xs), "ymax": F.array_max(ys),
-    })
-
-
-def strictly_inside(edges: Column, x: Column, y: Column) -> Column:
-    """Point in the interior: odd number of crossings, and on no edge."""
-    def crosses(e: Column) -> Column:
-        spans = (e["y1"] > y) != (e["y2"] > y)
-        rise = F.nullif(e["y2"] - e["y1"], F.lit(0.0))
-        at = e["x1"] + (y - e["y1"]) * (e["x2"] - e["x1"]) / rise
-        return F.when(spans & (x < at), F.lit(1)).otherwise(F.lit(0))
-
-    def touches(e: Column) -> Column:
-        cross = (e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"])
-        in_box = x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"])) & y.between(
-            F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"])
-        )
-        return (cross == 0) & in_box
-
-    odd = F.aggregate(edges, F.lit(0), lambda a, e: a + crosses(e)) % 2 == 1
-    return odd & ~F.exists(edges, touches)
+    df = polygons.withColumn("_rings", wkt_rings(wkt)).withColumn("edges", ring_edges("_rings"))
+    return df.drop(wkt, "_rings").selectExpr(
+        "*",
+        "array_min(edges.x1) AS xmin", "array_min(edges.y1) AS ymin",
+        "array_max(edges.x1) AS xmax", "array_max(edges.y1) AS ymax",
+    )
 
 
-def _size(level: Column) -> Column:
-    """Cell width at a level: powers of two, fine levels being negative."""
-    return F.pow(F.lit(2.0), level)
+def strictly_inside(edges: str, x: str, y: str) -> Column:
+    """Point in the interior: odd number of crossings to its right, and on no edge."""
+    return F.expr(f"""
+        aggregate({edges}, 0, (n, e) -> n + CASE
+            WHEN (e.y1 > {y}) != (e.y2 > {y})
+             AND {x} < e.x1 + ({y} - e.y1) * (e.x2 - e.x1) / nullif(e.y2 - e.y1, 0D)
+            THEN 1 ELSE 0 END) % 2 = 1
+        AND NOT exists({edges}, e ->
+            (e.x2 - e.x1) * ({y} - e.y1) = (e.y2 - e.y1) * ({x} - e.x1)
+            AND {x} BETWEEN least(e.x1, e.x2) AND greatest(e.x1, e.x2)
+            AND {y} BETWEEN least(e.y1, e.y2) AND greatest(e.y1, e.y2))""")
 
 
-def _level(splits: int) -> Column:
-    """The finest level at which the longer side of the box is at most ``splits`` cells."""
-    side = F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin"), F.lit(1e-9))
-    return F.ceil(F.log2(side / F.lit(float(splits)))).cast("int")
+def _level(splits: int) -> str:
+    """The finest grid level (cell width 2^level) at which the box is at most ``splits`` cells long."""
+    return f"CAST(ceil(log2(greatest(xmax - xmin, ymax - ymin, 1e-9) / {float(splits)})) AS INT)"
 
 
 def polygon_cells(polygons: DataFrame, splits: int = SPLITS) -> DataFrame:
@@ -98,23 +74,14 @@ def polygon_cells(polygons: DataFrame, splits: int = SPLITS) -> DataFrame:
     A polygon covers at most (splits + 1)^2 cells. A ray going right from a point of
     the cell meets only edges that reach its rows and are not wholly left of it.
     """
-    df = polygons.where(F.col("xmin").isNotNull()).withColumn("level", _level(splits))
-    size = _size(F.col("level"))
-
-    def span(low: str, high: str) -> Column:
-        return F.sequence(F.floor(F.col(low) / size), F.floor(F.col(high) / size))
-
-    df = df.withColumn("cx", F.explode(span("xmin", "xmax")))
-    df = df.withColumn("cy", F.explode(span("ymin", "ymax")))
-    x0, y0 = F.col("cx") * size, F.col("cy") * size
-    near = F.filter(
-        "edges",
-        lambda e: (F.greatest(e["y1"], e["y2"]) >= y0)
-        & (F.least(e["y1"], e["y2"]) <= y0 + size)
-        & (F.greatest(e["x1"], e["x2"]) >= x0),
-    )
+    df = polygons.where("xmin IS NOT NULL").selectExpr("*", f"{_level(splits)} AS level")
+    df = df.selectExpr("*", "pow(2D, level) AS _w")
+    df = df.selectExpr("*", "explode(sequence(floor(xmin / _w), floor(xmax / _w))) AS cx")
+    df = df.selectExpr("*", "explode(sequence(floor(ymin / _w), floor(ymax / _w))) AS cy")
+    near = """filter(edges, e -> greatest(e.y1, e.y2) >= cy * _w AND least(e.y1, e.y2) <= (cy + 1) * _w
+                                 AND greatest(e.x1, e.x2) >= cx * _w)"""
     # no edge to the right: every point of the cell is outside
-    return df.withColumn("edges", near).where(F.size("edges") > 0)
+    return df.withColumn("edges", F.expr(near)).drop("_w").where("size(edges) > 0")
 
 
 def within_pairs(
@@ -122,25 +89,21 @@ def within_pairs(
     columns: Sequence[str], splits: int = SPLITS,
 ) -> DataFrame:
     """(point key, polygon columns) for every polygon a point lies strictly inside."""
-    cells = polygon_cells(polygons, splits)
     # levels are powers of two between the smallest and largest polygon: a few dozen at most
-    levels = polygons.agg(F.collect_set(_level(splits)).alias("l")).scalar()
+    levels = polygons.agg(F.collect_set(F.expr(_level(splits)))).scalar()
     spots = points.select(
-        *key, F.col(lon).cast("double").alias("_x"), F.col(lat).cast("double").alias("_y")
-    ).where(F.col("_x").isNotNull() & F.col("_y").isNotNull())
-    spots = spots.withColumn("level", F.explode(levels))
-    size = _size(F.col("level"))
-    spots = spots.withColumns({
-        "cx": F.floor(F.col("_x") / size), "cy": F.floor(F.col("_y") / size),
-    })
-    met = salted_join(
-        spots,
-        cells.select("level", "cx", "cy", "edges", "xmin", "ymin", "xmax", "ymax", *columns),
-        ["level", "cx", "cy"], "inner", list(key),
+        *key, F.col(lon).cast("double").alias("_x"), F.col(lat).cast("double").alias("_y"),
+        F.explode(levels).alias("level"),
+    ).where("_x IS NOT NULL AND _y IS NOT NULL")
+    spots = spots.selectExpr(
+        "*", "floor(_x / pow(2D, level)) AS cx", "floor(_y / pow(2D, level)) AS cy"
+    )
+    cells = polygon_cells(polygons, splits).select(
+        "level", "cx", "cy", "edges", "xmin", "ymin", "xmax", "ymax", *columns
     )
-    x, y = F.col("_x"), F.col("_y")
-    boxed = met.where(x.between(F.col("xmin"), F.col("xmax")) & y.between(F.col("ymin"), F.col("ymax")))
-    return boxed.where(strictly_inside(F.col("edges"), x, y)).select(*key, *columns)
+    met = salted_join(spots, cells, ["level", "cx", "cy"], "inner", list(key))
+    boxed = met.where("_x BETWEEN xmin AND xmax AND _y BETWEEN ymin AND ymax")
+    return boxed.where(strictly_inside("edges", "_x", "_y")).select(*key, *columns)
 
 
 def within_left(

@@ -45,37 +45,57 @@ def ordered_chunks(
     return settle(numbered, "chunks").withColumn(CHUNK, F.shiftright(SEQ, 33))
 
 
+def _keyed(chunked: DataFrame, keys: Sequence[str], sums: Mapping[str, Column]) -> DataFrame:
+    """The rows with ``_key`` and the summed values.
+
+    The key is one non-null struct, so that null key parts match each other in a join.
+    """
+    key = F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(1).alias("one"))
+    values = {f"_v_{name}": F.coalesce(expr, F.lit(0)) for name, expr in sums.items()}
+    return chunked.withColumns({**values, "_key": key})
+
+
+def chunk_offsets(
+    chunked: DataFrame,
+    keys: Sequence[str],
+    sums: Mapping[str, Column],
+    totals: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """Per key and chunk: the sum inside it (``_c_*``), that of the key's earlier chunks
+    (``_o_*``), and the totals of the key. As many rows per key as it has chunks.
+    """
+    per_chunk = _keyed(chunked, keys, sums).groupBy("_key", CHUNK).agg(
+        *[F.sum(f"_v_{n}").alias(f"_c_{n}") for n in sums]
+    )
+    whole = Window.partitionBy("_key")
+    earlier = whole.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    return per_chunk.select(
+        "*",
+        *[F.coalesce(F.sum(f"_c_{n}").over(earlier), F.lit(0)).alias(f"_o_{n}") for n in sums],
+        *[F.sum(f"_c_{src}").over(whole).alias(out) for out, src in (totals or {}).items()],
+    )
+
+
 def running(
     chunked: DataFrame,
     keys: Sequence[str],
     sums: Mapping[str, Column],
     totals: Mapping[str, str] | None = None,
+    offsets: DataFrame | None = None,
 ) -> DataFrame:
     """Add, per key, the sum of each expression over the rows *before* the current one.
 
     ``keys`` may be longer than the keys the chunks were made with, as long as
     the order is the same. ``totals`` maps an output name to a name in ``sums``
-    whose whole-key total is wanted as well.
+    whose whole-key total is wanted as well. ``offsets`` (from ``chunk_offsets``, with
+    rows left out) restricts the result to the chunks it lists.
     """
     totals = totals or {}
-    values = {f"_v_{name}": F.coalesce(expr, F.lit(0)) for name, expr in sums.items()}
-    # one non-null struct as the key: null key parts match each other in the join below
-    key = F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(1).alias("one"))
-    rows = chunked.withColumns({**values, "_key": key})
-
-    per_chunk = rows.groupBy("_key", CHUNK).agg(
-        *[F.sum(f"_v_{n}").alias(f"_c_{n}") for n in sums]
-    )
-    earlier = (
-        Window.partitionBy("_key").orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    whole = Window.partitionBy("_key")
-    offsets = per_chunk.select(
-        "_key",
-        CHUNK,
-        *[F.coalesce(F.sum(f"_c_{n}").over(earlier), F.lit(0)).alias(f"_o_{n}") for n in sums],
-        *[F.sum(f"_c_{src}").over(whole).alias(out) for out, src in totals.items()],
-    )
+    rows = _keyed(chunked, keys, sums)
+    if offsets is None:
+        offsets = chunk_offsets(chunked, keys, sums, totals)
+    else:
+        rows = rows.join(offsets.select("_key", CHUNK), ["_key", CHUNK], "left_semi")
     inside = (
         Window.partitionBy("_key", CHUNK)
         .orderBy(SEQ)
