@@ -53,7 +53,7 @@ ROLES = {
                CASE WHEN l_orderkey % 7 = 0 THEN NULL ELSE l_quantity END AS math_prof_mid,
                CASE WHEN l_orderkey % 9 = 0 THEN NULL ELSE l_extendedprice / 1024e0 END AS read_prof_mid,
                l_quantity + 5e0 AS math_prof_high, l_quantity - 5e0 AS math_prof_low,
-               l_extendedprice / 1000e0 + 5e0 AS read_prof_high, l_extendedprice / 1000e0 - 5e0 AS read_prof_low,
+               l_extendedprice * 0.00097123e0 + 5e0 AS read_prof_high, l_extendedprice * 0.00097123e0 - 5e0 AS read_prof_low,
                CASE WHEN l_orderkey % 8 = 0 THEN NULL ELSE CAST(l_linenumber * 10 AS BIGINT) END AS math_valid,
                CAST(l_suppkey % 90 AS BIGINT) AS read_valid
         FROM <lineitem> JOIN <orders> ON l_orderkey = o_orderkey""",

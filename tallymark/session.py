@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # call-site capture for every column expression slows down the building of large plans
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
