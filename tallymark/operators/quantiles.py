@@ -162,10 +162,13 @@ def histogram(df: DataFrame, x: str, bins: int) -> DataFrame:
 
 def summary(df: DataFrame, x: str, keys: Sequence[str] = ()) -> DataFrame:
     """Count, mean, median and maximum."""
-    if not keys:
-        return summary(df.withColumn("_all", F.lit(1)), x, ["_all"]).drop("_all")
-    mean = df.where(F.col(x).isNotNull()).groupBy(*keys).agg(F.avg(x).alias("mean"))
     mid = quantiles(df, x, [0.5], keys)
-    return mid.join(mean, list(keys)).select(
-        *keys, F.col("n").alias("count"), "mean", F.get("q", F.lit(0)).alias("median"), "max"
+    if keys:
+        means = df.where(F.col(x).isNotNull()).groupBy(*keys).agg(F.avg(x).alias("mean"))
+        mid, mean = mid.join(means, list(keys)), F.col("mean")
+    else:
+        mean = df.agg(F.avg(x)).scalar()
+    return mid.select(
+        *keys, F.coalesce("n", F.lit(0)).alias("count"), mean.alias("mean"),
+        F.get("q", F.lit(0)).alias("median"), "max",
     )

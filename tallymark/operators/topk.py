@@ -22,9 +22,13 @@ def top_tail(df: DataFrame, metric: str, n: int, tie: str) -> DataFrame:
 
 
 def sort_nulls_last(df: DataFrame, key: str, direction: str = "desc", tie: str | None = None) -> DataFrame:
-    """Sorted either way with nulls at the end."""
+    """Sorted either way with nulls at the end.
+
+    Equal keys (the nulls above all) are ordered by ``tie``, or by a hash of the row, so the
+    sort can spread them over tasks.
+    """
     order = F.asc_nulls_last(key) if direction == "asc" else F.desc_nulls_last(key)
-    return df.orderBy(order, *([F.asc(tie)] if tie else []))
+    return df.orderBy(order, F.asc(tie) if tie else F.xxhash64(*df.columns))
 
 
 def recent(df: DataFrame, key: str, n: int) -> DataFrame:

@@ -14,15 +14,19 @@ from tallymark.operators.joins import not_stored
 from tallymark.operators.sets import union_layers
 
 
+def _sized(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows gathered by partition value into well-sized files; AQE splits a heavy value."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ("year",)) -> None:
-    df.write.mode("append").partitionBy(*partition_by).parquet(path)
+    _sized(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
 def replace(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Replace the whole table, whatever the overwrite mode of the session."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-        *partition_by
-    ).parquet(path)
+    writer = _sized(df, partition_by).write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(path)
 
 
 def _stored(spark: SparkSession, path: str) -> DataFrame | None:
@@ -35,17 +39,22 @@ def _stored(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def insert_if_absent(
-    df: DataFrame, path: str, key: str = "data_hash", partition: str = "year"
+    df: DataFrame, path: str, key: str = "data_hash", partition: str = "year",
+    touched: Sequence | None = None,
 ) -> None:
     """Append the rows whose key is not stored yet, one per key.
 
-    The partition column joins along, so only the stored partitions the batch touches
-    are read, and of them only the key. Running it twice stores nothing twice;
-    a table must have one writer at a time.
+    Of the stored rows only the key is read, and with ``touched`` (the partition values the
+    batch may hold, such as the years of a run) only those partitions. Running it twice
+    stores nothing twice; a table must have one writer at a time.
     """
     fresh = df.dropDuplicates([key])
     stored = _stored(df.sparkSession, path)
     if stored is not None:
+        if touched is not None:
+            expected = F.col(partition).isin(list(touched))
+            stored = stored.where(expected)
+            fresh = fresh.where(F.assert_true(expected, "row outside the touched partitions").isNull())
         fresh = not_stored(fresh, stored, [partition, key])
     append(fresh, path, [partition])
 

@@ -137,6 +137,13 @@ def test_insight(frame):
     assert out["OH"].pearson_r_on_screen is None and out["OH"].median_x == 5.0
 
 
+def test_summary(frame):
+    df = frame([("a", 1.0), ("a", 2.0), ("a", 9.0), ("b", None)], "k string, x double")
+    assert quantiles.summary(df, "x").first() == (3, 4.0, 2.0, 9.0)
+    assert quantiles.summary(df, "x", ["k"]).collect() == [("a", 3, 4.0, 2.0, 9.0)]
+    assert quantiles.summary(df.where("false"), "x").first() == (0, None, None, None)
+
+
 def test_describe_and_profiles(frame):
     rows = [(1, 2.0, "a"), (2, None, "b"), (3, 4.0, "a"), (None, 10.0, None)]
     df = frame(rows, "i int, d double, s string")

@@ -20,6 +20,11 @@ def test_insert_if_absent_twice(frame, spark, tmp_path):
         writers.insert_if_absent(rows, path)
     writers.insert_if_absent(frame([("h2", 2021), ("h3", 2021)], "data_hash string, year int"), path)
     assert sorted(r.data_hash for r in spark.read.parquet(path).collect()) == ["h1", "h2", "h3"]
+    late = frame([("h3", 2021), ("h4", 2021)], "data_hash string, year int")
+    writers.insert_if_absent(late, path, touched=[2021])
+    assert sorted(r.data_hash for r in spark.read.parquet(path).collect()) == ["h1", "h2", "h3", "h4"]
+    with pytest.raises(Exception, match="touched"):
+        writers.insert_if_absent(late, path, touched=[1999])
 
 
 def test_replace_removes_old_partitions(frame, spark, tmp_path):
