@@ -110,13 +110,15 @@ def brackets(
     give no rows and empty brackets are left out. Pass a constant column as key
     for one table over everything.
     """
-    points = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    cuts = quantile_cuts(points, x, probs, keys).where(F.col("n") >= min_points)
+    salt = {f"_s{i}": F.col(c) for i, c in enumerate(salt_by or [x, y])}
+    # read by the quantiles, the hot-key count and the join, so written once in its narrow form
+    points = settle(df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(
+        *keys, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"),
+        *[c.alias(n) for n, c in salt.items()],
+    ), "points")
+    cuts = quantile_cuts(points, "_x", probs, keys).where(F.col("n") >= min_points)
     placed = salted_join(
-        points.select(*keys, F.col(x).alias("_x"), F.col(y).alias("_y"),
-                      *[F.col(c).alias(f"_s{i}") for i, c in enumerate(salt_by or ())]),
-        cuts.drop("n"), keys, "inner",
-        [f"_s{i}" for i in range(len(salt_by))] if salt_by else None,
+        points, cuts.drop("n"), keys, "inner", list(salt)
     ).withColumn(
         "bracket_no", F.size(F.filter("cuts", lambda c: c <= F.col("_x")))
     ).withColumn("_band", band("_y", edges, bands))

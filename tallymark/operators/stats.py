@@ -12,6 +12,7 @@ from tallymark.functions.exprs import present, round_to
 from tallymark.functions.stats import both, pair_count, paired_mean, pearson
 from tallymark.operators.quantiles import quantiles
 from tallymark.operators.windows import first_n_per
+from tallymark.plans.lineage import settle
 
 
 @dataclass(frozen=True)
@@ -121,16 +122,18 @@ def insight_stats(
     (3 digits), the r stored in ``precomputed`` (keys, pearson_r) and the best and
     worst ``n`` names by y.
     """
-    points = df.where(both(x, y)).select(
+    # the view is read once per fact below, so it is written once in its narrow form
+    view = settle(df.select(
         *keys, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"),
         F.col(name).alias("_name"),
-    )
-    base = df.groupBy(*keys).agg(
+    ), "view")
+    points = view.where(both("_x", "_y"))
+    base = view.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("row_count"),
-        pair_count(x, y).alias("paired_points"),
-        paired_mean(y, x, 2).alias("mean_y"),
-        paired_mean(x, y, 2).alias("mean_x"),
-        pearson(x, y, 3).alias("pearson_r_on_screen"),
+        pair_count("_x", "_y").alias("paired_points"),
+        paired_mean("_y", "_x", 2).alias("mean_y"),
+        paired_mean("_x", "_y", 2).alias("mean_x"),
+        pearson("_x", "_y", 3).alias("pearson_r_on_screen"),
     )
     long = points.unpivot([*keys], ["_x", "_y"], "_which", "_value")
     medians = (

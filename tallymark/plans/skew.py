@@ -8,21 +8,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_KEYS = 64
+ROWS_PER_PART = 1_000_000
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], spread: int, n: int = HOT_KEYS) -> DataFrame:
-    """The ``n`` most frequent non-null keys and how many parts each should be split into.
+def hot_keys(
+    df: DataFrame, keys: Sequence[str], rows_per_part: int = ROWS_PER_PART, n: int = HOT_KEYS
+) -> DataFrame:
+    """The ``n`` most frequent keys with more than ``rows_per_part`` rows, and the number of
+    parts (``_salts``) of about that size each should be split into.
 
-    Every key above 1/n of the rows is among them. A key's parts (``_salts``) are its share
-    of ``spread``, so all keys together get at most ``spread + n``. Counting is map-side
-    combined; the result has at most ``n`` rows whatever the input, so it may be broadcast.
+    Every key above 1/n of a large table is among them. Counting is map-side combined;
+    the result has at most ``n`` rows whatever the input, so it may be broadcast.
     """
     present = df.select(*keys).na.drop("any")
     counted = present.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = counted.agg(F.sum("_n").alias("n")).scalar()
-    top = counted.orderBy(F.desc("_n"), *keys).limit(n)
-    parts = F.ceil(F.col("_n") * F.lit(spread) / total).cast("int")
-    return top.select(*keys, parts.alias("_salts"))
+    top = counted.where(F.col("_n") > rows_per_part).orderBy(F.desc("_n"), *keys).limit(n)
+    return top.select(*keys, F.ceil(F.col("_n") / F.lit(rows_per_part)).cast("int").alias("_salts"))
 
 
 def salted_join(
@@ -31,16 +32,15 @@ def salted_join(
     keys: Sequence[str],
     how: str = "left",
     salt_by: Sequence[str] | None = None,
-    spread: int | None = None,
     hot_from: DataFrame | None = None,
+    rows_per_part: int = ROWS_PER_PART,
 ) -> DataFrame:
     """``left.join(right, keys, how)`` with the left side's most frequent keys split.
 
     Rows of a hot key get one of its part numbers from a hash of ``salt_by`` (default:
     all left columns) and the right rows of that key are repeated once per part. Rows
     with a null key match nothing and are spread by the same hash. All other keys keep
-    part 0, so only the hot keys' right rows are copied. ``spread`` is the number of tasks
-    the whole left side is meant for. ``how`` is ``left`` or ``inner``.
+    part 0, so only the hot keys' right rows are copied. ``how`` is ``left`` or ``inner``.
 
     Hot keys are counted on ``hot_from`` (default: ``left``). Give the base table where
     ``left`` is itself the result of joins, so that these are not run once more just to count.
@@ -48,12 +48,12 @@ def salted_join(
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type {how!r}")
-    spread = spread or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = F.broadcast(hot_keys(left if hot_from is None else hot_from, keys, spread))
+    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = F.broadcast(hot_keys(left if hot_from is None else hot_from, keys, rows_per_part))
     any_null = F.lit(False)
     for k in keys:
         any_null = any_null | F.col(k).isNull()
-    parts = F.coalesce("_salts", F.when(any_null, F.lit(spread)), F.lit(1))
+    parts = F.coalesce("_salts", F.when(any_null, F.lit(tasks)), F.lit(1))
     part = F.when(parts > 1, F.pmod(F.xxhash64(*(salt_by or left.columns)), parts).cast("int"))
     split_left = left.join(hot, list(keys), "left").withColumn("_salt", F.coalesce(part, F.lit(0)))
     every = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
