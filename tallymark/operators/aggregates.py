@@ -15,20 +15,29 @@ def _sum(c: str | Column) -> Column:
     return F.coalesce(F.sum(c), F.lit(0))
 
 
+def _with_keys(df: DataFrame, keys: Sequence[str], null_as_empty: bool) -> DataFrame:
+    """Rows that belong to a group: a null text key is the group ``''`` or none at all."""
+    if null_as_empty:
+        df = df.na.fill("", subset=list(keys))
+    return df.na.drop("any", subset=list(keys))
+
+
 def mean_sum_by(
     df: DataFrame,
     keys: Sequence[str],
     means: Mapping[str, str] | None = None,
     sums: Mapping[str, str] | None = None,
     total: str | None = None,
+    null_as_empty: bool = False,
 ) -> DataFrame:
     """Means and sums per key (output name -> column); rows with a null key are dropped.
 
-    ``total`` names a further column holding the sum of all sums.
+    ``total`` names a further column holding the sum of all sums. With ``null_as_empty``
+    null text keys form the group ``''``, as they do for a text-only client.
     """
     means, sums = means or {}, sums or {}
     out = (
-        df.na.drop("any", subset=list(keys))
+        _with_keys(df, keys, null_as_empty)
         .groupBy(*keys)
         .agg(
             *[F.avg(c).alias(n) for n, c in means.items()],
@@ -45,21 +54,21 @@ def mean_sum_by(
 
 def group_summary(
     df: DataFrame, key: str, counted: str, sums: Mapping[str, str], per_unit: str,
-    out: str, count_name: str = "n",
+    out: str, count_name: str = "n", null_as_empty: bool = False,
 ) -> DataFrame:
     """Count, sums, and one of the sums divided by the count, rounded to whole numbers."""
     return (
-        df.na.drop("any", subset=[key])
+        _with_keys(df, [key], null_as_empty)
         .groupBy(key)
         .agg(F.count(counted).alias(count_name), *[_sum(c).alias(n) for n, c in sums.items()])
         .withColumn(out, round_to(F.try_divide(F.col(per_unit), F.col(count_name)), 0))
     )
 
 
-def count_by(df: DataFrame, keys: Sequence[str], out: str = "n") -> DataFrame:
-    return df.na.drop("any", subset=list(keys)).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias(out)
-    )
+def count_by(
+    df: DataFrame, keys: Sequence[str], out: str = "n", null_as_empty: bool = False
+) -> DataFrame:
+    return _with_keys(df, keys, null_as_empty).groupBy(*keys).agg(F.count(F.lit(1)).alias(out))
 
 
 def prefix_summary(

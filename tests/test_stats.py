@@ -163,6 +163,9 @@ def test_groups_drop_null_keys_and_sum_nothing_to_zero(frame):
     df = frame([("a", 1.0, None), ("a", None, None), (None, 5.0, 5)], "k string, m double, n int")
     got = aggregates.mean_sum_by(df, ["k"], {"m": "m"}, {"n": "n"}, "t").collect()
     assert [(r.k, r.m, r.n, r.t) for r in got] == [("a", 1.0, 0, 0)]
+    text = aggregates.mean_sum_by(df, ["k"], sums={"n": "n"}, null_as_empty=True).collect()
+    assert {(r.k, r.n) for r in text} == {("a", 0), ("", 5)}
+    assert {(r.k, r.n) for r in aggregates.count_by(df, ["k"], null_as_empty=True).collect()} == {("a", 2), ("", 1)}
 
 
 def test_label_totals(frame):
