@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tallymark.bindings import QUERIES
 from tallymark.bindings.registry import Tables
 from tallymark.operators import filters, windows
+from tallymark.plans.skew import salted_join
 from tallymark.sources import readers
 
 FOLDER = "/root/testdata/sf0.001"
@@ -39,9 +40,17 @@ def test_groups_are_limited_before_the_shuffle(spark):
 
 
 def test_hot_key_list_is_counted_once(spark):
-    df = QUERIES["jn_left_upper_name"](spark, FOLDER)
-    df.collect()
-    assert "ReusedExchange" in plan(df)
+    """Both sides of the join read one list; without hot keys it drops out of the plan."""
+    t = Tables(spark, FOLDER)
+    left = t("lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    right = left.groupBy("l_returnflag").count()
+    split = salted_join(left, right, ["l_returnflag"], "left", ["l_orderkey", "l_linenumber"], rows_per_part=100)
+    assert split.count() == left.count()
+    split.collect()
+    assert "ReusedExchange" in plan(split)
+    whole = salted_join(left, right, ["l_returnflag"], "left", ["l_orderkey", "l_linenumber"])
+    whole.collect()
+    assert "TakeOrdered" not in plan(whole).split("Initial Plan")[0]
 
 
 def test_state_statistics_shuffle_little(spark):
