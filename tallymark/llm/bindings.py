@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import line_dedup, mixing, warc
+from tallymark.llm import classifier, line_dedup, mixing, quality_rules, warc
 from tallymark.plans.lineage import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,25 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def _remainder(n: int):
+    """crc32 of the id as text, modulo n; null stays null."""
+    return F.crc32(F.col("doc_id").cast("string")) % n
+
+
+def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts and verdict of every document."""
+    return quality_rules.judge(_table(spark, folder, "documents"))
+
+
+def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """A quality score of every document, learned from the rows that are not held out."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    labels = _table(spark, folder, "labels").where(_remainder(3) != 1)
+    scored = classifier.score(docs, classifier.train(docs, labels))
+    held = F.coalesce(_remainder(3) == 1, F.lit(False)).alias("held_out")
+    return scored.select("doc_id", held, "score", "predicted")
+
+
 def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
     """Write the archive of all pages, read it back, say what its records hold."""
     place = scratch_path(spark, "archive")
@@ -37,6 +56,7 @@ def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+QUERIES |= {"op2_quality_rules": op2_quality_rules, "op4_quality_classifier": op4_quality_classifier}
 QUERIES |= {"op3_warc": op3_warc, "op6_line_dedup": op6_line_dedup, "op8_mixing": op8_mixing}
 
 ORACLES["op3_warc"] = """
