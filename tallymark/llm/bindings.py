@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import classifier, line_dedup, mixing, quality_rules, warc
+from tallymark.llm import classifier, line_dedup, lm_scoring, mixing, quality_rules, warc
 from tallymark.plans.lineage import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,14 @@ def _remainder(n: int):
     return F.crc32(F.col("doc_id").cast("string")) % n
 
 
+def op1_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of all documents by a model of those that are not held out."""
+    docs = _table(spark, folder, "documents")
+    model = lm_scoring.train(docs.where(_remainder(7) != 2))
+    held = F.coalesce(_remainder(7) == 2, F.lit(False))
+    return lm_scoring.score(docs, model).withColumn("held_out", held)
+
+
 def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Counts and verdict of every document."""
     return quality_rules.judge(_table(spark, folder, "documents"))
@@ -56,6 +64,7 @@ def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+QUERIES |= {"op1_lm_scoring": op1_lm_scoring}
 QUERIES |= {"op2_quality_rules": op2_quality_rules, "op4_quality_classifier": op4_quality_classifier}
 QUERIES |= {"op3_warc": op3_warc, "op6_line_dedup": op6_line_dedup, "op8_mixing": op8_mixing}
 
