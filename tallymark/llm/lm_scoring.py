@@ -3,8 +3,8 @@
 The trie of byte contexts up to order 5 is kept as sorted arrays of (context, byte) keys with
 counts, split into parts by the last three context bytes, so that a part holds whole contexts of the
 orders 3 to 5. Orders 0 to 2 are one small table of at most 2^24 rows. A context that has not seen
-a byte escapes to the next shorter one with the estimate of method C (distinct bytes over
-occurrences plus distinct bytes), and bytes of the longer contexts are excluded below. Longer
+a byte escapes to the next shorter one with the estimate of method D (half a count per distinct
+byte), and bytes of the longer contexts are excluded below. Longer
 contexts count occurrences; shorter ones count the distinct longer contexts in which the byte was
 seen, which is what updating only up to the matching order gives. Every text ends in a NUL byte,
 which is predicted too. Texts are lower-cased (A-Z) first.
@@ -216,9 +216,9 @@ def code(wanted: np.ndarray, trie: dict[int, Level], order: int = ORDER) -> np.n
         distinct = np.where(seen, level.distinct[at] - gone_n[left], 0.0)
         total = np.where(seen, level.total[at] - gone_t[left], 0.0)
         here, hit = _find(level.keys, keys)
-        out[left[hit]] += np.log10(level.counts[here[hit]] / (total[hit] + distinct[hit]))
+        out[left[hit]] += np.log10((level.counts[here[hit]] - 0.5) / total[hit])
         escape = ~hit & (distinct > 0)
-        out[left[escape]] += np.log10(distinct[escape] / (total[escape] + distinct[escape]))
+        out[left[escape]] += np.log10(0.5 * distinct[escape] / total[escape])
         gone_n[left] = np.where(seen, level.distinct[at], 0)
         gone_t[left] = np.where(seen, level.below[at], 0)
         left = left[~hit]
