@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import classifier, line_dedup, lm_scoring, mixing, quality_rules, warc
+from tallymark.llm import (
+    classifier, embedding_dedup, line_dedup, lm_scoring, mixing, quality_rules, sentencepiece, warc,
+)
 from tallymark.plans.lineage import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,6 +66,17 @@ def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Piece ids of every document, and whether they decode to its text again."""
+    return sentencepiece.encode(_table(spark, folder, "documents").select("doc_id", "text")).drop("text")
+
+
+def op10_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and components of all embeddings."""
+    return embedding_dedup.near_duplicates(_table(spark, folder, "embeddings"))
+
+
+QUERIES |= {"op7_sentencepiece": op7_sentencepiece, "op10_embedding_dedup": op10_embedding_dedup}
 QUERIES |= {"op1_lm_scoring": op1_lm_scoring}
 QUERIES |= {"op2_quality_rules": op2_quality_rules, "op4_quality_classifier": op4_quality_classifier}
 QUERIES |= {"op3_warc": op3_warc, "op6_line_dedup": op6_line_dedup, "op8_mixing": op8_mixing}
