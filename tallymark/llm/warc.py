@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallymark.plans.lineage import settle
+
 # WARC 1.1 record syntax and its revisit profile.
 VERSION = "WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -57,7 +59,7 @@ def records(pages: DataFrame, page_id: str, url: str, html: str, min_bytes: int
     repeat = ~F.col("page_id").eqNullSafe(F.col("first_id")) & (F.col("length") >= min_bytes)
     return rows.join(first, "digest").select(
         *rows.columns, F.when(repeat, "revisit").otherwise("response").alias("kind"),
-        F.when(repeat, F.col("first_id")).alias("refers_to"),
+        F.when(repeat, F.col("first_id")).alias("refers_to"), "first_id",
     )
 
 
@@ -93,21 +95,25 @@ def write_archive(
 ) -> None:
     """Write ``headers`` (one row per record) and ``payloads`` (one row per digest) below ``folder``.
 
-    The stored copy of a payload is that of a response row, found by (id, digest), which no group
-    of copies makes hot. With ``min_bytes`` several responses share a digest; the first id stores.
+    The stored copy of a payload is that of the smallest id. The rows not to be stored, and the ones
+    that are there several times, are listed first (ids and digests only); the planner then
+    broadcasts that list if it is small, so that payloads are not shuffled, and else joins by (id, digest),
+    which no group of copies makes hot.
     """
     rows = records(pages, page_id, url, html, min_bytes)
     _headers(rows, date).write.parquet(f"{folder}/headers")
     payload = F.coalesce(F.col(html).cast("binary"), F.lit(b""))
+    known = [F.coalesce("page_id", F.lit(0)).alias("_known"), F.col("page_id").isNull().alias("_null")]
+    keys = ["_known", "_null", "digest"]
     bodies = pages.select(
         F.col(page_id).cast("long").alias("page_id"), F.sha2(payload, 256).alias("digest"), payload.alias("payload")
-    ).withColumn("_known", F.coalesce("page_id", F.lit(0))).withColumn("_null", F.col("page_id").isNull())
-    stores = bodies.groupBy("digest").agg(F.min("page_id").alias("page_id")).select(
-        "digest", F.coalesce("page_id", F.lit(0)).alias("_known"), F.col("page_id").isNull().alias("_null")
-    )
-    keys = ["_known", "_null", "digest"]
+    ).select(*known, "digest", "payload")
+    per_row = rows.groupBy("digest", "page_id").agg(F.count(F.lit(1)).alias("n"), F.min("first_id").alias("first_id"))
+    stays = F.col("page_id").eqNullSafe(F.col("first_id"))
+    listed = settle(per_row.where(~stays | (F.col("n") > 1)).select(*known, "digest", stays.alias("stays")), "unstored")
     one = F.row_number().over(Window.partitionBy(*keys).orderBy("digest")) == 1
-    kept = bodies.join(stores, keys, "left_semi").withColumn("_one", one).where("_one")
+    several = bodies.join(listed.where("stays"), keys, "left_semi").withColumn("_one", one).where("_one")
+    kept = bodies.join(listed, keys, "left_anti").unionByName(several.drop("_one"))
     kept.select("digest", "payload").write.parquet(f"{folder}/payloads")
 
 
