@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark.llm import (
-    classifier, embedding_dedup, line_dedup, lm_scoring, mixing, quality_rules, sentencepiece, warc,
+    classifier, embedding_dedup, jaccard_join, line_dedup, lm_scoring, mixing, quality_rules, sentencepiece, warc,
 )
 from tallymark.plans.lineage import scratch_path
 
@@ -71,11 +71,17 @@ def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepiece.encode(_table(spark, folder, "documents").select("doc_id", "text")).drop("text")
 
 
+def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of all documents by similarity of their shingles."""
+    return jaccard_join.jaccard_components(_table(spark, folder, "documents"))
+
+
 def op10_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Links and components of all embeddings."""
     return embedding_dedup.near_duplicates(_table(spark, folder, "embeddings"))
 
 
+QUERIES |= {"op9_jaccard_join": op9_jaccard_join}
 QUERIES |= {"op7_sentencepiece": op7_sentencepiece, "op10_embedding_dedup": op10_embedding_dedup}
 QUERIES |= {"op1_lm_scoring": op1_lm_scoring}
 QUERIES |= {"op2_quality_rules": op2_quality_rules, "op4_quality_classifier": op4_quality_classifier}
