@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark.llm import (
-    classifier, embedding_dedup, jaccard_join, line_dedup, lm_scoring, mixing, quality_rules, sentencepiece, warc,
+    classifier, embedding_dedup, jaccard_join, line_dedup, lm_scoring, mixing, quality_rules, sentencepiece, substring_dedup, warc,
 )
 from tallymark.plans.lineage import scratch_path
 
@@ -66,6 +66,16 @@ def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every document without the bytes of repeated 200-byte strings."""
+    out = substring_dedup.remove_repeats(_table(spark, folder, "documents").select("doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return out.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Piece ids of every document, and whether they decode to its text again."""
     return sentencepiece.encode(_table(spark, folder, "documents").select("doc_id", "text")).drop("text")
@@ -81,6 +91,7 @@ def op10_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embedding_dedup.near_duplicates(_table(spark, folder, "embeddings"))
 
 
+QUERIES |= {"op5_substring_dedup": op5_substring_dedup}
 QUERIES |= {"op9_jaccard_join": op9_jaccard_join}
 QUERIES |= {"op7_sentencepiece": op7_sentencepiece, "op10_embedding_dedup": op10_embedding_dedup}
 QUERIES |= {"op1_lm_scoring": op1_lm_scoring}

@@ -34,7 +34,7 @@ from tallymark.plans.lineage import settle
 
 ORDER, LOW = 5, 2
 #: Bytes of text in a block, and per part of the model; keys a task holds before it sends them on.
-BLOCK_BYTES, PART_BYTES, HELD_KEYS = 32 << 20, 64 << 20, 3 << 20
+BLOCK_BYTES, PART_BYTES, HELD_KEYS = 12 << 20, 64 << 20, 1 << 20
 GRAM, WORD = 0, 1
 U = np.uint64
 
