@@ -29,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymark.llm import flat
@@ -303,8 +303,14 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
 
 def one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents with the smallest id of each component, once each; rows without id all stay."""
-    keep = jaccard_components(docs, doc_id, text).where("doc_id = component_id").select(F.col("doc_id").alias("_keep")).distinct()
-    chosen = docs.join(keep, F.col(doc_id).cast("long") == F.col("_keep"), "left_semi")
-    unnamed = docs.where(F.col(doc_id).isNull())
-    return chosen.dropDuplicates([doc_id]).unionByName(unnamed)
+    """Of each component the document with the smallest id, once; rows without id all stay.
+
+    Of rows that repeat that id, the one with the smallest hash of its text stays.
+    """
+    kept = jaccard_components(docs, doc_id, text).where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    kept = settle(kept.select(F.col("doc_id").alias("_keep"), F.col("n") > 1), "kept").toDF("_keep", "_several")
+    id_ = F.col(doc_id).cast("long")
+    out = docs.join(kept.where("not _several"), id_ == F.col("_keep"), "left_semi")
+    turn = F.row_number().over(Window.partitionBy("_keep").orderBy(F.xxhash64(text)))
+    again = docs.join(kept.where("_several").select("_keep"), id_ == F.col("_keep")).withColumn("_turn", turn).where("_turn = 1")
+    return out.unionByName(again.select(docs.columns)).unionByName(docs.where(F.col(doc_id).isNull()))
