@@ -81,7 +81,8 @@ def round_chunk(frac: np.ndarray, size: np.ndarray, draws: np.ndarray, last: boo
             continue
         held = -1 if b_ends else j
     if last and held >= 0:
-        frac[held] = 1.0 if draws[held] < frac[held] else 0.0
+        # the upper bits of its draw have decided a pair already
+        frac[held] = 1.0 if draws[held] * 2.0**26 % 1.0 < frac[held] else 0.0
     return np.array(frac)
 
 
@@ -119,16 +120,19 @@ def mix_copies(
     )
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     key = F.struct("doc_id", "size")
-    unit = F.shiftrightunsigned(F.xxhash64(F.lit(seed), key), 11) * F.lit(2.0**-53)
+
+    def unit(level: int) -> Column:
+        return F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.lit(level), key), 11) * F.lit(2.0**-53)
+
     # at most MOST_SOURCES short rows, counted above
     placed = rows.withColumn("site", F.struct("source")).join(F.broadcast(plan), "site").withColumn("_rate", rate)
     placed = placed.select(
         "doc_id", "source", "size", "source_size", "target", "n_chunks",
-        F.pmod(F.xxhash64(F.lit(~seed), key), F.col("n_chunks")).alias("chunk"), unit.alias("draw"),
+        F.pmod(F.xxhash64(F.lit(~seed), key), F.col("n_chunks")).alias("chunk"), unit(0).alias("draw"),
         F.floor("_rate").cast("long").alias("copies"),
         F.when(F.col("size") > 0, F.col("_rate") - F.floor("_rate")).otherwise(0.0).alias("frac"),
     )
-    done, level, chunks = [], placed, max([1, *(-(-r["n"] // CHUNK) for r in sums)])
+    done, level, depth, chunks = [], placed, 0, max([1, *(-(-r["n"] // CHUNK) for r in sums)])
     while True:
         keyed = level.withColumn("_site", F.struct("source"))
         out = settle(
@@ -141,7 +145,9 @@ def mix_copies(
         if chunks == 1:
             break
         # one row per chunk at most goes up
+        depth += 1
         level = out.where(~whole).withColumns({
+            "draw": unit(depth),
             "chunk": F.floor(F.col("chunk") / FAN_IN).cast("long"),
             "n_chunks": F.ceil(F.col("n_chunks") / FAN_IN).cast("long"),
         })
