@@ -110,8 +110,8 @@ register(
 register(
     "jn_anti_hash",
     lambda t: J.not_stored(t("customer").select("c_custkey", "c_name"),
-                           t("orders").select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"]),
-    "SELECT c_custkey, c_name FROM <customer> WHERE c_custkey NOT IN (SELECT o_custkey FROM <orders>)",
+                           t("orders").where("o_custkey % 7 <> 0").select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"]),
+    "SELECT c_custkey, c_name FROM <customer> WHERE c_custkey NOT IN (SELECT o_custkey FROM <orders> WHERE o_custkey % 7 <> 0)",
 )
 
 

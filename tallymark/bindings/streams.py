@@ -10,14 +10,20 @@ from tallymark.sources.readers import json_pages
 from tallymark.streaming import ingest, live, meter
 
 
-def _stream(t, table):
-    """A table of the folder as a file stream."""
-    return ingest.landed_stream(t.spark, t.folder, t(table).schema, "parquet", f"{table}.parquet")
+def _landed(df, label, files):
+    """Rows landed as files in an order that is not that of their time."""
+    path = scratch_path(df.sparkSession, label)
+    df.repartition(files, F.xxhash64(*df.columns)).write.parquet(path)
+    return path
 
 
 def _ingested(t):
     pages = land_pages(t)
-    stream = ingest.landed_stream(t.spark, pages, "value string, endpoint string, year int", "text", files_per_batch=10)
+    schema = "value string, endpoint string, year int"
+    # a part of the pages lands a second time, as after a broken run
+    again = t.spark.read.schema(schema).text(pages).where(F.xxhash64("value") % 3 == 0)
+    again.write.mode("append").partitionBy("endpoint", "year").text(pages)
+    stream = ingest.landed_stream(t.spark, pages, schema, "text", files_per_batch=10)
     target = scratch_path(t.spark, "ingested")
     ingest.ingest_stream(json_pages(stream), target, scratch_path(t.spark, "cp")).awaitTermination()
     return t.spark.read.parquet(target)
@@ -30,11 +36,12 @@ register(
 
 
 def _metered(t):
-    events = _stream(t, "events").select(
+    events = t("events").select(
         F.col("ts").cast("timestamp").alias("ts"), F.col("user_id").alias("session_id"),
         F.floor(F.col("value") * 10).alias("tokens"), (F.floor(F.col("value") * 10) * 3e-6).alias("cost_usd"))
+    stream = ingest.landed_stream(t.spark, _landed(events, "usage", 5), events.schema, files_per_batch=2)
     target = scratch_path(t.spark, "meter")
-    meter.start_meter(meter.usage_meter(events), target, scratch_path(t.spark, "cp")).awaitTermination()
+    meter.start_meter(stream, target, scratch_path(t.spark, "cp"), merge_every=2).awaitTermination()
     return rounded(meter.read_meter(t.spark, target), 6)
 
 
@@ -45,11 +52,12 @@ register(
 
 
 def _live(t):
-    rows = _stream(t, "customer").select(
+    rows = t("customer").select(
         F.col("c_mktsegment").alias("state"), F.when(F.col("c_custkey") % 11 != 0, F.col("c_acctbal")).alias("math"),
         (F.col("c_custkey") * 7 % 90 / 8).alias("income"))
+    stream = ingest.landed_stream(t.spark, _landed(rows, "schools", 5), rows.schema, files_per_batch=2)
     target = scratch_path(t.spark, "live")
-    live.live_stats(rows, ["state"], "income", "math", target, scratch_path(t.spark, "cp")).awaitTermination()
+    live.live_stats(stream, ["state"], "income", "math", target, scratch_path(t.spark, "cp"), merge_every=2).awaitTermination()
     return live.read_live(t.spark, target, ["state"])
 
 

@@ -11,9 +11,6 @@ from pyspark.sql import types as T
 from tallymark.functions.exprs import identifier
 from tallymark.functions.lookups import RESERVED_NAMES
 
-MAX_COLUMNS = 10_000
-
-
 def json_keys(df: DataFrame, payload: str) -> DataFrame:
     """Distinct top-level keys of all payloads, as ``key``."""
     return df.select(F.explode(F.json_object_keys(payload)).alias("key")).distinct()
@@ -25,6 +22,11 @@ def json_get(payload: str | Column, key: str) -> Column:
     return F.try_element_at(F.from_json(c, "map<string,string>"), F.lit(key))
 
 
+def json_map(df: DataFrame, payload: str, out: str = "values") -> DataFrame:
+    """The top-level values of each payload as one map column of text."""
+    return df.withColumn(out, F.from_json(payload, "map<string,string>"))
+
+
 def named_keys(keys: DataFrame, reserved: Sequence[str] = RESERVED_NAMES) -> DataFrame:
     """A column name for every key.
 
@@ -48,17 +50,19 @@ def expand_json(
     payload: str,
     keep: Sequence[str] = (),
     names: dict[str, str] | None = None,
+    max_columns: int = 10_000,
 ) -> DataFrame:
     """One text column per key next to the ``keep`` columns.
 
     ``names`` (key -> column) is the schema of the result. If it is not given it is
-    found with a pass over the payloads; only that column list reaches the driver.
+    found with a pass over the payloads; only that column list reaches the driver. More than
+    ``max_columns`` keys are refused; ``json_map`` takes payloads with an open set of keys.
     """
     if names is None:
         found = named_keys(json_keys(df, payload), tuple(keep) + RESERVED_NAMES)
-        rows = found.limit(MAX_COLUMNS + 1).collect()
-        if len(rows) > MAX_COLUMNS:
-            raise ValueError(f"more than {MAX_COLUMNS} distinct keys: these are data, not columns")
+        rows = found.limit(max_columns + 1).collect()
+        if len(rows) > max_columns:
+            raise ValueError(f"more than {max_columns} distinct keys: these are data, not columns")
         names = {r["key"]: r["column"] for r in rows}
     if len(set(names.values())) != len(names):
         raise ValueError("column names are not unique")

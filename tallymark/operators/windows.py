@@ -10,10 +10,6 @@ from pyspark.sql import functions as F
 from tallymark.plans.scan import ordered_chunks, running, unchunk
 from tallymark.plans.skew import salted_join
 
-# largest n for which Spark's default settings push row_number() <= n below the shuffle
-GROUP_LIMIT = 1000
-
-
 def first_n_per(
     df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], n: int, out: str = "rank"
 ) -> DataFrame:
@@ -21,10 +17,11 @@ def first_n_per(
 
     Spark limits each group to ``n`` rows before the shuffle (WindowGroupLimit),
     so a heavy key sends at most ``n`` rows per task. Beyond the size up to which
-    Spark does that, the rows are numbered by the chunked scan instead.
+    Spark does that (``spark.sql.window.group.limit.threshold``), the rows are numbered by
+    the chunked scan instead, which starts jobs and needs a total order to be repeatable.
     """
-    if n > GROUP_LIMIT:
-        return dupe_rank(df, keys, order_by, out).where(F.col(out) <= n)
+    if n > int(df.sparkSession.conf.get("spark.sql.window.group.limit.threshold", "1000")):
+        return dupe_rank(df, keys, order_by, out).where(F.col(out) <= n).withColumn(out, F.col(out).cast("int"))
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order_by))
     return df.withColumn(out, rank).where(F.col(out) <= n)
 

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from tallymark.functions.exprs import content_hash, safe_float, safe_int, strip_fips
 from tallymark.functions.lookups import CENSUS_COLUMNS
@@ -56,19 +57,48 @@ def csv(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     return reader.option("inferSchema", True).csv(path)
 
 
+_PAGE = "results array<string>, _broken string"
+
+
+def _parsed(pages: DataFrame, payload: str) -> DataFrame:
+    """Pages with their parsed text (``_page``), whether that is broken, and the file it came from."""
+    file = F.col("_metadata.file_path")
+    try:
+        pages.select(file)
+    except AnalysisException:  # not read from files
+        file = F.lit(None).cast("string")
+    parsed = F.from_json(payload, _PAGE, {"columnNameOfCorruptRecord": "_broken"})
+    out = pages.withColumns({"_file": file, "_page": parsed})
+    page_ = F.col("_page")
+    return out.withColumn("_is_broken", page_.isNull() | page_["_broken"].isNotNull() | page_["results"].isNull())
+
+
 def json_pages(pages: DataFrame, payload: str = "value", endpoint: str = "endpoint",
-               year: str = "year") -> DataFrame:
+               year: str = "year", skip_broken: bool = False) -> DataFrame:
     """Records of landed API pages, one row per entry of ``results``, with their hash.
 
-    Each record keeps its JSON text.
+    Each record keeps its JSON text. A page that is no JSON object with a list ``results``
+    fails the read, with the name of its file; with ``skip_broken`` it is left to
+    ``broken_pages``. An empty list is a page without records.
     """
-    records = pages.select(
-        endpoint, F.col(year).cast("int").alias("year"),
-        F.explode(F.from_json(payload, "results array<string>")["results"]).alias("data_json"),
-    )
+    rows = _parsed(pages, payload)
+    results = F.col("_page")["results"]
+    if skip_broken:
+        rows = rows.where(~F.col("_is_broken"))
+    else:
+        what = F.concat(F.lit("broken page in "), F.coalesce("_file", F.lit("an unnamed source")), F.lit(": "), F.left(F.col(payload), F.lit(80)))
+        results = F.when(F.col("_is_broken"), F.raise_error(F.coalesce(what, F.lit("page without text")))).otherwise(results)
+    records = rows.select(endpoint, F.col(year).cast("int").alias("year"), F.explode(results).alias("data_json"))
     return records.withColumn("data_hash", content_hash(endpoint, "year", "data_json"))
 
 
+def broken_pages(pages: DataFrame, payload: str = "value", endpoint: str = "endpoint",
+                 year: str = "year") -> DataFrame:
+    """The pages that ``json_pages`` cannot read, with the file they came from."""
+    rows = _parsed(pages, payload).where("_is_broken")
+    return rows.select(endpoint, F.col(year).cast("int").alias("year"), F.col("_file").alias("file"), F.col(payload).alias("payload"))
+
+
 def landed_pages(spark: SparkSession, path: str, one_per_line: bool = True) -> DataFrame:
     """Page files under ``endpoint=.../year=...``, one page per line or one per file."""
     return spark.read.text(path, wholetext=not one_per_line)

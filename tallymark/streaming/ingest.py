@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallymark.sources.writers import insert_if_absent
@@ -10,14 +11,18 @@ from tallymark.sources.writers import insert_if_absent
 
 def ingest_stream(
     records: DataFrame, target: str, checkpoint: str, key: str = "data_hash",
-    partition: str = "year",
+    partition: str = "year", most_partitions: int = 1000,
 ) -> StreamingQuery:
     """Store each new record once, by micro-batch, until all landed files are read.
 
-    A batch that is run again after a failure adds nothing, since its hashes are stored.
+    A batch that is run again after a failure adds nothing, since its hashes are stored. Of the
+    store only the partitions are read that the batch holds; a batch with more than
+    ``most_partitions`` of them, or with a null one, is compared with the whole store.
     """
     def store(batch: DataFrame, _: int) -> None:
-        insert_if_absent(batch, target, key, partition)
+        found = [r[0] for r in batch.select(F.col(partition)).distinct().limit(most_partitions + 1).collect()]
+        narrow = len(found) <= most_partitions and None not in found
+        insert_if_absent(batch, target, key, partition, found if narrow else None)
 
     return (
         records.writeStream.foreachBatch(store)

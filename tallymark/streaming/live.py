@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallymark.functions.exprs import present, round_to
 from tallymark.functions.stats import both
+from tallymark.streaming import batches
 
 
 def batch_moments(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
@@ -29,56 +30,58 @@ def batch_moments(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFra
     )
 
 
-def merge_moments(moments: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Combine the moments of all batches into averages, Pearson r and count per key.
+def combine_moments(moments: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The moments of several batches as those of one.
 
     The spread of the batch means around the common mean is added to the spread
     inside the batches.
     """
     n = F.col("n").cast("double")
     common = moments.groupBy(*keys).agg(
-        F.sum("n").alias("school_count"),
+        F.sum("n").alias("_n"),
         (F.sum(n * F.col("mx")) / F.sum(n)).alias("_gx"),
         (F.sum(n * F.col("my")) / F.sum(n)).alias("_gy"),
     )
     dx, dy = F.col("mx") - F.col("_gx"), F.col("my") - F.col("_gy")
-    merged = moments.join(common, list(keys)).groupBy(*keys, "school_count", "_gx", "_gy").agg(
-        F.sum(F.col("sxx") + n * dx * dx).alias("_sxx"),
-        F.sum(F.col("syy") + n * dy * dy).alias("_syy"),
-        F.sum(F.col("sxy") + n * dx * dy).alias("_sxy"),
+    return moments.join(common, list(keys)).groupBy(
+        *keys, F.col("_n").alias("n"), F.col("_gx").alias("mx"), F.col("_gy").alias("my")
+    ).agg(
+        F.sum(F.col("sxx") + n * dx * dx).alias("sxx"),
+        F.sum(F.col("syy") + n * dy * dy).alias("syy"),
+        F.sum(F.col("sxy") + n * dx * dy).alias("sxy"),
     )
 
+
+def merge_moments(moments: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Averages, Pearson r and count per key, from the moments of all batches."""
+    merged = combine_moments(moments, keys)
+
     def varies(spread: str, mean: str):
         # rounding of the common mean leaves a trace of variance in a constant column
-        return F.col(spread) > F.lit(1e-24) * F.col("school_count") * F.col(mean) * F.col(mean)
+        return F.col(spread) > F.lit(1e-24) * F.col("n") * F.col(mean) * F.col(mean)
 
     scale = F.when(
-        varies("_sxx", "_gx") & varies("_syy", "_gy"), F.sqrt("_sxx") * F.sqrt("_syy")
+        varies("sxx", "mx") & varies("syy", "my"), F.sqrt("sxx") * F.sqrt("syy")
     )
-    r = round_to(F.try_divide(F.col("_sxy"), scale), 4)
+    r = round_to(F.try_divide(F.col("sxy"), scale), 4)
     return merged.select(
         *keys,
-        round_to("_gy", 2).alias("avg_math_pct_prof"),
-        round_to("_gx", 2).alias("avg_pct_high_income"),
-        F.when(F.col("school_count") >= 3, r).alias("pearson_r"),
-        "school_count",
+        round_to("my", 2).alias("avg_math_pct_prof"),
+        round_to("mx", 2).alias("avg_pct_high_income"),
+        F.when(F.col("n") >= 3, r).alias("pearson_r"),
+        F.col("n").alias("school_count"),
     )
 
 
 def live_stats(
-    rows: DataFrame, keys: Sequence[str], x: str, y: str, target: str, checkpoint: str
+    rows: DataFrame, keys: Sequence[str], x: str, y: str, target: str, checkpoint: str,
+    merge_every: int = batches.MERGE_EVERY,
 ) -> StreamingQuery:
-    """Reduce the stream to moments per batch; a repeated batch replaces its own folder."""
-    def store(batch: DataFrame, batch_id: int) -> None:
-        batch_moments(batch, keys, x, y).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
-
-    return (
-        rows.writeStream.foreachBatch(store)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
+    """Reduce the stream to moments per batch."""
+    return batches.store(
+        rows, lambda b: batch_moments(b, keys, x, y), lambda m: combine_moments(m, keys), target, checkpoint, merge_every
     )
 
 
 def read_live(spark: SparkSession, target: str, keys: Sequence[str]) -> DataFrame:
-    return merge_moments(spark.read.parquet(target), keys)
+    return batches.read(spark, target, lambda m: merge_moments(m, keys))

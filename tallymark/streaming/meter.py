@@ -1,4 +1,8 @@
-"""Streaming usage meter."""
+"""Streaming usage meter.
+
+Every event counts, however late it comes: a batch is reduced to its sums per day and
+session, which are added up on reading. There is no state and no watermark to drop rows.
+"""
 
 from __future__ import annotations
 
@@ -7,36 +11,30 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallymark.functions.exprs import utc_day
-from tallymark.operators.windows import latest_wins
+from tallymark.streaming import batches
 
+KEYS = ["day", "session_id"]
 
-def usage_meter(events: DataFrame, watermark: str = "1 day") -> DataFrame:
-    """Running tokens and cost per UTC day and session.
 
-    State of a day is dropped once the watermark has passed its end.
-    """
-    return (
-        events.withWatermark("ts", watermark)
-        .groupBy(F.window("ts", "1 day").alias("_day"), "session_id")
-        .agg(F.sum("tokens").alias("tokens"), F.sum("cost_usd").alias("cost_usd"))
-        .select(utc_day(F.col("_day.start")).alias("day"), "session_id", "tokens", "cost_usd")
+def usage_totals(events: DataFrame) -> DataFrame:
+    """Tokens and cost per UTC day and session of a batch."""
+    return events.groupBy(utc_day("ts").alias("day"), "session_id").agg(
+        F.sum("tokens").alias("tokens"), F.sum("cost_usd").alias("cost_usd")
     )
 
 
-def start_meter(metered: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """Write the changed rows of every batch under its number; a repeated batch replaces itself."""
-    def store(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+def add_totals(totals: DataFrame) -> DataFrame:
+    """The totals of several batches added up."""
+    return totals.groupBy(*KEYS).agg(F.sum("tokens").alias("tokens"), F.sum("cost_usd").alias("cost_usd"))
 
-    return (
-        metered.writeStream.outputMode("update")
-        .foreachBatch(store)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+
+def start_meter(
+    events: DataFrame, target: str, checkpoint: str, merge_every: int = batches.MERGE_EVERY
+) -> StreamingQuery:
+    """Meter a stream with columns ``ts, session_id, tokens, cost_usd``."""
+    return batches.store(events, usage_totals, add_totals, target, checkpoint, merge_every)
 
 
 def read_meter(spark: SparkSession, target: str) -> DataFrame:
-    """The newest row per day and session."""
-    return latest_wins(spark.read.parquet(target), ["day", "session_id"], "batch").drop("batch")
+    """Totals per day and session."""
+    return batches.read(spark, target, add_totals)

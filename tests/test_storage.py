@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallymark.functions.lookups import CENSUS_COLUMNS
 from tallymark.operators import quality
 from tallymark.sources import readers, writers
-from tallymark.streaming import ingest, live, meter
+from tallymark.streaming import batches, ingest, live, meter
 
 
 def test_insert_if_absent_twice(frame, spark, tmp_path):
@@ -104,22 +104,80 @@ def test_ingest_stream_is_repeatable(spark, tmp_path):
     assert run("c2") == 3          # reads everything again, stores nothing twice
 
 
-def test_meter_in_two_batches(frame, spark, tmp_path):
-    land = tmp_path / "land"
-    schema = "ts timestamp, session_id string, tokens bigint, cost_usd decimal(18,6)"
+USAGE = "ts timestamp, session_id string, tokens bigint, cost_usd decimal(18,6)"
+
+
+def land(frame, folder, rows):
+    frame([(at, s, n, Decimal(n)) for at, s, n in rows], USAGE).coalesce(1).write.mode("append").parquet(str(folder))
+
+
+def metered(spark, tmp_path, checkpoint="cp", **how):
+    events = ingest.landed_stream(spark, str(tmp_path / "land"), USAGE, files_per_batch=1)
+    meter.start_meter(events, str(tmp_path / "out"), str(tmp_path / checkpoint), **how).awaitTermination()
+    return {(r.day, r.session_id, r.tokens) for r in meter.read_meter(spark, str(tmp_path / "out")).collect()}
+
 
-    def add(rows):
-        frame([(datetime(2024, 1, 1, h), s, n, Decimal(n)) for h, s, n in rows], schema).coalesce(1).write.mode("append").parquet(str(land))
+def test_meter_counts_late_rows(frame, spark, tmp_path):
+    land(frame, tmp_path / "land", [(datetime(2024, 3, 1, 1), "a", 5), (datetime(2024, 3, 1, 2), "b", 1)])
+    assert metered(spark, tmp_path) == {("2024-03-01", "a", 5), ("2024-03-01", "b", 1)}
+    land(frame, tmp_path / "land", [(datetime(2024, 3, 1, 3), "a", 7)])
+    land(frame, tmp_path / "land", [(datetime(2024, 1, 30, 3), "a", 2)])  # a month late
+    want = {("2024-03-01", "a", 12), ("2024-03-01", "b", 1), ("2024-01-30", "a", 2)}
+    assert metered(spark, tmp_path) == want
+    assert metered(spark, tmp_path) == want  # nothing new
+    with pytest.raises(ValueError, match="belongs to the stream"):
+        metered(spark, tmp_path, "another")
 
-    def run():
-        events = ingest.landed_stream(spark, str(land), schema, files_per_batch=1)
-        meter.start_meter(meter.usage_meter(events), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
-        return {(r.day, r.session_id, r.tokens) for r in meter.read_meter(spark, str(tmp_path / "out")).collect()}
 
-    add([(1, "a", 5), (2, "b", 1)])
-    assert run() == {("2024-01-01", "a", 5), ("2024-01-01", "b", 1)}
-    add([(3, "a", 7)])
-    assert run() == {("2024-01-01", "a", 12), ("2024-01-01", "b", 1)}
+def test_meter_merges_its_batches(frame, spark, tmp_path):
+    want, out = 0, tmp_path / "out"
+    for i in range(50):
+        land(frame, tmp_path / "land", [(datetime(2024, 1, 1 + i % 3), "a", i), (datetime(2024, 1, 1), f"s{i % 4}", 1)])
+        want += i + 1
+    got = metered(spark, tmp_path, merge_every=5)
+    assert sum(n for _, _, n in got) == want and len(got) == 3 + 4
+    assert len(list(out.glob("batch=*"))) <= 10 and len(list((out / "_base").glob("upto=*"))) <= 2
+    assert len(batches._read(spark, str(out))[0].inputFiles()) <= 10
+
+
+def test_repeated_batch_adds_nothing(frame, spark, tmp_path):
+    """A batch run again after its base was written, or over its own folder."""
+    rows = frame([("d", "a", 1, Decimal(1))], "day string, session_id string, tokens bigint, cost_usd decimal(18,6)")
+    out = str(tmp_path / "out")
+    for n in (0, 1, 1):
+        rows.write.mode("overwrite").parquet(f"{out}/batch={n}")
+    batches.merge(spark, out, meter.add_totals)
+    batches.merge(spark, out, meter.add_totals)
+    assert meter.read_meter(spark, out).first().tokens == 2
+    rows.write.mode("overwrite").parquet(f"{out}/batch=2")
+    assert meter.read_meter(spark, out).first().tokens == 3
+
+
+def test_broken_pages_are_named(spark, tmp_path):
+    folder = tmp_path / "endpoint=dir" / "year=2020"
+    folder.mkdir(parents=True)
+    (folder / "good.json").write_text('{"results": [{"a": 1}]}\n{"results": []}\n')
+    pages = readers.landed_pages(spark, str(tmp_path))
+    assert readers.json_pages(pages).count() == 1 and readers.broken_pages(pages).count() == 0
+    (folder / "cut.json").write_text('{"results": [{"a": 1}, {"a"\n{"count": 3}\nnot json\n')
+    pages = readers.landed_pages(spark, str(tmp_path))
+    with pytest.raises(Exception, match="cut.json"):
+        readers.json_pages(pages).collect()
+    assert readers.json_pages(pages, skip_broken=True).count() == 1
+    broken = readers.broken_pages(pages).collect()
+    assert len(broken) == 3 and all(r.file.endswith("cut.json") and r.endpoint == "dir" and r.year == 2020 for r in broken)
+
+
+def test_ingest_reads_touched_partitions_only(spark, tmp_path):
+    target = str(tmp_path / "t")
+    rows = spark.range(100).selectExpr("cast(id as string) data_hash", "cast(2000 + id % 10 as int) year")
+    writers.insert_if_absent(rows, target)
+    stored = spark.read.parquet(target).where(F.col("year").isin([2003]))
+    assert len(stored.inputFiles()) >= 1
+    plan = stored._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "2003" in plan
+    writers.insert_if_absent(rows.where("year = 2003"), target, touched=[2003])
+    assert spark.read.parquet(target).count() == 100
 
 
 def test_live_stats_merge_batches(frame, spark, tmp_path):
