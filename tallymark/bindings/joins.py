@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tallymark.bindings.registry import register, rounded
+from tallymark.plans.lineage import settle
 from tallymark.operators import joins as J
 from tallymark.operators import marts, spatial
 from tallymark.operators.aggregates import count_by
@@ -148,38 +149,63 @@ def golden_table(t):
         F.substring("ncessch", 1, 4).alias("ncessch"), "school_name", "school_type", F.col("ncessch").alias("entry"),
         F.col("year_json").try_cast("int").alias("year"), F.reverse(F.lpad(F.regexp_replace("zip_location", "^0+", ""), 9, "0")).alias("zip_code"),
         F.col("enrollment").try_cast("double").alias("enrollment"), F.col("teachers_fte").try_cast("double").alias("teachers_fte"))
+    grade = (F.lit(7) + F.col("l_linenumber") % 2).cast("int").alias("grade")
     assess = t("scores").select(
-        F.col("l_orderkey").cast("string").alias("ncessch"), "math_valid", F.col("math_prof_low").alias("math_low"),
+        F.col("l_orderkey").cast("string").alias("ncessch"), grade, "math_valid", F.col("math_prof_low").alias("math_low"),
         F.col("math_prof_high").alias("math_high"), "read_valid", F.col("read_prof_low").alias("read_low"),
         F.col("read_prof_high").alias("read_high"))
     census = t("census").select(
         "zip_code", "total_pop", (F.col("males_10_14") + F.col("females_10_14")).alias("total_10_14"),
         "hhi_150k_200k", "hhi_220k_plus")
     directory = directory.withColumn("school_name", F.concat("school_name", F.lit(" "), "entry"))
-    return marts.golden(directory, assess, census, ["entry"])
+    pupils = t("lineitem").select(
+        F.col("l_orderkey").cast("string").alias("ncessch"), grade, F.col("l_quantity").cast("bigint").alias("enrollment"))
+    walk = t("census").select("zip_code", (F.col("total_pop") % 20).cast("double").alias("avg_natwalkind"))
+    return marts.golden(directory, assess, census, ["entry"], grades=pupils, walkability=walk)
 
 
-register(
-    "jn_golden", lambda t: rounded(golden_table(t)),
-    """WITH d AS (SELECT substring(ncessch, 1, 4) AS ncessch, school_name || ' ' || ncessch AS school_name, school_type, ncessch AS entry,
+GOLDEN_SQL = """WITH d AS (SELECT substring(ncessch, 1, 4) AS ncessch, school_name || ' ' || ncessch AS school_name, school_type, ncessch AS entry,
             try_cast(year_json AS INT) AS year, reverse(lpad(ltrim(zip_location, '0'), 9, '0')) AS zip_code,
             try_cast(enrollment AS DOUBLE) AS enrollment, try_cast(teachers_fte AS DOUBLE) AS teachers_fte FROM <directory>),
        a AS (SELECT CAST(l_orderkey AS STRING) AS ncessch, CAST(sum(math_valid) AS BIGINT) AS math_counts, avg(math_prof_low) AS math_low_pct,
             avg(math_prof_high) AS math_high_pct, CAST(sum(read_valid) AS BIGINT) AS read_counts, avg(read_prof_low) AS read_low_pct,
-            avg(read_prof_high) AS read_high_pct FROM <scores> GROUP BY 1),
+            avg(read_prof_high) AS read_high_pct FROM <scores> WHERE l_linenumber % 2 = 1 GROUP BY 1),
+       e AS (SELECT CAST(l_orderkey AS STRING) AS ncessch, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS grade_eight_enrollment
+             FROM <lineitem> WHERE l_linenumber % 2 = 1 GROUP BY 1),
        z AS (SELECT zip_code, count(*) AS schools_in_zip FROM d GROUP BY 1)
        SELECT d.zip_code, d.ncessch, d.school_name, d.school_type, d.entry, d.year, d.enrollment, d.teachers_fte, z.schools_in_zip, a.math_counts,
-              round(a.math_low_pct, 4) AS math_low_pct, round(a.math_high_pct, 4) AS math_high_pct, a.read_counts,
-              round(a.read_low_pct, 4) AS read_low_pct, round(a.read_high_pct, 4) AS read_high_pct, c.total_pop,
+              a.math_low_pct, a.math_high_pct, a.read_counts, a.read_low_pct, a.read_high_pct, c.total_pop,
               c.males_10_14 + c.females_10_14 AS total_10_14, c.hhi_150k_200k, c.hhi_220k_plus,
-              round((c.males_10_14 + c.females_10_14) / nullif(c.total_pop, 0) * 100, 4) AS pct_10_14,
-              round(c.hhi_150k_200k / nullif(c.total_pop, 0) * 100, 4) AS pct_hhi_150k_200k,
-              round(c.hhi_220k_plus / nullif(c.total_pop, 0) * 100, 4) AS pct_hhi_220k_plus,
+              (c.males_10_14 + c.females_10_14) / nullif(c.total_pop, 0) * 100 AS pct_10_14,
+              c.hhi_150k_200k / nullif(c.total_pop, 0) * 100 AS pct_hhi_150k_200k,
+              c.hhi_220k_plus / nullif(c.total_pop, 0) * 100 AS pct_hhi_220k_plus,
+              e.grade_eight_enrollment, CAST(c.total_pop % 20 AS DOUBLE) AS avg_natwalkind,
               row_number() OVER (PARTITION BY d.ncessch ORDER BY d.year DESC NULLS FIRST, d.school_name) AS dupe_rank
-       FROM d LEFT JOIN z USING (zip_code) LEFT JOIN a ON a.ncessch = d.ncessch LEFT JOIN <census> c ON c.zip_code = d.zip_code""",
+       FROM d LEFT JOIN z USING (zip_code) LEFT JOIN a ON a.ncessch = d.ncessch LEFT JOIN e ON e.ncessch = d.ncessch
+              LEFT JOIN <census> c ON c.zip_code = d.zip_code"""
+_GOLDEN_ROUND = ["math_low_pct", "math_high_pct", "read_low_pct", "read_high_pct", "pct_10_14", "pct_hhi_150k_200k", "pct_hhi_220k_plus"]
+register(
+    "jn_golden", lambda t: rounded(golden_table(t)),
+    f"SELECT * REPLACE ({', '.join(f'round({c}, 4) AS {c}' for c in _GOLDEN_ROUND)}) FROM ({GOLDEN_SQL})",
 )
 
 
+def _published(t):
+    """From the feature table to the published state and county statistics, in one chain."""
+    golden = settle(golden_table(t), "golden")
+    names = t("directory").withColumn("school_name", F.concat("school_name", F.lit(" "), "ncessch"))
+    rows = settle(marts.districts(golden, names, salt_by=["entry"]), "districts")
+    states = marts.state_stats(rows).withColumn("county_fips", F.lit(None).cast("string"))
+    return states.unionByName(marts.county_stats(rows))
+
+
+_CHAIN = f"""WITH gold AS ({GOLDEN_SQL}), named AS (SELECT * REPLACE (school_name || ' ' || ncessch AS school_name) FROM <directory>),
+    d AS ({DISTRICTS_SQL.replace('<golden>', 'gold').replace('<directory>', 'named')}),
+    s AS ({STATE_SQL.replace('<districts>', 'd')}), c AS ({COUNTY_SQL.replace('<districts>', 'd')})
+    SELECT * FROM c UNION ALL BY NAME SELECT *, NULL AS county_fips FROM s"""
+register("jn_golden_to_statistics", _published, _CHAIN)
+
+
 # -- spatial -----------------------------------------------------------------
 
 def layers(t):

@@ -113,18 +113,25 @@ def dim_assessments(assessments: DataFrame, directory: DataFrame, location: Data
     The small tables are joined to each other first, so the assessments are shuffled once.
     """
     schools = salted_join(directory, location, ["latitude", "longitude"], "left", ["ncessch", "year"])
-    schools = schools.join(census, ["zip", "year"], "left")
+    schools = salted_join(schools, census, ["zip", "year"], "left", ["ncessch", "year"])
     return salted_join(assessments, schools, ["ncessch", "year"], "left", salt_by)
 
 
 def golden(directory: DataFrame, assessments: DataFrame, census: DataFrame,
-           salt_by: Sequence[str] | None = None) -> DataFrame:
-    """School feature table.
+           salt_by: Sequence[str] | None = None, grade: int | None = 8,
+           grades: DataFrame | None = None, walkability: DataFrame | None = None) -> DataFrame:
+    """School feature table, with every column that ``districts`` takes.
 
     Only its column names are known. Assumed: one row per directory entry,
-    its grade-8 results added up by school, the census of its zip code, shares as
+    its results of one grade added up by school, the census of its zip code, shares as
     percent of the population, and ``dupe_rank`` numbering the entries of a school.
+
+    Results of other grades than ``grade`` are left out where ``assessments`` has that column.
+    ``grades`` (ncessch, grade, enrollment) gives the pupils of grade eight, ``walkability``
+    (zip_code, avg_natwalkind) the walkability of a zip code; without them the columns are null.
     """
+    if grade is not None and "grade" in assessments.columns:
+        assessments = assessments.where(F.col("grade") == grade)
     scores = assessments.groupBy("ncessch").agg(
         F.sum("math_valid").alias("math_counts"),
         F.avg("math_low").alias("math_low_pct"),
@@ -135,14 +142,21 @@ def golden(directory: DataFrame, assessments: DataFrame, census: DataFrame,
     )
     ranked = dupe_rank(directory, ["ncessch"], [F.desc_nulls_first("year"), F.asc("school_name")])
     zips = count_by(directory, ["zip_code"], "schools_in_zip").join(census, "zip_code", "left")
-    out = salted_join(ranked, zips, ["zip_code"], "left", salt_by, hot_from=directory)
-    out = salted_join(out, scores, ["ncessch"], "left", salt_by, hot_from=directory)
+    if walkability is not None:
+        zips = zips.join(walkability.select("zip_code", "avg_natwalkind"), "zip_code", "left")
+    if grades is not None:
+        eighth = grades.where(F.col("grade") == 8).groupBy("ncessch").agg(F.sum("enrollment").alias("grade_eight_enrollment"))
+        scores = scores.join(eighth, "ncessch", "full")
+    out = salted_join(ranked, zips, ["zip_code"], "left", salt_by)
+    out = salted_join(out, scores, ["ncessch"], "left", salt_by)
 
     def share(part: str):
         return F.try_divide(F.col(part), F.col("total_pop")) * 100
 
-    return out.withColumns({
+    out = out.withColumns({
         "pct_10_14": share("total_10_14"),
         "pct_hhi_150k_200k": share("hhi_150k_200k"),
         "pct_hhi_220k_plus": share("hhi_220k_plus"),
     })
+    absent = {"grade_eight_enrollment": "bigint", "avg_natwalkind": "double"}
+    return out.withColumns({c: F.lit(None).cast(t) for c, t in absent.items() if c not in out.columns})

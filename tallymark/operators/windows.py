@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymark.plans.scan import ordered_chunks, running, unchunk
-from tallymark.plans.skew import salted_join
+from tallymark.plans.skew import ROWS_PER_PART, as_parts, salted_join
 
 def first_n_per(
     df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], n: int, out: str = "rank"
@@ -61,15 +61,17 @@ def dupe_rank(
 
 
 def count_in(
-    df: DataFrame, keys: Sequence[str], out: str, salt_by: Sequence[str] | None = None
+    df: DataFrame, keys: Sequence[str], out: str, salt_by: Sequence[str] | None = None,
+    rows_per_part: int = ROWS_PER_PART,
 ) -> DataFrame:
     """Every row with the size of its group; rows without a key get null.
 
-    Counts are combined map-side and joined back, so no task holds a whole group.
+    Counts are combined map-side and joined back, so no task holds a whole group. The counts
+    themselves say which keys to split.
     """
     present = df.na.drop("any", subset=list(keys))
     counts = present.groupBy(*keys).agg(F.count(F.lit(1)).alias(out))
-    return salted_join(df, counts, keys, "left", salt_by)
+    return salted_join(df, counts, keys, "left", salt_by, as_parts(counts, keys, out, rows_per_part))
 
 
 def yoy_diff(

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from tallymark.bindings import QUERIES
 from tallymark.bindings.registry import Tables
 from tallymark.operators import filters, windows
-from tallymark.plans.skew import salted_join
 from tallymark.sources import readers
 
 FOLDER = "/root/testdata/sf0.001"
@@ -39,18 +38,13 @@ def test_groups_are_limited_before_the_shuffle(spark):
     assert "Partial" in text.split("WindowGroupLimit")[-1].split("\n")[0]
 
 
-def test_hot_key_list_is_counted_once(spark):
-    """Both sides of the join read one list; without hot keys it drops out of the plan."""
-    t = Tables(spark, FOLDER)
-    left = t("lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
-    right = left.groupBy("l_returnflag").count()
-    split = salted_join(left, right, ["l_returnflag"], "left", ["l_orderkey", "l_linenumber"], rows_per_part=100)
-    assert split.count() == left.count()
-    split.collect()
-    assert "ReusedExchange" in plan(split)
-    whole = salted_join(left, right, ["l_returnflag"], "left", ["l_orderkey", "l_linenumber"])
-    whole.collect()
-    assert "TakeOrdered" not in plan(whole).split("Initial Plan")[0]
+def test_joins_count_nothing_by_default(spark):
+    """No aggregate stands below a join unless hot keys are asked for; the counts of a group are used again."""
+    assert "Aggregate" not in plan(QUERIES["jn_inner_key"](spark, FOLDER))
+    assert "Aggregate" not in plan(QUERIES["jn_county_names"](spark, FOLDER))
+    counted = QUERIES["win_schools_in_zip"](spark, FOLDER)
+    counted.collect()
+    assert "ReusedExchange" in plan(counted)
 
 
 def test_state_statistics_shuffle_little(spark):

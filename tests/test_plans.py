@@ -56,13 +56,17 @@ def test_first_n_beyond_the_group_limit(frame):
     rows = [(i, "k") for i in range(1500)]
     out = windows.first_n_per(frame(rows, "id int, k string"), ["k"], [F.asc("id")], 1200)
     assert sorted(r.id for r in out.collect()) == list(range(1200))
+    few = windows.first_n_per(frame(rows, "id int, k string"), ["k"], [F.asc("id")], 5)
+    assert few.schema == out.schema
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-def test_salted_join(frame, how):
+@pytest.mark.parametrize("split", [False, True])
+def test_salted_join(frame, how, split):
     left = frame(skewed(), "id int, k string, v int")
+    hot = skew.hot_keys(left, ["k"], 100) if split else None
     right = frame([("hot", 1), ("hot", 2), ("a", 3), ("z", 4), (None, 5)], "k string, w int")
-    got = skew.salted_join(left, right, ["k"], how, ["id"], rows_per_part=100)
+    got = skew.salted_join(left, right, ["k"], how, ["id"], hot)
     want = left.join(right, ["k"], how)
     assert got.columns == want.columns
     key = lambda r: tuple(str(x) for x in r)
@@ -73,7 +77,7 @@ def test_salted_join_two_keys_and_other_hot_source(frame):
     rows = skewed()
     left = frame(rows, "id int, k string, v int")
     right = left.groupBy("k", "v").agg(F.count(F.lit(1)).alias("n")).where("k IS NOT NULL")
-    got = skew.salted_join(left, right, ["k", "v"], "left", ["id"], hot_from=left.where("v < 10"), rows_per_part=5)
+    got = skew.salted_join(left, right, ["k", "v"], "left", ["id"], skew.hot_keys(left.where("v < 10"), ["k", "v"], 5))
     want = left.join(right, ["k", "v"], "left")
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
@@ -83,7 +87,23 @@ def test_hot_key_is_split(frame):
     parts = {r.k: r._salts for r in skew.hot_keys(left, ["k"], 600).collect()}
     assert parts == {"hot": 2}  # about 1,000 of 3,000 rows; the others stay whole, nulls are no key
     assert skew.hot_keys(left, ["k"]).count() == 0
-    assert skew.hot_keys(left, ["id"], 0, n=10).count() == 10
+    assert skew.hot_keys(left, ["id"], 0).count() == 3000  # no fixed number of keys
+
+
+def test_hundred_hot_keys_are_split(frame):
+    rows = frame([(i, i % 100) for i in range(5000)], "id int, k int")
+    hot = skew.hot_keys(rows, ["k"], 20)
+    assert {r._salts for r in hot.collect()} == {3} and hot.count() == 100
+    right = rows.groupBy("k").agg(F.max("id").alias("m"))
+    out = skew.salted_join(rows, right, ["k"], "left", ["id"], hot)
+    assert out.count() == 5000 and out.where("m % 100 <> k").count() == 0
+
+
+def test_counts_say_what_to_split(frame):
+    rows = frame(skewed(), "id int, k string, v int")
+    got = {(r.id, r.n) for r in windows.count_in(rows, ["k"], "n", ["id"], rows_per_part=100).collect()}
+    size = {r["k"]: r["count"] for r in rows.groupBy("k").count().collect()}
+    assert got == {(i, size[k] if k is not None else None) for i, k, _ in skewed()}
 
 
 def test_shared_folder_is_the_named_one(spark):
