@@ -150,28 +150,31 @@ register(
     """SELECT count(*) AS count, round(avg(total_pop), 4) AS mean, round(median(total_pop), 4) AS median, CAST(max(total_pop) AS DOUBLE) AS max
        FROM <census> WHERE total_pop > 0""",
 )
-_DESC = ["l_quantity", "l_extendedprice", "l_discount", "l_suppkey"]
+_DESC = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 register(
     "agg_describe",
-    lambda t: rounded(profile.describe(t("lineitem"), _DESC)),
+    lambda t: rounded(profile.describe(t("lineitem"))),
     " UNION ALL ".join(
         f"""SELECT '{c}' AS "column", count({c}) AS count, round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std, round(CAST(min({c}) AS DOUBLE), 4) AS min,
             round(quantile_cont(CAST({c} AS DOUBLE), 0.25), 4) AS p25, round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 4) AS p50,
             round(quantile_cont(CAST({c} AS DOUBLE), 0.75), 4) AS p75, round(CAST(max({c}) AS DOUBLE), 4) AS max FROM <lineitem>"""
         for c in _DESC),
 )
-_GOLDEN = ["math_high_pct", "math_low_pct", "teachers_fte", "read_high_pct", "enrollment"]
+_GOLDEN = [
+    "school_id", "school_name", "ncessch", "math_high_pct", "math_low_pct", "pct_hhi_150k_200k", "pct_hhi_220k_plus", "teachers_fte", "enrollment",
+    "grade_eight_enrollment", "math_counts", "read_counts", "read_high_pct", "avg_natwalkind", "total_10_14", "schools_in_zip", "school_type",
+]
 register(
     "agg_missing_profile",
-    lambda t: rounded(profile.missing_profile(t("golden").select(*_GOLDEN))),
+    lambda t: rounded(profile.missing_profile(t("golden"))),
     " UNION ALL ".join(
         f"""SELECT '{c}' AS "column", count(*) FILTER ({c} IS NULL) AS missing, round(count(*) FILTER ({c} IS NULL) * 100.0 / count(*), 4) AS pct FROM <golden>"""
         for c in _GOLDEN),
 )
-_CATS = ["school_status", "school_type", "city_location"]
+_CATS = ["school_name", "ncessch", "state_location", "county_code", "zip_location"]  # the first five text columns
 register(
     "agg_categorical_profile",
-    lambda t: profile.categorical_profile(t("directory").select(*_CATS)).withColumn("listed", F.array_join("listed", "|")),
+    lambda t: profile.categorical_profile(t("directory")).withColumn("listed", F.array_join("listed", "|")),
     " UNION ALL ".join(
         f"""SELECT '{c}' AS "column", count(DISTINCT {c}) AS n_distinct,
             CASE WHEN count(DISTINCT {c}) <= 10 THEN string_agg(DISTINCT {c}, '|' ORDER BY {c}) END AS listed FROM <directory>""" for c in _CATS),
@@ -229,6 +232,11 @@ register(
     f"""SELECT count(*) AS state_count, CAST(sum(school_count) AS BIGINT) AS total_schools
         FROM (WITH d AS ({DISTRICTS_SQL}) {STATE_SQL.replace('<districts>', 'd')})""",
 )
+register(
+    "agg_null_as_group", lambda t: A.count_by(t("directory"), ["state_location", "year_json"], "n", null_as_empty=True),
+    """SELECT coalesce(state_location, '') AS state_location, coalesce(year_json, '') AS year_json, count(*) AS n
+       FROM <directory> GROUP BY 1, 2""",
+)
 register(
     "agg_usage_status",
     lambda t: rounded(usage.usage_status(t("usage_log").withColumn("cost_usd", F.col("cost_usd").cast("double")), 7), 6),
@@ -248,7 +256,8 @@ def _drill(t):
     states, counties = marts.state_stats(rows), marts.county_stats(rows)
     national = marts.drill(rows, states, counties, "national").withColumn("level", F.lit("national"))
     state = marts.drill(rows, states, counties, "state", "NATION_7").withColumn("level", F.lit("state"))
-    return national.unionByName(state)
+    county = marts.drill(rows, states, counties, "county", "NATION_7", "703").withColumn("level", F.lit("county"))
+    return national.unionByName(state).unionByName(rounded(county, 4), allowMissingColumns=True)
 
 
 _COLS = "school_count, avg_math_pct_prof, avg_pct_high_income, pearson_r"
@@ -256,5 +265,7 @@ register(
     "agg_drill_levels", _drill,
     f"""WITH d AS ({DISTRICTS_SQL}), s AS ({STATE_SQL.replace('<districts>', 'd')}), c AS ({COUNTY_SQL.replace('<districts>', 'd')})
         SELECT state AS name, {_COLS}, 'national' AS level FROM s
-        UNION ALL SELECT county_fips, {_COLS}, 'state' FROM c WHERE state = 'NATION_7'""",
+        UNION ALL BY NAME SELECT county_fips AS name, {_COLS}, 'state' AS level FROM c WHERE state = 'NATION_7'
+        UNION ALL BY NAME SELECT school_name AS name, enrollment, round(math_pct_prof, 4) AS math_pct_prof, round(pct_high_income, 4) AS pct_high_income,
+               'county' AS level FROM d WHERE state = 'NATION_7' AND county_fips = '703'""",
 )

@@ -23,23 +23,30 @@ register(
                                  {"q_orders": t("orders"), "q_customer": t("customer")}, {"least": 5}),
     _SELECT.format(orders="<orders>", customer="<customer>", least=5),
 )
-_STAGING = {"stg_school_directory": ["ncessch", "state_location", "year_json", "teachers_fte"]}
+# the declared models over the roles: the select list of each, and the role
+_MODELS = {
+    "stg_census_data": ("CASE WHEN total_pop = 0 THEN NULL ELSE left(zip_code, 1) END AS state", "census"),
+    "stg_school_directory": (
+        "nullif(left(ncessch, 2), '12') AS leaid, ncessch, try_cast(latitude AS DOUBLE) AS latitude, try_cast(longitude AS DOUBLE) AS longitude", "directory"),
+    "stg_school_assessments": ("nullif(lea_name, 'LEA 7') AS leaid, ncessch, year_json AS year", "scores_text"),
+    "stg_location_data": ("nullif(latitude, 0e0) AS latitude, longitude", "points"),
+    "dim_school_assessments": ("nullif(CAST(l_orderkey AS STRING), '1') AS leaid, CAST(l_orderkey AS STRING) AS ncessch, year", "scores"),
+}
 
 
 def _failures(t):
-    scores = t("scores")
-    return quality.not_null({
-        "stg_school_directory": (t("directory"), _STAGING["stg_school_directory"]),
-        "stg_school_assessments": (scores, ["l_orderkey", "year", "race"]),
-    })
+    tables = {}
+    for name, (select, role) in _MODELS.items():
+        rows = t.spark.sql(f"SELECT {select} FROM {{rows}}", rows=t(role))
+        tables[name] = (rows, quality.NOT_NULL[name])
+    return quality.not_null(tables)
 
 
 register(
     "dq_not_null", _failures,
     " UNION ALL ".join(
-        [f"""SELECT 'stg_school_directory' AS table_name, '{c}' AS "column", count(*) FILTER ({c} IS NULL) AS failures FROM <directory>"""
-         for c in _STAGING["stg_school_directory"]]
-        + [f"SELECT 'stg_school_assessments', '{c}', count(*) FILTER ({c} IS NULL) FROM <scores>" for c in ("l_orderkey", "year", "race")]),
+        f"""SELECT '{name}' AS table_name, '{c}' AS "column", count(*) FILTER ({c} IS NULL) AS failures FROM (SELECT {select} FROM <{role}>)"""
+        for name, (select, role) in _MODELS.items() for c in quality.NOT_NULL[name]),
 )
 register(
     "dq_unique", lambda t: quality.unique(t("events").select(F.sha2("props", 256).alias("data_hash")), ["data_hash"]),

@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from tallymark.bindings.joins import COUNTY_SQL, over_districts, schools
 from tallymark.bindings.ranking import LAYERS_SQL, layer_tables
-from tallymark.bindings.registry import register, rounded
+from tallymark.bindings.registry import TABLES, register, rounded
 from tallymark.operators import marts
-from tallymark.plans.lineage import scratch_path
+from tallymark.plans.lineage import scratch_path, settle
 from tallymark.sources import readers as R
 from tallymark.sources import writers as W
 
@@ -172,19 +172,19 @@ def _ingest_stats(t):
     path = scratch_path(t.spark, "stats")
     rows = _hashed(t)
     W.insert_if_absent(rows.where("year = 2020"), path)
-    before = t.spark.read.parquet(path)
-    counts = before.groupBy("endpoint").agg(F.count(F.lit(1)).alias("n"))
-    kept = scratch_path(t.spark, "before")
-    counts.write.parquet(kept)
+    before = settle(W.stored_counts(t.spark.read.parquet(path)), "before")
     W.insert_if_absent(rows, path)
-    stored = t.spark.read.parquet(kept)
-    return W.ingest_stats(rows, stored.select("endpoint", F.explode(F.sequence(F.lit(1), F.col("n")))), t.spark.read.parquet(path))
+    return W.ingest_stats(rows, before, W.stored_counts(t.spark.read.parquet(path)), ["refund", "click"])
 
 
 register(
     "snk_ingest_stats", _ingest_stats,
-    f"""WITH u AS ({HASHED_SQL}) SELECT event_type AS endpoint, count(*) AS n_seen,
-            (SELECT count(*) FROM u WHERE u.endpoint = event_type AND year > 2020) AS n_inserted FROM <events> GROUP BY event_type""",
+    f"""WITH u AS ({HASHED_SQL}), e AS (SELECT DISTINCT event_type AS endpoint FROM <events> UNION SELECT 'refund' UNION SELECT 'click'),
+          s AS (SELECT endpoint, (SELECT count(*) FROM <events> WHERE event_type = endpoint) AS n_seen,
+                       (SELECT count(*) FROM u WHERE u.endpoint = e.endpoint AND year > 2020) AS n_inserted FROM e)
+        SELECT endpoint, CAST(sum(n_seen) AS BIGINT) AS n_seen, CAST(sum(n_inserted) AS BIGINT) AS n_inserted,
+               count(*) FILTER (n_inserted > 0) AS n_tables
+        FROM s GROUP BY GROUPING SETS ((endpoint), ())""",
 )
 
 
@@ -194,13 +194,17 @@ def _copied(t):
     source, target = f"src_{tag}", f"dst_{tag}"
     for db in (source, target):
         spark.sql(f"CREATE DATABASE `{db}` LOCATION '{scratch_path(spark, db)}'")
-    for name in ("orders", "supplier", "nation"):
-        t(name).write.saveAsTable(f"`{source}`.`{name}`")
-    return W.copy_schema(spark, source, target)
+    for name in TABLES:
+        writer = t(name).write
+        (writer.partitionBy("o_orderstatus") if name == "orders" else writer).saveAsTable(f"`{source}`.`{name}`")
+    copied = W.copy_schema(spark, source, target)
+    layout = [c.name for c in spark.catalog.listColumns(f"`{target}`.`orders`") if c.isPartition]
+    return copied.withColumn("layout", F.when(F.col("table_name") == "orders", F.lit("|".join(layout))))
 
 
 register(
     "snk_copy_schema", _copied,
-    " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS n_source, count(*) AS n_target, true AS same FROM <{n}>"
-                       for n in ("orders", "supplier", "nation")),
+    " UNION ALL ".join(
+        f"SELECT '{n}' AS table_name, count(*) AS n_source, count(*) AS n_target, true AS same, "
+        f"{chr(39) + 'o_orderstatus' + chr(39) if n == 'orders' else 'NULL'} AS layout FROM <{n}>" for n in TABLES),
 )

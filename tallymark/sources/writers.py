@@ -87,13 +87,16 @@ def geodata(layers: dict[str, DataFrame], path: str) -> None:
 
 
 def copy_schema(spark: SparkSession, source: str, target: str) -> DataFrame:
-    """Copy every table of one database into another and compare the row counts."""
+    """Copy every table of one database into another, with format and partitioning, and compare the row counts."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{target}`")
     names = [t.name for t in spark.catalog.listTables(source) if not t.isTemporary]
     for name in names:
-        spark.table(f"`{source}`.`{name}`").write.mode("overwrite").saveAsTable(
-            f"`{target}`.`{name}`"
-        )
+        table = f"`{source}`.`{name}`"
+        layout = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+        about = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+        writer = spark.table(table).write.mode("overwrite").format(about.get("Provider", "parquet"))
+        (writer.partitionBy(*layout) if layout else writer).saveAsTable(f"`{target}`.`{name}`")
+
     def counts(db: str, out: str) -> DataFrame:
         tables = {n: spark.table(f"`{db}`.`{n}`") for n in names}
         return row_counts(tables).select("table_name", F.col("n_rows").alias(out))
@@ -103,16 +106,31 @@ def copy_schema(spark: SparkSession, source: str, target: str) -> DataFrame:
     )
 
 
-def ingest_stats(seen: DataFrame, before: DataFrame | None, after: DataFrame) -> DataFrame:
-    """Per endpoint: records seen in a run and rows it added to the store."""
-    def count(df: DataFrame, out: str) -> DataFrame:
-        return df.groupBy("endpoint").agg(F.count(F.lit(1)).alias(out))
+def stored_counts(store: DataFrame) -> DataFrame:
+    """Rows of a store per endpoint: what ``ingest_stats`` compares a run with."""
+    return store.groupBy("endpoint").agg(F.count(F.lit(1)).alias("n"))
+
+
+def ingest_stats(seen: DataFrame, before: DataFrame | None, after: DataFrame,
+                 endpoints: Sequence[str] = ()) -> DataFrame:
+    """Per endpoint: records seen in a run and rows it added to its table.
 
-    out = count(seen, "n_seen").join(count(after, "_after"), "endpoint", "left")
+    ``before`` and ``after`` are ``stored_counts`` of the store. ``endpoints`` lists the endpoints of the
+    run, so that those without a record appear too. The row with a null endpoint holds the
+    totals of the run; ``n_tables`` counts the tables that got rows.
+    """
+    spark, zero = seen.sparkSession, F.lit(0)
+    named = spark.createDataFrame([(e,) for e in endpoints], "endpoint string")
+    seen_n = seen.groupBy("endpoint").agg(F.count(F.lit(1)).alias("n_seen"))
+    every = named.unionByName(seen_n.select("endpoint")).distinct()
+    out = every.join(seen_n, "endpoint", "left").join(after.withColumnRenamed("n", "_after"), "endpoint", "left")
     if before is not None:
-        out = out.join(count(before, "_before"), "endpoint", "left")
+        out = out.join(before.withColumnRenamed("n", "_before"), "endpoint", "left")
     else:
-        out = out.withColumn("_before", F.lit(0))
-    zero = F.lit(0)
-    inserted = F.coalesce("_after", zero) - F.coalesce("_before", zero)
-    return out.select("endpoint", "n_seen", inserted.cast("bigint").alias("n_inserted"))
+        out = out.withColumn("_before", zero)
+    added = F.coalesce("_after", zero) - F.coalesce("_before", zero)
+    out = out.select("endpoint", F.coalesce("n_seen", zero).alias("n_seen"), added.cast("bigint").alias("n_inserted"))
+    return out.groupingSets([["endpoint"], []], "endpoint").agg(
+        F.sum("n_seen").alias("n_seen"), F.sum("n_inserted").alias("n_inserted"),
+        F.count_if(F.col("n_inserted") > 0).alias("n_tables"),
+    )

@@ -75,9 +75,10 @@ def test_pages_of_a_table(spark):
 
 def test_ingest_stats(frame):
     seen = frame([("a", 1), ("a", 2), ("b", 3)], "endpoint string, x int")
-    before = frame([("a", 1)], "endpoint string, x int")
-    got = {r.endpoint: (r.n_seen, r.n_inserted) for r in writers.ingest_stats(seen, before, seen).collect()}
-    assert got == {"a": (2, 1), "b": (1, 1)}
+    before = frame([("a", 1)], "endpoint string, n bigint")
+    got = {r.endpoint: (r.n_seen, r.n_inserted, r.n_tables)
+           for r in writers.ingest_stats(seen, before, writers.stored_counts(seen), ["a", "c"]).collect()}
+    assert got == {"a": (2, 1, 1), "b": (1, 1, 1), "c": (0, 0, 0), None: (3, 2, 2)}
 
 
 def test_declared_tests(frame):
