@@ -4,17 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymark.functions.exprs import band, round_to
 from tallymark.functions.lookups import BRACKET_BANDS, BRACKET_EDGES
 from tallymark.plans.lineage import settle
-from tallymark.plans.scan import chunk_offsets, ordered_chunks, running
 from tallymark.plans.skew import salted_join
 
-# chunk lists up to this many rows are broadcast
-SMALL = 10_000
+# accuracy of the sketch, half width of a bracket, and rows below which a key is taken whole:
+# the bracket is wider than the sketch's error and holds five positions on either side
+ACCURACY, MARGIN, FEW = 10_000, 0.0005, 10_000
 
 
 def quantiles(
@@ -27,55 +27,70 @@ def quantiles(
 ) -> DataFrame:
     """Interpolated quantiles of ``x`` per key, as an array in the order of ``probs``.
 
-    Also gives ``n``, ``min`` and ``max``. Exact without gathering a group: equal
-    values are first counted together and sorted into chunks; counts per chunk tell
-    which chunks hold the wanted positions, and only these are opened. ``approx`` uses a sketch instead
-    (no interpolation), for when one pass must do.
+    Also gives ``n``, ``min`` and ``max``. Exact without sorting or gathering a group: a sketch
+    brackets each wanted position, a second pass counts what lies below a bracket and the values inside
+    it, and the position is looked up among these (a thousandth of the rows; keys with few rows are
+    taken whole). A key whose bracket misses is done again without brackets. ``approx`` uses the
+    sketch alone (no interpolation), for when one pass must do.
     """
-    value = F.col(x).cast("double")
-    rows = df.where(F.col(x).isNotNull())
+    rows = df.where(F.col(x).isNotNull()).select(
+        F.struct(*[F.col(k) for k in keys] or [F.lit(1).alias("one")]).alias("_k"), F.col(x).cast("double").alias("_x")
+    )
+    named = [F.col("_k")[k].alias(k) for k in keys]
     if approx:
-        return rows.groupBy(*keys).agg(
-            F.approx_percentile(value, [float(p) for p in probs]).alias(out),
-            F.count(F.lit(1)).alias("n"), F.min(value).alias("min"), F.max(value).alias("max"),
+        return rows.groupBy("_k").agg(
+            F.approx_percentile("_x", [float(p) for p in probs]).alias(out),
+            F.count(F.lit(1)).alias("n"), F.min("_x").alias("min"), F.max("_x").alias("max"),
+        ).select(*named, out, "n", "min", "max")
+    edges = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-MARGIN, MARGIN)})
+    sketch = settle(rows.groupBy("_k").agg(
+        F.count(F.lit(1)).alias("n"), F.min("_x").alias("min"), F.max("_x").alias("max"),
+        F.approx_percentile("_x", edges, ACCURACY).alias("_s"),
+    ), "sketch")
+
+    def edge(p: float) -> Column:
+        return F.when(F.col("n") >= FEW, F.get("_s", F.lit(edges.index(min(1.0, max(0.0, p))))))
+
+    found = settle(_positions(rows, sketch, probs, [
+        (F.coalesce(edge(p - MARGIN), "min"), F.coalesce(edge(p + MARGIN), "max")) for p in probs
+    ]), "quantiles")
+    missed = found.where(F.exists("_q", lambda v: v.isNull())).select("_k")
+    if not missed.isEmpty():
+        again = _positions(
+            rows.join(missed, "_k", "left_semi"), sketch.join(missed, "_k", "left_semi"), probs,
+            [(F.col("min"), F.col("max")) for _ in probs],
         )
-    counted = rows.groupBy(*keys, value.alias("_x")).agg(F.count(F.lit(1)).alias("_n"))
-    chunked = ordered_chunks(counted, keys, ["_x"])
-    sums, totals = {"_before": F.col("_n")}, {"_total": "_before"}
+        found = found.join(missed, "_k", "left_anti").unionByName(again)
+    return found.select(*named, F.col("_q").alias(out), "n", "min", "max")
+
 
+def _positions(
+    rows: DataFrame, sketch: DataFrame, probs: Sequence[float], ends: Sequence[tuple[Column, Column]]
+) -> DataFrame:
+    """The values at the positions of ``probs``, looked up between the ``ends``; null where they are outside."""
+    js = range(len(probs))
+    bound = sketch.select("_k", *[c.alias(f"_{n}{j}") for j in js for n, c in zip("ab", ends[j])])
+    placed = rows.join(bound, "_k")
+    below = placed.groupBy("_k").agg(*[F.count_if(F.col("_x") < F.col(f"_a{j}")).alias(f"_below{j}") for j in js])
+    inside = [F.when((F.col("_x") >= F.col(f"_a{j}")) & (F.col("_x") <= F.col(f"_b{j}")), F.lit(j)) for j in js]
+    values = placed.select("_k", "_x", F.explode(F.array_compact(F.array(*inside))).alias("_j")).groupBy("_k", "_j", "_x").agg(
+        F.count(F.lit(1)).alias("_n")
+    )
+    earlier = Window.partitionBy("_k", "_j").orderBy("_x").rowsBetween(Window.unboundedPreceding, -1)
+    counted = values.withColumn("_run", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
     # positions on both sides of each quantile, counted from 0
-    at = [(F.col("_total") - 1) * F.lit(float(p)) for p in probs]
-    low, high = [F.floor(a) for a in at], [F.ceil(a) for a in at]
-
-    def any_wanted(before: str, size: str) -> Column:
-        """The run of ``size`` positions after ``before`` has a wanted one, or is an end."""
-        first, after = F.col(before), F.col(before) + F.col(size)
-        out = (first == 0) | (after == F.col("_total"))
-        for i in [*low, *high]:
-            out = out | ((first <= i) & (i < after))
-        return out
-
-    def holds(i: Column) -> Column:
-        return (F.col("_before") <= i) & (i < F.col("_before") + F.col("_n"))
-
-    chunks = chunk_offsets(chunked, keys, sums, totals).where(any_wanted("_o__before", "_c__before"))
-    chunks = settle(chunks, "wanted")
-    if chunks.limit(SMALL + 1).count() <= SMALL:
-        chunks = F.broadcast(chunks)
-    placed = running(chunked, keys, sums, totals, chunks)
-    wanted = any_wanted("_before", "_n")
-    picked = placed.where(wanted).groupBy(*keys).agg(
-        F.max("_total").alias("n"),
-        F.min("_x").alias("min"),
-        F.max("_x").alias("max"),
-        *[F.max(F.when(holds(i), F.col("_x"))).alias(f"_lo{j}") for j, i in enumerate(low)],
-        *[F.max(F.when(holds(i), F.col("_x"))).alias(f"_hi{j}") for j, i in enumerate(high)],
-    ).withColumn("_total", F.col("n"))
-    between = [
-        F.col(f"_lo{j}") + (F.col(f"_hi{j}") - F.col(f"_lo{j}")) * (at[j] - low[j])
-        for j in range(len(probs))
-    ]
-    return picked.select(*keys, F.array(*between).alias(out), "n", "min", "max")
+    at = [(F.col("n") - 1) * F.lit(float(p)) for p in probs]
+
+    def value(j: int, i: Column) -> Column:
+        before = F.col("_run") + F.col(f"_below{j}")
+        return F.max(F.when((F.col("_j") == j) & (before <= i) & (i < before + F.col("_n")), F.col("_x")))
+
+    whole = sketch.select("_k", "n", "min", "max").join(below, "_k").join(counted, "_k")
+    picked = whole.groupBy("_k", "n", "min", "max").agg(*[
+        e.alias(f"_{name}{j}") for j in js for name, e in (("lo", value(j, F.floor(at[j]))), ("hi", value(j, F.ceil(at[j]))))
+    ])
+    between = [F.col(f"_lo{j}") + (F.col(f"_hi{j}") - F.col(f"_lo{j}")) * (at[j] - F.floor(at[j])) for j in js]
+    return picked.select("_k", "n", "min", "max", F.array(*between).alias("_q"))
 
 
 def quantile_cuts(

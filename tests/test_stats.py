@@ -70,6 +70,30 @@ def test_quantiles_are_exact(frame, n):
     assert got["b"].q == [3.0] * 6 and "c" not in got
 
 
+@pytest.mark.parametrize("margin", [0.05, 0.0])
+def test_quantiles_from_brackets(frame, monkeypatch, margin):
+    """Brackets of a coarse sketch, with ties, constants and skew; without width they miss and are done again."""
+    for name, value in (("FEW", 50), ("ACCURACY", 100), ("MARGIN", margin)):
+        monkeypatch.setattr(quantiles, name, value)
+    r = random.Random(7)
+    columns = {
+        "ties": [float(r.randint(0, 5)) for _ in range(700)], "flat": [2.5] * 300, "skew": [r.random() ** 9 for _ in range(900)],
+        "few": [1.0, 2.0, 4.0], None: [float(i) for i in range(100)],
+    }
+    probs = [0.0, 0.1, 0.5, 0.99, 1.0]
+    rows = [(k, x) for k, xs in columns.items() for x in xs]
+    df = quantiles.quantiles(frame(rows, "k string, x double"), "x", probs, ["k"])
+    got = {x.k: x for x in df.collect()}
+    assert set(got) == set(columns)
+    for k, xs in columns.items():
+        assert got[k].q == pytest.approx(list(np.quantile(xs, probs))) and got[k].n == len(xs)
+
+
+def test_quantiles_do_not_sort_the_rows(frame):
+    df = quantiles.quantiles(frame([("a", 1.0)], "k string, x double"), "x", [0.5], ["k"])
+    assert "rangepartitioning" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def brackets_by_hand(points):
     if len(points) < 5:
         return []
