@@ -1,30 +1,33 @@
-"""Queries for model training. They have no SQL counterpart; their rows depend on the fit."""
+"""Queries for model training. Those with a closed form are held against SQL; the rows of others depend on the fit."""
 
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import functions as F
 
-from tallymark.bindings.registry import register
+from tallymark.bindings.registry import register, rounded
 from tallymark.operators import ml
 from tallymark.plans.lineage import scratch_path, settle
 
 NUMERIC = ["enrollment", "grade_eight_enrollment", "schools_in_zip", "math_counts", "math_low_pct", "read_counts",
-           "read_high_pct", "avg_natwalkind", "total_10_14", "teachers_fte"]
+           "read_high_pct", "avg_natwalkind", "total_10_14", "pct_hhi_150k_200k", "pct_hhi_220k_plus", "teachers_fte"]
 
 
 def prepared(t):
     rows = t("golden").withColumn("id", F.col("school_id"))
-    return ml.prepare(rows, "math_high_pct", NUMERIC, ["school_type"], ["school_name", "ncessch"], keep_features=8)[0]
+    return ml.prepare(rows, "math_high_pct", NUMERIC, ["school_type"], ["school_name", "ncessch"], keep_features=8,
+                      held_out=F.col("school_id") % 10 < 3)[0]
 
 
 def _split(t):
-    return _features(t).randomSplit([0.7, 0.3], seed=123)
+    rows = _features(t)
+    return rows.where(~F.col(ml.HELD_OUT)), rows.where(ml.HELD_OUT)
 
 
 def _features(t):
     """Feature rows, written once: the fits go over them many times."""
-    return settle(prepared(t).select("id", ml.LABEL, ml.FEATURES), "features")
+    return settle(prepared(t).select("id", ml.LABEL, ml.HELD_OUT, ml.FEATURES), "features")
 
 
 def _forest(seed=123):
@@ -38,6 +41,50 @@ def _prepare(t):
 
 
 register("ml_prepare", _prepare)
+
+
+_PLAIN = ["enrollment", "math_counts", "total_10_14"]
+
+
+def _scaled(t):
+    """Logarithm, outliers and scaling, fitted on the rows that are not held out."""
+    rows = t("golden").select(F.col("school_id").alias("id"), "math_high_pct", *_PLAIN)
+    out = ml.prepare(rows, "math_high_pct", _PLAIN, held_out=F.col("id") % 10 < 3)[0]
+    values = vector_to_array(ml.FEATURES)
+    return rounded(out.select("id", ml.HELD_OUT, *[F.get(values, F.lit(i)).alias(c) for i, c in enumerate(_PLAIN)]), 6)
+
+
+register(
+    "ml_scaled", _scaled,
+    f"""WITH l AS (SELECT school_id AS id, school_id % 10 < 3 AS held_out, {', '.join(f'sign({c}) * ln(1 + abs({c})) AS {c}' for c in _PLAIN)}
+                   FROM <golden> WHERE math_high_pct IS NOT NULL),
+          f AS (SELECT {', '.join(f'avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}' for c in _PLAIN)} FROM l WHERE NOT held_out),
+          k AS (SELECT l.* FROM l, f WHERE held_out OR ({' AND '.join(f'abs({c} - m_{c}) / s_{c} <= 4' for c in _PLAIN)})),
+          g AS (SELECT {', '.join(f'avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}' for c in _PLAIN)} FROM k WHERE NOT held_out)
+        SELECT id, held_out, {', '.join(f'round(({c} - m_{c}) / s_{c}, 6) AS {c}' for c in _PLAIN)} FROM k, g""",
+)
+
+
+def _line(t):
+    """A fit on one feature, saved and loaded again."""
+    rows = t("golden").where("math_high_pct IS NOT NULL AND read_high_pct IS NOT NULL").select(
+        F.col("math_high_pct").alias(ml.LABEL), "read_high_pct")
+    stages = [VectorAssembler(inputCols=["read_high_pct"], outputCol=ml.FEATURES), LinearRegression(featuresCol=ml.FEATURES, labelCol=ml.LABEL)]
+    path = scratch_path(t.spark, "line")
+    ml.finalize(rows, Pipeline(stages=stages), path)
+    fit = PipelineModel.load(path).stages[-1]
+    error = F.col(ml.LABEL) - F.col(ml.PREDICTION)
+    facts = PipelineModel.load(path).transform(rows).agg(
+        F.count(F.lit(1)).alias("n"), (F.abs(F.avg(error)) < 1e-6).alias("centred"))
+    return rounded(facts.select("n", "centred", F.lit(float(fit.coefficients[0])).alias("slope"), F.lit(fit.intercept).alias("intercept")), 5)
+
+
+register(
+    "ml_line", _line,
+    """SELECT count(*) AS n, true AS centred, round(regr_slope(math_high_pct, read_high_pct), 5) AS slope,
+              round(regr_intercept(math_high_pct, read_high_pct), 5) AS intercept
+       FROM <golden> WHERE math_high_pct IS NOT NULL AND read_high_pct IS NOT NULL""",
+)
 register("ml_compare", lambda t: ml.compare(*_split(t)))
 
 

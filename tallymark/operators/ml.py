@@ -17,23 +17,28 @@ from pyspark.ml.regression import (
     DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor,
 )
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.plans.lineage import settle
 
-LABEL, FEATURES, PREDICTION = "label", "features", "prediction"
+LABEL, FEATURES, PREDICTION, HELD_OUT = "label", "features", "prediction", "held_out"
 
 
-def drop_outliers(df: DataFrame, columns: Sequence[str], limit: float = 4.0) -> DataFrame:
-    """Rows with every value within ``limit`` standard deviations of its mean."""
+def _within(fit_on: DataFrame, columns: Sequence[str], limit: float) -> Column:
+    """Whether every value is within ``limit`` standard deviations of its mean in ``fit_on``."""
     parts = [F.struct(F.avg(c).alias("m"), F.stddev_samp(c).alias("s")).alias(c) for c in columns]
-    facts = df.agg(F.struct(*parts)).scalar()
+    facts = fit_on.agg(F.struct(*parts)).scalar()
     keep = F.lit(True)
     for c in columns:
         z = F.try_divide(F.abs(F.col(c) - facts.getField(c).getField("m")), facts.getField(c).getField("s"))
         keep = keep & (F.coalesce(z, F.lit(0.0)) <= limit)
-    return df.where(keep)
+    return keep
+
+
+def drop_outliers(df: DataFrame, columns: Sequence[str], limit: float = 4.0) -> DataFrame:
+    """Rows with every value within ``limit`` standard deviations of its mean."""
+    return df.where(_within(df, columns, limit))
 
 
 def prepare(
@@ -43,19 +48,23 @@ def prepare(
     categorical: Sequence[str] = (),
     ignore: Sequence[str] = (),
     keep_features: int | None = None,
+    held_out: Column | None = None,
 ) -> tuple[DataFrame, PipelineModel]:
-    """Feature vectors and the fitted pipeline that makes them.
+    """Feature vectors, whether a row is ``held_out``, and the fitted pipeline that makes the vectors.
 
     Rows without target are dropped, numbers are compressed with a signed logarithm,
     outliers removed, gaps filled with the median, categories one-hot encoded, everything
-    scaled, and with ``keep_features`` only the best features by F-test are kept.
+    scaled, and with ``keep_features`` only the best features by F-test are kept. All of this is
+    fitted on the rows that are not held out; held-out rows are transformed only, and none
+    of them is removed.
     """
-    rows = df.drop(*ignore).where(F.col(target).isNotNull())
+    held = F.lit(False) if held_out is None else F.coalesce(held_out, F.lit(False))
+    rows = df.withColumn(HELD_OUT, held).drop(*ignore).where(F.col(target).isNotNull())
     rows = rows.withColumns({
         c: F.signum(F.col(c).cast("double")) * F.log1p(F.abs(F.col(c).cast("double"))) for c in numeric
     }).withColumn(LABEL, F.col(target).cast("double"))
     # every stage goes over the rows to be fitted
-    rows = settle(drop_outliers(rows, numeric), "training")
+    rows = settle(rows.where(F.col(HELD_OUT) | _within(rows.where(~F.col(HELD_OUT)), numeric, 4.0)), "training")
     filled = [f"{c}_filled" for c in numeric]
     coded = [f"{c}_index" for c in categorical]
     hot = [f"{c}_hot" for c in categorical]
@@ -76,7 +85,7 @@ def prepare(
         )
         select.setFeatureType("continuous").setLabelType("continuous")
         stages.append(select.setSelectionThreshold(keep_features))
-    model = Pipeline(stages=stages).fit(rows)
+    model = Pipeline(stages=stages).fit(rows.where(~F.col(HELD_OUT)))
     return model.transform(rows), model
 
 
