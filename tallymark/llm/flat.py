@@ -1,6 +1,6 @@
 """Texts of an Arrow column as one flat byte array, with words, lines and hashes by numpy.
 
-A null text is an empty one. Work goes in chunks of a few megabytes, so that a task's memory
+A null text is an empty one. Work goes in small chunks, so that a task's memory
 depends on the longest text, not on the number of texts.
 """
 
@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
 
 # Blank characters are space and tab to carriage return.
 BLANK = np.zeros(256, bool)
