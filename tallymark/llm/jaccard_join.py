@@ -14,11 +14,12 @@ result, depends on it.
 Only links between different components matter for components, so candidates are taken in two steps:
 first each document with one hub (the smallest document it shares most prefix shingles
 with); then, for shingles whose documents are still in different components, all pairs across components.
-Every candidate is verified on the whole sets.
+A candidate whose shared shingles come too late in the order to reach the overlap is left out; every
+other one is verified on the whole sets.
 
 Defined cases: documents without words are linked with nothing; fewer words than a shingle make one
 shingle of all of them; null ids are linked with nothing; documents with equal sets are one group
-without comparison; repeated rows fall in the same component; an empty table gives an empty table;
+without comparison; an id is taken to name one text, and repeated rows fall in the same component; an empty table gives an empty table;
 further columns are ignored. Shingles are known by 64-bit hashes, equal sets by 128 bits.
 """
 
@@ -29,8 +30,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallymark.llm import flat
 from tallymark.llm.components import components
@@ -42,6 +44,12 @@ SHARE, LEAST_FREQUENT = 1 / 2000, 32
 #: Most shared shingles asked for; cost of verifying a candidate against reading one posting.
 MOST_SHARED, VERIFY_COST = 8, 20.0
 BUCKET_BYTES = 24 << 20
+#: Candidates a task holds before it adds up those of the same pair.
+HELD_PAIRS = 1 << 20
+#: Documents in a tile of a large cluster of candidates.
+TILE = 128
+#: Largest set whose low 16 bits tell hashes apart well; pairs whose ids may be broadcast (tens of MB).
+SHORT, FEW = 4096, 500_000
 U = np.uint64
 
 
@@ -106,8 +114,8 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def prefixes(value: np.ndarray, at: np.ndarray, hot: np.ndarray, hot_df: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text, shingle, whether it is frequent) of every text's prefix, and l of every text."""
+def prefixes(value: np.ndarray, at: np.ndarray, hot: np.ndarray, hot_df: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(text, shingle, whether it is frequent, place in order) of every text's prefix, and l of every text."""
     sizes = np.diff(at)
     text = np.repeat(np.arange(len(sizes)), sizes)
     if len(hot):
@@ -132,26 +140,26 @@ def prefixes(value: np.ndarray, at: np.ndarray, hot: np.ndarray, hot_df: np.ndar
         better &= (l == 1) | extra  # longer prefixes only pay where they meet frequent shingles
         best, shared = np.where(better, cost, best), np.where(better, l, shared)
     inside = rank < (base + shared)[text]
-    return text[inside], value[inside], df[inside] > 0, shared
+    return text[inside], value[inside], df[inside] > 0, rank[inside], shared
 
 
 def _posting_task(buckets: int, hot: np.ndarray, hot_df: np.ndarray):
-    names = ["bucket", "tokens", "docs", "sizes", "shared"]
+    names = ["bucket", "tokens", "docs", "sizes", "places", "shared"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k, batch in enumerate(batches):
             parts, seen = [], set()
             for ids, sizes, digests, value, at in _distinct_batches(iter([batch])):
-                text, token, frequent, shared = prefixes(value, at, hot, hot_df)
+                text, token, frequent, place, shared = prefixes(value, at, hot, hot_df)
                 # of equal sets in a batch one goes on: the digest links the others
                 known = ids.is_valid().to_numpy(zero_copy_only=False)
                 new = np.array([bool(ok) and n > 0 and d not in seen and not seen.add(d) for ok, n, d in zip(known, sizes, digests)], bool)
                 keep = new[text]
-                text, token, frequent = text[keep], token[keep], frequent[keep]
+                text, token, frequent, place = text[keep], token[keep], frequent[keep], place[keep]
                 doc = ids.fill_null(0).to_numpy(zero_copy_only=False)[text]
                 # what is known to be frequent needs no look for company, and is spread by document
                 bucket = np.where(frequent, buckets + (doc & 1023), (token % U(buckets)).astype(np.int64))
-                parts.append((bucket, token, doc.astype(np.int64), sizes[text].astype(np.int32), shared[text].astype(np.int8)))
+                parts.append((bucket, token, doc.astype(np.int64), sizes[text].astype(np.int32), place.astype(np.int32), shared[text].astype(np.int8)))
             if not parts:
                 continue
             bucket, *columns = (np.concatenate(c) for c in zip(*parts))
@@ -168,9 +176,9 @@ def _posting_task(buckets: int, hot: np.ndarray, hot_df: np.ndarray):
 
 def _shared_postings(buckets: int):
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        token, doc, size, shared = (
+        token, doc, size, place, shared = (
             np.concatenate([np.frombuffer(x.as_buffer(), t) for x in table.column(c)])
-            for c, t in (("tokens", U), ("docs", np.int64), ("sizes", np.int32), ("shared", np.int8))
+            for c, t in (("tokens", U), ("docs", np.int64), ("sizes", np.int32), ("places", np.int32), ("shared", np.int8))
         )
         if key[0].as_py() < buckets:
             order = np.argsort(token, kind="stable")
@@ -180,75 +188,192 @@ def _shared_postings(buckets: int):
             keep[1:] |= same
             keep[:-1] |= same
             order = order[keep]
-            token, doc, size, shared = token[order], doc[order], size[order], shared[order]
-        return pa.table({"token": token.view(np.int64), "doc": doc, "n": size, "l": shared.astype(np.int32)})
+            token, doc, size, place, shared = token[order], doc[order], size[order], place[order], shared[order]
+        return pa.table({"token": token.view(np.int64), "doc": doc, "n": size, "place": place, "l": shared.astype(np.int32)})
 
     return run
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The last column, a text, replaced by its set."""
-    for batch in batches:
-        wide = batch.num_columns - 1
-        for a, b, data, bounds in flat.chunks(batch.column(wide)):
-            value, at = shingle_sets(data, bounds)
-            packed = pa.Array.from_buffers(pa.large_binary(), b - a, [None, pa.py_buffer((at * 8).astype(np.int64)), pa.py_buffer(value)])
-            yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(a, b - a) for i in range(wide)), packed.cast(pa.binary())], names=[*batch.schema.names[:wide], "set"])
+def _sets(short: bool):
+    """The last column, a text, replaced by the size of its set and the set. A short set holds
+    the distinct low bits of its hashes only.
+    """
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            wide = batch.num_columns - 1
+            for a, b, data, bounds in flat.chunks(batch.column(wide)):
+                value, at = shingle_sets(data, bounds)
+                each = [value[x:y] for x, y in zip(at[:-1], at[1:])]
+                if short:
+                    each = [np.unique(v.astype(np.uint16 if len(v) <= SHORT else np.uint32)) for v in each]
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(i).slice(a, b - a) for i in range(wide)), pa.array(np.diff(at).astype(np.int64)), pa.array([v.tobytes() for v in each], pa.binary())],
+                    names=[*batch.schema.names[:wide], "n", "set"],
+                )
 
-def _overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (a, b, set, other) that are similar enough."""
-    for batch in batches:
-        keep = np.zeros(batch.num_rows, bool)
-        for r, (x, y) in enumerate(zip(batch.column(2), batch.column(3))):
-            x, y = np.frombuffer(x.as_buffer(), U), np.frombuffer(y.as_buffer(), U)
-            both = np.sort(np.concatenate([x, y]), kind="stable")
-            common = int((both[1:] == both[:-1]).sum())
-            keep[r] = 100 * common >= PERCENT * (len(x) + len(y) - common)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep))
-
-
-def verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar enough. ``rows``: doc_id, text."""
-    left = pairs.join(rows, F.col("a") == F.col("doc_id")).select("a", "b", "text").mapInArrow(_sets, "a long, b long, set binary")
-    hubs = rows.join(pairs.select(F.col("b").alias("doc_id")).distinct(), "doc_id", "left_semi").select("doc_id", "text")
-    hubs = hubs.mapInArrow(_sets, "doc_id long, set binary").withColumnRenamed("set", "other")
-    both = left.join(hubs, F.col("b") == F.col("doc_id")).select("a", "b", "set", "other")
-    return both.mapInArrow(_overlap, "a long, b long")
-
-
-def _fits(n: str, m: str):
-    return (F.col(n) * 100 >= F.col(m) * PERCENT) & (F.col(m) * 100 >= F.col(n) * PERCENT)
-
-
-def _across(key: tuple, table: pa.Table) -> pa.Table:
-    """Pairs of documents in different components that share a shingle of the bucket."""
-    token, doc, n, l, part = (table.column(c).to_numpy() for c in ("token", "doc", "n", "l", "part"))
-    order = np.lexsort([doc, part, token])
-    token, doc, n, l, part = token[order], doc[order], n[order], l[order], part[order]
-    ends = np.append(np.flatnonzero(token[1:] != token[:-1]) + 1, len(token))
-    out: list[tuple] = []
-    start = 0
-    for end in ends.tolist():
-        # each component against what comes after it
-        cuts = np.flatnonzero(part[start + 1 : end] != part[start : end - 1]) + 1 + start
-        begins = [start, *cuts.tolist()]
-        for a, b in zip(begins, cuts.tolist()):
-            for i in range(a, b):
-                other = slice(b, end)
-                near = np.flatnonzero((n[other] * 100 >= n[i] * PERCENT) & (n[i] * 100 >= n[other] * PERCENT)) + b
-                if len(near):
-                    out.append((np.full(len(near), doc[i]), doc[near], np.minimum(l[near], l[i])))
-        start = end
-    if not out:
-        return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "l": pa.array([], pa.int32()), "m": pa.array([], pa.int64())})
-    a, b, l = (np.concatenate(c) for c in zip(*out))
-    low, high = np.minimum(a, b), np.maximum(a, b)
-    order = np.lexsort([high, low])
-    low, high, l = low[order], high[order], l[order]
-    first = np.flatnonzero(np.concatenate([[True], (low[1:] != low[:-1]) | (high[1:] != high[:-1])]))
-    count = np.diff(np.append(first, len(low)))
-    return pa.table({"a": high[first], "b": low[first], "l": l[first].astype(np.int32), "m": count.astype(np.int64)})
+    return run
+
+
+def _both(x: np.ndarray, y: np.ndarray) -> int:
+    both = np.sort(np.concatenate([x, y]), kind="stable")
+    return int((both[1:] == both[:-1]).sum())
+
+
+def _overlaps(short: bool):
+    """The pairs of a group that are similar enough; with short sets, that may be: what is lost when
+    hashes of one set fall together is added to the low bits in common.
+    """
+
+    def run(key: tuple, pairs: pa.Table, sets: pa.Table) -> pa.Table:
+        size = dict(zip(sets.column("doc").to_pylist(), sets.column("n").to_pylist()))
+        kind = lambda n: U if not short else np.uint16 if n <= SHORT else np.uint32
+        of = {d: np.frombuffer(v.as_buffer(), kind(size[d])) for d, v in zip(sets.column("doc").to_pylist(), sets.column("set"))}
+        keep = np.zeros(pairs.num_rows, bool)
+        for r, (i, j) in enumerate(zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist())):
+            x, y = of[i], of[j]
+            if x.dtype != y.dtype:
+                x, y = np.unique(x.astype(np.uint16)), np.unique(y.astype(np.uint16))
+            common = _both(x, y) + min(size[i] - len(x), size[j] - len(y))
+            keep[r] = (100 + PERCENT) * common >= PERCENT * (size[i] + size[j])
+        return pairs.select(["a", "b", "g"]).filter(pa.array(keep))
+
+    return run
+
+
+def _place(pairs: DataFrame, set_bytes: float) -> DataFrame:
+    """The pairs with the group that compares them (``g``).
+
+    Candidates come in clusters. A set goes to its cluster once; small clusters share a task,
+    and large ones are cut into tiles, with a task for every two tiles that have a pair.
+    """
+    clusters = settle(components(pairs), "clusters")
+    n = clusters.count()
+    bundles = max(1, -(-int(n * set_bytes) // BUCKET_BYTES))
+    tiles = clusters.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / F.lit(TILE)).cast("int").alias("tiles"))
+    tile = lambda c: F.pmod(F.xxhash64(c), F.col("tiles")).cast("int")
+    whole = F.col("tiles") == 1
+    group = F.struct(
+        F.when(whole, F.pmod(F.xxhash64("component"), F.lit(bundles))).otherwise(F.col("component")).alias("c"),
+        F.when(whole, -1).otherwise(F.least(tile("a"), tile("b"))).alias("s"),
+        F.when(whole, -1).otherwise(F.greatest(tile("a"), tile("b"))).alias("t"),
+    )
+    placed = pairs.join(clusters, F.col("a") == F.col("node")).join(tiles, "component").select("a", "b", group.alias("g"))
+    return settle(placed, "placed")
+
+
+def _compared(placed: DataFrame, rows: DataFrame, few: bool, short: bool) -> DataFrame:
+    """The placed pairs whose sets pass, with their group."""
+    wanted = placed.select(F.col("a").alias("doc"), "g").unionByName(placed.select(F.col("b").alias("doc"), "g"))
+    wanted = wanted.groupBy("doc").agg(F.collect_set("g").alias("gs"))
+    # at most two ids a pair, and the pairs are counted; if they are many, texts are dealt out by id
+    near = F.broadcast(wanted) if few else wanted
+    sets = rows.join(near, F.col("doc_id") == F.col("doc")).select("doc", "gs", "text").mapInArrow(
+        _sets(short), T.StructType([*wanted.schema.fields, T.StructField("n", T.LongType()), T.StructField("set", T.BinaryType())])
+    )
+    sent = sets.select("doc", "n", "set", F.explode("gs").alias("g"))
+    return placed.groupBy("g").cogroup(sent.groupBy("g")).applyInArrow(_overlaps(short), placed.schema)
+
+
+def verified(pairs: DataFrame, rows: DataFrame, set_bytes: float) -> DataFrame:
+    """The pairs (a, b) whose whole sets are similar enough. ``rows``: doc_id, text.
+
+    Low bits of the hashes, a quarter of the size, give an upper bound for the overlap first; what passes
+    is decided on the hashes themselves.
+    """
+    placed = _place(pairs, set_bytes)
+    likely = settle(_compared(placed, rows, placed.count() <= FEW, True), "likely")
+    return _compared(likely, rows, likely.count() <= FEW, False).select("a", "b")
+
+
+def _enough(m, n, o, la, lb, x, y, least, most, floor):
+    """Whether a candidate can be similar enough, for columns or arrays.
+
+    ``m`` prefix shingles are shared, the last at places ``x`` and ``y`` of sets of sizes ``n`` and ``o``. Whatever else they
+    share comes later in both and lies outside one of the prefixes, so no more of it is left than
+    the part of that set after its prefix, and than the rest of the other set.
+    """
+    px, py = floor(n * (100 - PERCENT) / 100) + la, floor(o * (100 - PERCENT) / 100) + lb
+    rest = most(least(n - px, o - y - 1), least(n - x - 1, o - py))
+    return (m >= least(la, lb)) & ((100 + PERCENT) * (m + rest) >= PERCENT * (n + o))
+
+
+_PAIR = (("a", np.int64), ("b", np.int64), ("n", np.int32), ("o", np.int32), ("la", np.int8), ("lb", np.int8), ("m", np.int32), ("x", np.int32), ("y", np.int32))
+
+
+def _merged(c: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """Counts of each pair added up, places at their last."""
+    order = np.lexsort([c["b"], c["a"]])
+    c = {k: v[order] for k, v in c.items()}
+    if not len(order):
+        return c
+    first = np.flatnonzero(np.concatenate([[True], (c["a"][1:] != c["a"][:-1]) | (c["b"][1:] != c["b"][:-1])]))
+    out = {k: v[first] for k, v in c.items()}
+    out["m"] = np.add.reduceat(c["m"], first)
+    out["x"], out["y"] = np.maximum.reduceat(c["x"], first), np.maximum.reduceat(c["y"], first)
+    return out
+
+
+def _across(buckets: int):
+    """Pairs of documents in different components that share shingles of a bucket, packed by pair."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        token, doc, n, place, l, part = (table.column(c).to_numpy() for c in ("token", "doc", "n", "place", "l", "part"))
+        order = np.lexsort([doc, part, token])
+        token, doc, n, place, l, part = (v[order] for v in (token, doc, n, place, l, part))
+        ends = np.append(np.flatnonzero(token[1:] != token[:-1]) + 1, len(token))
+        out: list[tuple] = []
+        held, done = 0, []
+
+        def take() -> None:
+            i, j = (np.concatenate(c) for c in zip(*out))
+            high = doc[i] > doc[j]
+            i, j = np.where(high, i, j), np.where(high, j, i)
+            done.append(_merged({
+                "a": doc[i], "b": doc[j], "n": n[i], "o": n[j], "la": l[i], "lb": l[j],
+                "m": np.ones(len(i), np.int32), "x": place[i], "y": place[j],
+            }))
+            out.clear()
+
+        start = 0
+        for end in ends.tolist():
+            # each component against what comes after it
+            cuts = np.flatnonzero(part[start + 1 : end] != part[start : end - 1]) + 1 + start
+            begins = [start, *cuts.tolist()]
+            for a, b in zip(begins, cuts.tolist()):
+                for i in range(a, b):
+                    other = slice(b, end)
+                    near = np.flatnonzero((n[other] * 100 >= n[i] * PERCENT) & (n[i] * 100 >= n[other] * PERCENT)) + b
+                    if len(near):
+                        out.append((np.full(len(near), i), near))
+                        held += len(near)
+                        if held > HELD_PAIRS:
+                            take()
+                            held = 0
+            start = end
+        if out:
+            take()
+        names = ["bucket", *(c for c, _ in _PAIR)]
+        if not done:
+            return pa.table({c: pa.array([], pa.int64() if c == "bucket" else pa.binary()) for c in names})
+        pairs = _merged({c: np.concatenate([d[c] for d in done]) for c, _ in _PAIR})
+        to = (flat.mixed(pairs["a"].view(U) * U(31) + pairs["b"].view(U)) % U(buckets)).astype(np.int64)
+        order = np.argsort(to, kind="stable")
+        groups = [g for g in np.split(order, np.flatnonzero(np.diff(to[order])) + 1) if len(g)]
+        return pa.table(
+            [pa.array([int(to[g[0]]) for g in groups], pa.int64())]
+            + [pa.array([pairs[c][g].astype(t).tobytes() for g in groups], pa.binary()) for c, t in _PAIR], names=names,
+        )
+
+    return run
+
+
+def _counted(key: tuple, table: pa.Table) -> pa.Table:
+    """The pairs of a bucket that can be similar enough."""
+    c = {k: np.concatenate([np.frombuffer(v.as_buffer(), t) for v in table.column(k)]).astype(np.int64) for k, t in _PAIR}
+    c = _merged(c)
+    keep = _enough(c["m"], c["n"], c["o"], c["la"], c["lb"], c["x"], c["y"], np.minimum, np.maximum, np.floor)
+    return pa.table({"a": c["a"][keep], "b": c["b"][keep]})
 
 
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -262,36 +387,43 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     hot = survey.where("token is not null").groupBy("token").agg(F.sum("df").alias("df")).where(F.col("df") >= least).toPandas()
     tokens = hot["token"].to_numpy().astype(np.int64).view(U)
     order = np.argsort(tokens)
-    buckets = max(1, -(-int(n_tokens * (100 - PERCENT) / 100) * 21 // BUCKET_BYTES))
+    buckets = max(1, -(-int(n_tokens * (100 - PERCENT) / 100) * 25 // BUCKET_BYTES))
     packed = rows.mapInArrow(
         _posting_task(buckets, tokens[order], hot["df"].to_numpy().astype(np.int64)[order]),
-        "bucket long, tokens binary, docs binary, sizes binary, shared binary",
+        "bucket long, tokens binary, docs binary, sizes binary, places binary, shared binary",
     )
-    postings = settle(packed.groupBy("bucket").applyInArrow(_shared_postings(buckets), "token long, doc long, n int, l int"), "postings")
+    postings = settle(packed.groupBy("bucket").applyInArrow(_shared_postings(buckets), "token long, doc long, n int, place int, l int"), "postings")
+    set_bytes = 8.0 * n_tokens / max(1, n_docs)
     # first step: one hub each
-    tops = postings.groupBy("token").agg(F.min(F.struct("doc", "n", "l")).alias("top"))
-    met = postings.join(tops, "token").where("doc <> top.doc").select("doc", "n", "l", "top")
-    counted = met.groupBy("doc", "n", "l", "top").agg(F.count(F.lit(1)).alias("m")).select(
-        F.col("doc").alias("a"), F.col("top.doc").alias("b"), "n", F.col("top.n").alias("o"), F.least("l", "top.l").alias("l"), "m"
-    ).where(_fits("n", "o") & (F.col("m") >= F.col("l")))
+    tops = postings.groupBy("token").agg(F.min(F.struct("doc", "n", "l", "place")).alias("top"))
+    met = postings.join(tops, "token").where("doc <> top.doc").select(
+        F.col("doc").alias("a"), F.col("top.doc").alias("b"), "n", F.col("top.n").alias("o"),
+        F.col("l").alias("la"), F.col("top.l").alias("lb"), F.col("place").alias("x"), F.col("top.place").alias("y"),
+    )
+    counted = met.groupBy("a", "b").agg(
+        F.max("n").alias("n"), F.max("o").alias("o"), F.max("la").alias("la"), F.max("lb").alias("lb"),
+        F.count(F.lit(1)).alias("m"), F.max("x").alias("x"), F.max("y").alias("y"),
+    ).where(_enough(*map(F.col, ("m", "n", "o", "la", "lb", "x", "y")), F.least, F.greatest, F.floor))
     hubs = settle(counted.groupBy("a").agg(F.max_by("b", F.struct("m", -F.col("b"))).alias("b")), "hubs")
     known = every.where("doc_id is not null and n > 0")
     sets = known.groupBy("digest").agg(F.min("doc_id").alias("set_id"))
     same = settle(known.join(sets, "digest").select("doc_id", "set_id", "n").distinct(), "sets")
-    links = settle(verified(hubs, rows), "links").unionByName(
+    links = settle(verified(hubs, rows, set_bytes), "links").unionByName(
         same.where("doc_id <> set_id").select(F.col("doc_id").alias("a"), F.col("set_id").alias("b"))
     )
     first = settle(components(links), "first")
     # second step: what shares shingles across components
     placed = postings.join(first, F.col("doc") == F.col("node"), "left").select(
-        "token", "doc", "n", "l", F.coalesce("component", "doc").alias("part")
+        "token", "doc", "n", "place", "l", F.coalesce("component", "doc").alias("part")
     )
     mixed_ = placed.groupBy("token").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select("token")
-    open_ = placed.join(mixed_, "token", "left_semi").withColumn("bucket", F.pmod(F.xxhash64("token"), F.lit(buckets * 8)))
-    pairs = open_.groupBy("bucket").applyInArrow(_across, "a long, b long, l int, m long")
-    pairs = pairs.groupBy("a", "b").agg(F.sum("m").alias("m"), F.min("l").alias("l")).where("m >= l").select("a", "b")
+    open_ = placed.join(mixed_, "token", "left_semi").withColumn("bucket", F.pmod(F.xxhash64("token"), F.lit(buckets)))
+    found = open_.groupBy("bucket").applyInArrow(
+        _across(4 * buckets), "bucket long, " + ", ".join(f"{c} binary" for c, _ in _PAIR)
+    )
+    pairs = found.groupBy("bucket").applyInArrow(_counted, "a long, b long")
     pairs = settle(pairs.join(hubs, ["a", "b"], "left_anti"), "pairs")
-    more = settle(verified(pairs, rows), "more")
+    more = settle(verified(pairs, rows, set_bytes), "more")
     whole = components(more.unionByName(first.select(F.col("node").alias("a"), F.col("component").alias("b"))))
     found = same.join(whole, F.col("doc_id") == F.col("node"), "left").groupBy("doc_id").agg(
         F.min(F.coalesce("component", "doc_id")).alias("component"), F.min("set_id").alias("set_id")
