@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 from tallymark.plans.lineage import settle
 
 #: Share of a host's pages above which a line is boilerplate.
-MAX_RATIO = 0.05
+MAX_RATIO = 0.08
 #: Pages of the host that must hold the line: below this a share says nothing about the site.
-MIN_PAGES = 20
+MIN_PAGES = 5
 
 
 def _lines(text: str) -> Column:
