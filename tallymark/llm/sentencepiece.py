@@ -35,9 +35,9 @@ from tallymark.llm.passing import add_columns
 # Fixed values of the model format: the mark, piece types, model types, the penalty of an unknown character.
 MARK = "▁"
 NORMAL, BYTE, UNIGRAM, BPE, UNKNOWN_PENALTY = 1, 6, 1, 2, 10.0
-#: Words a task remembers between chunks; beyond that it starts anew.
-REMEMBERED = 400_000
-CHUNK_BYTES = 4 << 20
+#: Words (and half the pairs of pieces) a worker remembers between chunks; beyond that it starts anew.
+REMEMBERED = 120_000
+CHUNK_BYTES = 1 << 20
 
 #: In place of a piece: a word's begin, or a character outside the vocabulary.
 NONE = -1
@@ -208,6 +208,8 @@ class Encoder:
         """Ids of all texts in one array, and where each begins."""
         if len(self.known) > REMEMBERED:
             self.known, self.ids = {}, []
+        if len(self.apart) > 2 * REMEMBERED:
+            self.apart.clear()
         cut = [self.words.findall(" " + t.replace(MARK, " ")) if t else [] for t in texts]
         self.learn(set().union(*cut) - self.known.keys())
         known = self.known
