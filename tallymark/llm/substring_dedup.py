@@ -13,6 +13,12 @@ distance of window and anchor, and dealt by the bytes all windows of the class c
 short line that a third of all documents hold does not meet in one shard. The list has at most
 (anchors per document / SHARE) entries whatever the corpus; results do not depend on it.
 
+At the edges of a passage that many documents hold, those bytes lie inside it while the segments reach into
+each document's own text. Classes with more than HEAVY different segments are listed by a second survey and cut
+into single windows, dealt by the hash of the window: equal windows of a batch are merged before
+the shuffle, and others need no shard unless their hashes fall together. This list has at most
+(segments of frequent anchors / HEAVY) entries.
+
 Defined cases: null and empty texts, and those below LENGTH bytes, keep everything; repeated rows are
 documents of their own, so each is a copy of the other; null ids are allowed; an empty table gives
 an empty table; columns named like a result column are replaced. Windows are told apart by bytes in
@@ -38,8 +44,12 @@ LENGTH, GRAM = 200, 32
 #: Width of a class of windows of a frequent anchor; share and number of documents that make one frequent.
 CLASS, SHARE, LEAST_FREQUENT = 21, 1 / 2000, 64
 BUCKET_BYTES, SHARD_BYTES = 24 << 20, 1 << 20
+#: Different segments of a class that fill a shard.
+HEAVY = SHARD_BYTES // (LENGTH + CLASS)
 #: Bits for a position beside a hash, and windows taken at a time in a text too long for them.
 PLACE, PIECE = 24, 8 << 20
+#: Seed of the hash that deals single windows.
+ALONE = 1 << 32
 U = np.uint64
 
 
@@ -90,11 +100,13 @@ def _digests(raw: memoryview, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     return np.fromiter((of(raw[a:b]) for a, b in zip(begin.tolist(), end.tolist())), U, len(begin))
 
 
-def _chunk_rows(batch: pa.RecordBatch, hot: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+def _chunk_rows(batch: pa.RecordBatch, hot: np.ndarray, heavy: np.ndarray, only_hot: bool) -> Iterator[tuple[np.ndarray, ...]]:
     """(anchor hash, segment hash, row of the batch, first window in its text, windows) of each chunk."""
+    known = set(heavy.tolist())
     for a, _, data, bounds in flat.chunks(batch.column(2)):
         text, begin, count, anchor, h = segments(data, bounds)
         raw = memoryview(np.ascontiguousarray(data))
+        is_hot = np.zeros(len(h), bool)
         if len(hot) and len(h):
             i = np.minimum(np.searchsorted(hot, h), len(hot) - 1)
             is_hot = hot[i] == h
@@ -107,18 +119,24 @@ def _chunk_rows(batch: pa.RecordBatch, hot: np.ndarray) -> Iterator[tuple[np.nda
                         d0, d1 = max(near, c * CLASS), min(far, c * CLASS + CLASS - 1)
                         s = int(anchor[r]) - c * CLASS  # bytes that all windows of the class hold
                         core = xxhash.xxh3_64_intdigest(raw[s : s - CLASS + 1 + LENGTH], c + 1)
-                        cut.append((text[r], anchor[r] - d1, d1 - d0 + 1, core))
+                        w = int(anchor[r]) - d1
+                        if core in known:
+                            cut += [(text[r], w + k, 1, xxhash.xxh3_64_intdigest(raw[w + k : w + k + LENGTH], ALONE)) for k in range(d1 - d0 + 1)]
+                        else:
+                            cut.append((text[r], w, d1 - d0 + 1, core))
                 more_text, more_begin, more_count = (np.array([x[k] for x in cut], np.int64) for k in range(3))
-                keep = ~is_hot
+                keep = ~is_hot & (not only_hot)
                 text, begin, count = np.append(text[keep], more_text), np.append(begin[keep], more_begin), np.append(count[keep], more_count)
                 h = np.append(h[keep], np.array([x[3] for x in cut], U))
+        if only_hot and not is_hot.any():
+            continue
         seg = _digests(raw, begin, begin + count - 1 + LENGTH)
         yield h, seg, text + a, begin - bounds[text] if len(text) else begin, count
 
 
-def _whole_batch(batch: pa.RecordBatch, hot: np.ndarray) -> tuple[np.ndarray, ...]:
-    """All segments of a batch, by anchor, then segment; and where an equal segment begins."""
-    parts = list(_chunk_rows(batch, hot)) or [(np.zeros(0, U), np.zeros(0, U), *(np.zeros(0, np.int64),) * 3)]
+def _whole_batch(batch: pa.RecordBatch, hot: np.ndarray, heavy: np.ndarray, only_hot: bool = False) -> tuple[np.ndarray, ...]:
+    """All segments of a batch, or those of frequent anchors, by anchor, then segment; and where an equal segment begins."""
+    parts = list(_chunk_rows(batch, hot, heavy, only_hot)) or [(np.zeros(0, U), np.zeros(0, U), *(np.zeros(0, np.int64),) * 3)]
     h, seg, row, begin, count = (np.concatenate(c) for c in zip(*parts))
     order = np.lexsort([seg, h])
     h, seg, row, begin, count = (x[order] for x in (h, seg, row, begin, count))
@@ -127,18 +145,28 @@ def _whole_batch(batch: pa.RecordBatch, hot: np.ndarray) -> tuple[np.ndarray, ..
     return h, seg, row, begin, count, new
 
 
-_NO_HOT = np.zeros(0, U)
+_NONE = np.zeros(0, U)
 
 
-def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Anchors with several different segments at hand, and how many."""
-    for batch in batches:
-        h, _, _, _, _, new = _whole_batch(batch, _NO_HOT)
-        h = h[new]
-        first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
-        n = np.diff(np.append(first, len(h)))
-        some = n > 1
-        yield pa.RecordBatch.from_arrays([pa.array(h[first[some]].view(np.int64)), pa.array(n[some])], names=["h", "n"])
+def _survey(hot: np.ndarray | None = None):
+    """Anchors with several different segments at hand, and how many; of frequent anchors, their classes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h, _, _, _, _, new = _whole_batch(batch, _NONE if hot is None else hot, _NONE, hot is not None)
+            h = h[new]
+            first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
+            n = np.diff(np.append(first, len(h)))
+            some = n > 1
+            yield pa.RecordBatch.from_arrays([pa.array(h[first[some]].view(np.int64)), pa.array(n[some])], names=["h", "n"])
+
+    return run
+
+
+def _frequent(rows: DataFrame, least: int, hot: np.ndarray | None = None) -> tuple[np.ndarray, int]:
+    """Hashes with at least so many different segments, ascending, and the number of these segments."""
+    found = rows.mapInArrow(_survey(hot), "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least).toPandas()
+    return np.sort(found["h"].to_numpy().astype(np.int64).view(U)), int(found["n"].sum())
 
 
 PACKED = "bucket long, h binary, seg binary, doc binary, row_key binary, first binary, windows binary, m binary"
@@ -146,10 +174,10 @@ FLAT = "h long, seg long, doc long, row_key long, first int, windows int, m long
 _FIELDS = (("h", U), ("seg", U), ("doc", np.int64), ("row_key", np.int64), ("first", np.int32), ("windows", np.int16), ("m", np.int32))
 
 
-def _bucket_task(buckets: int, hot: np.ndarray):
+def _bucket_task(buckets: int, hot: np.ndarray, heavy: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            h, seg, row, begin, count, new = _whole_batch(batch, hot)
+            h, seg, row, begin, count, new = _whole_batch(batch, hot, heavy)
             if not len(h):
                 continue
             at = np.flatnonzero(new)
@@ -268,11 +296,11 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     rows = keyed.select(F.col("_doc").alias("doc"), F.col("_row_key").alias("row_key"), F.col(text).cast("string").alias("text"))
     n_docs, size = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()
     least = max(LEAST_FREQUENT, int(n_docs * SHARE))
-    # at most (anchors per document / SHARE) rows
-    hot = rows.mapInArrow(_survey, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("h").toPandas()
-    hot_h = np.sort(hot["h"].to_numpy().astype(np.int64).view(U))
-    buckets = max(1, -(-(size * 2 // (LENGTH - GRAM) * 42) // BUCKET_BYTES))
-    packed = rows.mapInArrow(_bucket_task(buckets, hot_h), PACKED)
+    # at most (anchors per document / SHARE) rows, and (their segments / HEAVY) rows
+    hot, _ = _frequent(rows, least)
+    heavy, n_heavy = _frequent(rows, HEAVY, hot) if len(hot) else (_NONE, 0)
+    buckets = max(1, -(-(size * 2 // (LENGTH - GRAM) + n_heavy * CLASS) * 42 // BUCKET_BYTES))
+    packed = rows.mapInArrow(_bucket_task(buckets, hot, heavy), PACKED)
     found = settle(packed.groupBy("bucket").applyInArrow(_gather(buckets), FLAT), "segments")
     open_ = found.where("is_rep and alike > 1")
     shards = max(1, -(-(open_.agg(F.sum(F.col("windows") + LENGTH)).first()[0] or 0) // SHARD_BYTES))

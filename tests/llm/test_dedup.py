@@ -169,6 +169,20 @@ def test_repeated_substrings_of_frequent_anchors(spark, monkeypatch):
     assert substring_dedup.remove_repeats(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_edges_of_a_frequent_passage_spread(spark, monkeypatch):
+    """Segments at the edges of a passage share an inner part but differ; no anchor may keep them all."""
+    monkeypatch.setattr(substring_dedup, "LEAST_FREQUENT", 4)
+    monkeypatch.setattr(substring_dedup, "HEAVY", 8, raising=False)
+    tables, settle = {}, substring_dedup.settle
+    monkeypatch.setattr(substring_dedup, "settle", lambda df, name: tables.setdefault(name, settle(df, name)))
+    passage = prose(70, 99)[:400]
+    rows = [(i, prose(30, 500 + i) + passage[: 400 - i % 3] + prose(30, 700 + i)) for i in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(1)
+    check_repeats(rows, substring_dedup.remove_repeats(frame))
+    open_ = tables["segments"].where("is_rep and alike > 1")
+    assert max((r["count"] for r in open_.groupBy("h").count().collect()), default=0) < 8
+
+
 def test_long_text_in_pieces(monkeypatch):
     """Segments of a text that is taken in pieces cover every window once."""
     data, bounds = flat.flat(pa.array([prose(3000, 8)]))
