@@ -14,6 +14,9 @@ result, depends on it.
 Only links between different components matter for components, so candidates are taken in two steps:
 first each document with one hub (the smallest document it shares most prefix shingles
 with); then, for shingles whose documents are still in different components, all pairs across components.
+Documents of a shingle that many hold are cut into tiles by a hash, apart for the shingle's largest component and
+all others; every two tiles that have such pairs are a group, and no group keeps more than HELD_PAIRS
+and one tile of candidates. These pairs remain as many as they are.
 A candidate whose shared shingles come too late in the order to reach the overlap is left out; every
 other one is verified on the whole sets.
 
@@ -44,8 +47,10 @@ SHARE, LEAST_FREQUENT = 1 / 2000, 32
 #: Most shared shingles asked for; cost of verifying a candidate against reading one posting.
 MOST_SHARED, VERIFY_COST = 8, 20.0
 BUCKET_BYTES = 24 << 20
-#: Candidates a task holds before it adds up those of the same pair.
+#: Candidates a task holds before it adds up those of the same pair and sends them on.
 HELD_PAIRS = 1 << 20
+#: Documents of a shingle that are compared in one group.
+POSTINGS = 1024
 #: Documents in a tile of a large cluster of candidates.
 TILE = 128
 #: Largest set whose low 16 bits tell hashes apart well; pairs whose ids may be broadcast (tens of MB).
@@ -315,25 +320,38 @@ def _merged(c: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
 
 
 def _across(buckets: int):
-    """Pairs of documents in different components that share shingles of a bucket, packed by pair."""
+    """Pairs of documents in different components that share shingles of a group, packed by pair.
 
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        token, doc, n, place, l, part = (table.column(c).to_numpy() for c in ("token", "doc", "n", "place", "l", "part"))
+    A row of ``half`` 0 or 1 meets only rows of the other half, one of 2 meets all.
+    """
+    names = ["bucket", *(c for c, _ in _PAIR)]
+    columns = ("token", "doc", "n", "place", "l", "part", "half")
+
+    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches([b.select(columns) for b in batches])
+        token, doc, n, place, l, part, half = (table.column(c).to_numpy() for c in columns)
         order = np.lexsort([doc, part, token])
-        token, doc, n, place, l, part = (v[order] for v in (token, doc, n, place, l, part))
+        token, doc, n, place, l, part, half = (v[order] for v in (token, doc, n, place, l, part, half))
         ends = np.append(np.flatnonzero(token[1:] != token[:-1]) + 1, len(token))
         out: list[tuple] = []
-        held, done = 0, []
+        held = 0
 
-        def take() -> None:
+        def take() -> pa.RecordBatch:
             i, j = (np.concatenate(c) for c in zip(*out))
+            out.clear()
             high = doc[i] > doc[j]
             i, j = np.where(high, i, j), np.where(high, j, i)
-            done.append(_merged({
+            pairs = _merged({
                 "a": doc[i], "b": doc[j], "n": n[i], "o": n[j], "la": l[i], "lb": l[j],
                 "m": np.ones(len(i), np.int32), "x": place[i], "y": place[j],
-            }))
-            out.clear()
+            })
+            to = (flat.mixed(pairs["a"].view(U) * U(31) + pairs["b"].view(U)) % U(buckets)).astype(np.int64)
+            order = np.argsort(to, kind="stable")
+            groups = [g for g in np.split(order, np.flatnonzero(np.diff(to[order])) + 1) if len(g)]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([int(to[g[0]]) for g in groups], pa.int64())]
+                + [pa.array([pairs[c][g].astype(t).tobytes() for g in groups], pa.binary()) for c, t in _PAIR], names=names,
+            )
 
         start = 0
         for end in ends.tolist():
@@ -343,31 +361,46 @@ def _across(buckets: int):
             for a, b in zip(begins, cuts.tolist()):
                 for i in range(a, b):
                     other = slice(b, end)
-                    near = np.flatnonzero((n[other] * 100 >= n[i] * PERCENT) & (n[i] * 100 >= n[other] * PERCENT)) + b
+                    meets = (n[other] * 100 >= n[i] * PERCENT) & (n[i] * 100 >= n[other] * PERCENT)
+                    near = np.flatnonzero(meets & ((half[other] != half[i]) | (half[i] == 2))) + b
                     if len(near):
                         out.append((np.full(len(near), i), near))
                         held += len(near)
                         if held > HELD_PAIRS:
-                            take()
+                            yield take()
                             held = 0
             start = end
         if out:
-            take()
-        names = ["bucket", *(c for c, _ in _PAIR)]
-        if not done:
-            return pa.table({c: pa.array([], pa.int64() if c == "bucket" else pa.binary()) for c in names})
-        pairs = _merged({c: np.concatenate([d[c] for d in done]) for c, _ in _PAIR})
-        to = (flat.mixed(pairs["a"].view(U) * U(31) + pairs["b"].view(U)) % U(buckets)).astype(np.int64)
-        order = np.argsort(to, kind="stable")
-        groups = [g for g in np.split(order, np.flatnonzero(np.diff(to[order])) + 1) if len(g)]
-        return pa.table(
-            [pa.array([int(to[g[0]]) for g in groups], pa.int64())]
-            + [pa.array([pairs[c][g].astype(t).tobytes() for g in groups], pa.binary()) for c, t in _PAIR], names=names,
-        )
+            yield take()
 
     return run
 
 
+def _tiled(placed: DataFrame, sides: DataFrame) -> DataFrame:
+    """Postings of shingles that many documents hold, once for each group (``g``) they belong to.
+
+    Side 0 is the largest component of a shingle and needs no look at itself. Shingles of the same largest
+    component and like numbers share their groups, so that their pairs are added up there.
+    """
+    power = lambda n: F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(F.col(n), F.lit(1)) / F.lit(POSTINGS)))).cast("int")
+    tiles = lambda p: F.pow(F.lit(2), F.col(p)).cast("int")
+    cut = sides.select("token", "largest", power("c0").alias("p"), power("c1").alias("q"))
+    side = F.col("part") == F.col("largest")
+    tile = F.pmod(F.xxhash64("doc"), F.when(side, tiles("p")).otherwise(tiles("q"))).cast("int")
+    group = lambda s, i, j, half: F.struct(F.lit(s).alias("s"), i.alias("i"), j.alias("j"), half.cast("int").alias("half"))
+    one, t = F.lit(1), F.col("tile")
+    with_others = F.transform(F.sequence(F.lit(0), tiles("q") - one), lambda j: group(0, t, j, F.lit(0)))
+    with_largest = F.transform(F.sequence(F.lit(0), tiles("p") - one), lambda i: group(0, i, t, F.lit(1)))
+    with_own = F.transform(
+        F.sequence(F.lit(0), tiles("q") - one),
+        lambda j: group(1, F.least(t, j), F.greatest(t, j), F.when(t == j, 2).when(t < j, 0).otherwise(1)),
+    )
+    rows = placed.join(cut, "token").withColumn("tile", tile)
+    rows = rows.withColumn("to", F.explode(F.when(side, with_others).otherwise(F.concat(with_largest, with_own))))
+    where = F.struct(F.col("largest").alias("c"), "p", "q", "to.s", "to.i", "to.j").alias("g")
+    return rows.select("token", "doc", "n", "place", "l", "part", F.col("to.half").alias("half"), where)
+
+
 def _counted(key: tuple, table: pa.Table) -> pa.Table:
     """The pairs of a bucket that can be similar enough."""
     c = {k: np.concatenate([np.frombuffer(v.as_buffer(), t) for v in table.column(k)]).astype(np.int64) for k, t in _PAIR}
@@ -416,11 +449,23 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     placed = postings.join(first, F.col("doc") == F.col("node"), "left").select(
         "token", "doc", "n", "place", "l", F.coalesce("component", "doc").alias("part")
     )
-    mixed_ = placed.groupBy("token").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select("token")
-    open_ = placed.join(mixed_, "token", "left_semi").withColumn("bucket", F.pmod(F.xxhash64("token"), F.lit(buckets)))
-    found = open_.groupBy("bucket").applyInArrow(
-        _across(4 * buckets), "bucket long, " + ", ".join(f"{c} binary" for c, _ in _PAIR)
+    mixed_ = placed.groupBy("token").agg(F.min("part").alias("p"), F.max("part").alias("q"), F.count(F.lit(1)).alias("held"))
+    mixed_ = settle(mixed_.where("p <> q").select("token", "held"), "mixed")
+    few, many = (mixed_.where(F.col("held") <= POSTINGS).select("token"), mixed_.where(F.col("held") > POSTINGS).select("token"))
+    none = [F.lit(-1).alias(c) for c in ("p", "q", "s", "i", "j")]
+    open_ = placed.join(few, "token", "left_semi").select(
+        *placed.columns, F.lit(2).alias("half"), F.struct(F.pmod(F.xxhash64("token"), F.lit(buckets)).alias("c"), *none).alias("g")
     )
+    shares = placed.join(many, "token", "left_semi").groupBy("token", "part").agg(F.count(F.lit(1)).alias("c"))
+    sides = settle(shares.groupBy("token").agg(
+        F.max_by("part", F.struct("c", "part")).alias("largest"), F.max("c").alias("c0"), (F.sum("c") - F.max("c")).alias("c1")
+    ), "sides")
+    across = sides.agg(F.sum(F.col("c1").cast("double") * (F.col("c0") + F.col("c1") / 2))).first()[0]
+    if across is not None:
+        open_ = open_.unionByName(_tiled(placed, sides))
+    # groups that add up the pairs grow with them
+    adding = 4 * buckets + int((across or 0) * sum(np.dtype(t).itemsize for _, t in _PAIR) // BUCKET_BYTES)
+    found = open_.groupBy("g").applyInArrow(_across(adding), "bucket long, " + ", ".join(f"{c} binary" for c, _ in _PAIR))
     pairs = found.groupBy("bucket").applyInArrow(_counted, "a long, b long")
     pairs = settle(pairs.join(hubs, ["a", "b"], "left_anti"), "pairs")
     more = settle(verified(pairs, rows, set_bytes), "more")

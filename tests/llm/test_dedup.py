@@ -96,6 +96,54 @@ def test_jaccard_of_many_near_copies(spark, monkeypatch):
     check_jaccard(rows, jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect())
 
 
+def test_jaccard_with_postings_in_tiles(spark, monkeypatch):
+    """Near copies that are not all linked with their hub."""
+    monkeypatch.setattr(jaccard_join, "LEAST_FREQUENT", 4)
+    monkeypatch.setattr(jaccard_join, "POSTINGS", 4, raising=False)
+    used, tiled = [], jaccard_join._tiled
+    monkeypatch.setattr(jaccard_join, "_tiled", lambda *a: used.append(1) or tiled(*a))
+    draw, base, rows = random.Random(6), prose(150, 51).split(), []
+    for i in range(70):
+        w = list(base)
+        for _ in range(draw.randint(0, 9)):
+            w[draw.randrange(len(w))] = f"y{draw.randrange(40)}"
+        rows.append((i, " ".join(w)))
+    check_jaccard(rows, jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert used
+
+
+def test_pairs_across_components_in_tiles(spark, monkeypatch):
+    """Tiles of frequent shingles bring the same pairs, once for each shared shingle."""
+    monkeypatch.setattr(jaccard_join, "POSTINGS", 4, raising=False)
+    draw = random.Random(8)
+    part = {d: 1 if d % 3 else draw.choice([d, 2]) for d in range(60)}
+    rows = [(t, d, 50, 3, 1, part[d]) for t in range(3) for d in range(60) if (d + t) % 7]
+    frame = spark.createDataFrame(rows, "token long, doc long, n int, place int, l int, part long")
+    counts = collections.Counter((t, p) for t, *_, p in rows)
+    sides = [(t, 1, counts[t, 1], sum(n for (u, p), n in counts.items() if u == t and p != 1)) for t in range(3)]
+    tiled = jaccard_join._tiled(frame, spark.createDataFrame(sides, "token long, largest long, c0 long, c1 long"))
+    groups = collections.Counter((r.g, r.token) for r in tiled.collect())
+    assert max(groups.values()) < 30 and len(groups) > 3
+    found = tiled.groupBy("g").applyInArrow(jaccard_join._across(5), "bucket long, " + ", ".join(f"{c} binary" for c, _ in jaccard_join._PAIR))
+    got = collections.Counter()
+    for r in found.collect():
+        a, b, m = (np.frombuffer(bytes(r[c]), dict(jaccard_join._PAIR)[c]) for c in ("a", "b", "m"))
+        for i, j, k in zip(a.tolist(), b.tolist(), m.tolist()):
+            got[i, j] += k
+    want = collections.Counter((x[1], y[1]) for x in rows for y in rows if x[0] == y[0] and x[1] > y[1] and x[5] != y[5])
+    assert got == want
+
+
+def test_pairs_across_components_are_sent_on(monkeypatch):
+    monkeypatch.setattr(jaccard_join, "HELD_PAIRS", 50)
+    n = 40
+    columns = {c: np.full(n, v) for c, v in (("token", 1), ("n", 9), ("place", 0), ("l", 1), ("half", 2))}
+    batch = pa.RecordBatch.from_pydict({**columns, "doc": np.arange(n), "part": np.arange(n)})
+    batches = list(jaccard_join._across(3)((), iter([batch])))
+    sizes = [sum(len(x.as_py()) // 8 for x in b.column("a")) for b in batches]
+    assert sum(sizes) == n * (n - 1) // 2 and max(sizes) <= 50 + n
+
+
 def test_prefixes_hold_enough_shared_shingles():
     """Two similar sets share at least the smaller l in their prefixes, whatever is frequent."""
     draw = np.random.default_rng(1)
