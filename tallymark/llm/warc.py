@@ -118,9 +118,10 @@ def write_archive(
 
 
 def read_archive(spark: SparkSession, folder: str) -> DataFrame:
-    """The records of an archive: id, headers, payload (null for revisits) and ``record``, the whole
-    bytes with the closing line breaks. Fails on a payload that does not have its digest, and on a
-    response without payload.
+    """The records of an archive: id, headers, payload (null for revisits), ``record``, the whole
+    bytes with the closing line breaks, and for revisits digest and length of the payload they refer to
+    (``stored_sha1``, ``stored_bytes``). Fails on a payload that does not have its digest, and on a
+    record whose payload is not stored.
     """
     headers = spark.read.parquet(f"{folder}/headers")
     stored = spark.read.parquet(f"{folder}/payloads")
@@ -128,14 +129,18 @@ def read_archive(spark: SparkSession, folder: str) -> DataFrame:
         F.raise_error(F.concat(F.lit("payload is not what its digest says: "), F.col("digest"))).cast("binary")
     )
     payloads = stored.select(F.col("digest").alias("_digest"), sound.alias("payload"))
-    wanted = F.when(F.col("has_payload"), F.col("digest"))
-    joined = headers.withColumn("_wanted", wanted).join(payloads, F.col("_wanted") == F.col("_digest"), "left")
-    body = F.when(~F.col("has_payload"), F.lit(b"")).when(F.col("payload").isNotNull(), F.col("payload")).otherwise(
-        F.raise_error(F.concat(F.lit("no payload stored for "), F.col("digest"))).cast("binary")
-    )
-    return joined.withColumn("_body", body).select(
+    lost = F.raise_error(F.concat(F.lit("no payload stored for "), F.col("digest")))
+    responses = headers.where("has_payload").join(payloads, F.col("digest") == F.col("_digest"), "left").withColumn(
+        "_body", F.coalesce("payload", lost.cast("binary"))
+    ).withColumns({"stored_sha1": F.lit(None).cast("string"), "stored_bytes": F.lit(None).cast("long")})
+    # digest and length only, not the payload, go to each revisit
+    facts = payloads.select("_digest", base32_sha1(F.col("payload")).alias("_sha1"), F.octet_length("payload").cast("long").alias("stored_bytes"))
+    revisits = headers.where("not has_payload").join(facts, F.col("digest") == F.col("_digest"), "left").withColumns({
+        "payload": F.lit(None).cast("binary"), "_body": F.lit(b""), "stored_sha1": F.coalesce("_sha1", lost.cast("string")),
+    })
+    return responses.unionByName(revisits.drop("_sha1")).select(
         "page_id", "digest", "warc_header", "http_header", "payload",
-        F.concat("warc_header", "http_header", "_body", F.lit(b"\r\n\r\n")).alias("record"),
+        F.concat("warc_header", "http_header", "_body", F.lit(b"\r\n\r\n")).alias("record"), "stored_sha1", "stored_bytes",
     )
 
 
@@ -144,13 +149,16 @@ def _field(header: Column, name: str) -> Column:
 
 
 def describe(read: DataFrame) -> DataFrame:
-    """What the headers of read records say, checked against the payload where there is one."""
+    """What the headers of read records say, checked against the rebuilt record and its payload, or the payload a
+    revisit refers to.
+    """
     warc, http = F.col("warc_header"), F.col("http_header")
     said = F.substring(_field(warc, "WARC-Payload-Digest"), 6, 32)
     size = _field(http, "Content-Length").cast("long")
-    true = F.col("payload").isNull() | (
-        (base32_sha1(F.col("payload")) == said) & (F.octet_length("payload") == size)
-    )
+    body = F.octet_length("record") - F.octet_length("warc_header") - F.octet_length("http_header") - 4
+    true = F.when(
+        _field(warc, "WARC-Type") == "revisit", (F.col("stored_sha1") == said) & (F.col("stored_bytes") == size) & (body == 0)
+    ).otherwise((base32_sha1(F.col("payload")) == said) & (body == size))
     refers = F.regexp_extract(warc.cast("string"), r"\r\nWARC-Refers-To: <urn:page:(-?\d+)>\r\n", 1)
     return read.select(
         "page_id", size.alias("payload_bytes"),

@@ -177,6 +177,19 @@ def test_encode_rows(docs, spark):
     assert sentencepiece.encode(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_lost_payloads_fail_the_query(spark, tmp_path):
+    """The query's own columns need each record's payload, also that of a revisit."""
+    rows = [(1, "u", "first"), (2, "u", "second"), (3, "u", "second")]
+    warc.write_archive(spark.createDataFrame(rows, "page_id long, url string, html string"), str(tmp_path / "a"))
+    stored = spark.read.parquet(str(tmp_path / "a/payloads"))
+    for k, page in (("b", 1), ("c", 3)):
+        lost = {1: "first", 3: "second"}[page]
+        stored.where(f"cast(payload as string) <> '{lost}'").write.parquet(str(tmp_path / k / "payloads"))
+        spark.read.parquet(str(tmp_path / "a/headers")).where(f"page_id = {page}").write.parquet(str(tmp_path / k / "headers"))
+        with pytest.raises(Exception, match="no payload stored"):
+            warc.describe(warc.read_archive(spark, str(tmp_path / k))).drop("record_bytes").collect()
+
+
 @pytest.mark.parametrize("name", sorted(bindings.ORACLES))
 def test_queries_with_sql(spark, name):
     assert differences(bindings.QUERIES[name](spark, FOLDER), connect(FOLDER), bindings.ORACLES[name]) == []
