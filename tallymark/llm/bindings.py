@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark.llm import (
-    classifier, embedding_dedup, jaccard_join, line_dedup, lm_scoring, mixing, quality_rules, sentencepiece, substring_dedup, warc,
+    classifier, embedding_dedup, jaccard_join, line_dedup, lm_scoring, mixing, order_minhash, quality_rules, sentencepiece,
+    substring_dedup, warc,
 )
 from tallymark.plans.lineage import scratch_path
 
@@ -91,7 +92,13 @@ def op10_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embedding_dedup.near_duplicates(_table(spark, folder, "embeddings"))
 
 
+def op11_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    return order_minhash.fingerprint_edits(_table(spark, folder, "documents").select("doc_id", "text"))
+
+
 QUERIES |= {"op5_substring_dedup": op5_substring_dedup}
+QUERIES |= {"op11_order_minhash": op11_order_minhash}
 QUERIES |= {"op9_jaccard_join": op9_jaccard_join}
 QUERIES |= {"op7_sentencepiece": op7_sentencepiece, "op10_embedding_dedup": op10_embedding_dedup}
 QUERIES |= {"op1_lm_scoring": op1_lm_scoring}
