@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark.llm import (
-    classifier, embedding_dedup, jaccard_join, line_dedup, lm_scoring, mixing, order_minhash, quality_rules, sentencepiece,
-    substring_dedup, warc,
+    classifier, embedding_dedup, hard_negatives, jaccard_join, line_dedup, lm_scoring, mixing, order_minhash, periodic_runs,
+    quality_rules, sentencepiece, substring_dedup, warc,
 )
 from tallymark.plans.lineage import scratch_path
 
@@ -97,7 +97,45 @@ def op11_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return order_minhash.fingerprint_edits(_table(spark, folder, "documents").select("doc_id", "text"))
 
 
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every fiftieth embedding among all of them; every seventh has the next label."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(_table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, label=label)
+
+
+def _looped(docs: DataFrame) -> DataFrame:
+    """Documents whose crc32 ends in 0 get a text that repeats from some word on; others stay."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    chosen = F.coalesce(h % 10 == 0, F.lit(False))
+    rows = docs.where(chosen).select(
+        "doc_id", F.floor(h / 10).alias("g"), F.array_remove(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), "").alias("words")
+    )
+    n = F.size("words").cast("long")
+    rows = rows.withColumn("a", F.col("g") % F.greatest(n, F.lit(1)))
+    rows = rows.withColumn("p", 1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8)))
+
+    def word(w, i):
+        return F.when(i < F.col("a"), w).otherwise(F.get("words", (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")))
+
+    looped = rows.select("doc_id", F.array_join(F.transform("words", word), " ").alias("text"))
+    return docs.where(~chosen).select("doc_id", "text").unionByName(looped)
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Number of runs, the longest run, and digests of all runs and of the collapsed text, of every document."""
+    found = periodic_runs.detect_runs(_looped(_table(spark, folder, "documents")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    listed = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("b", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("b.s")).alias("start"), F.col("b.length").alias("length"),
+        (-F.col("b.p")).alias("period"), F.expr("1000 * b.length div -b.p").alias("exponent_milli"),
+        F.sha2(F.array_join(listed, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES |= {"op5_substring_dedup": op5_substring_dedup}
+QUERIES |= {"op12_hard_negatives": op12_hard_negatives, "op13_periodic_runs": op13_periodic_runs}
 QUERIES |= {"op11_order_minhash": op11_order_minhash}
 QUERIES |= {"op9_jaccard_join": op9_jaccard_join}
 QUERIES |= {"op7_sentencepiece": op7_sentencepiece, "op10_embedding_dedup": op10_embedding_dedup}
@@ -146,3 +184,25 @@ SELECT doc_id, source, coalesce(len(lines), 0)::BIGINT AS n_lines,
        CASE WHEN text IS NOT NULL THEN array_to_string(kept, chr(10)) END AS text
 FROM kept
 """
+ORACLES["op12_hard_negatives"] = """
+WITH e AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           [CAST(floor(256 * x::DOUBLE) AS BIGINT) FOR x IN embedding] AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), s AS (
+    SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+           CAST(list_sum([a.v[i] * r.v[i] FOR i IN range(1, len(a.v) + 1)]) AS BIGINT) AS score
+    FROM e a JOIN e r ON a.vec_id <> r.vec_id AND len(a.v) = len(r.v)
+    WHERE a.vec_id % 50 = 0
+), p AS (
+    SELECT anchor_id, vec_id, score FROM s WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) AS INT) AS rank
+FROM p JOIN s ON p.anchor_id = s.anchor_id
+WHERE NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score
+QUALIFY rank <= 3
+"""
