@@ -9,6 +9,7 @@ from tallymark.functions.exprs import pct_of
 from tallymark.functions.stats import pearson
 from tallymark.operators import aggregates as A
 from tallymark.operators import marts, profile, quantiles, stats, usage
+from tallymark.plans.lineage import settle
 
 register(
     "agg_race_scores",
@@ -119,8 +120,7 @@ register(
 )
 register(
     "agg_income_brackets",
-    lambda t: rounded(quantiles.brackets(t("scores"), "read_prof_mid", "math_prof_mid", ["sex"], salt_by=["l_orderkey", "l_linenumber"])
-                      .drop("bracket")),
+    lambda t: rounded(quantiles.brackets(t("scores"), "read_prof_mid", "math_prof_mid", ["sex"], salt_by=["l_orderkey", "l_linenumber"])),
     f"""WITH p AS (SELECT sex, read_prof_mid AS x, math_prof_mid AS y FROM <scores> WHERE {_OK}),
           c AS (SELECT sex, min(x) AS lo, max(x) AS hi, round(quantile_cont(x, 0.2), 4) AS a, round(quantile_cont(x, 0.4), 4) AS b,
                        round(quantile_cont(x, 0.6), 4) AS c, round(quantile_cont(x, 0.8), 4) AS d FROM p GROUP BY 1),
@@ -130,7 +130,7 @@ register(
                        any_value(CASE no WHEN 0 THEN a WHEN 1 THEN b WHEN 2 THEN c WHEN 3 THEN d ELSE hi END) AS high, count(*) AS n,
                        count(*) FILTER (y < 25) AS n1, count(*) FILTER (y >= 25 AND y < 50) AS n2,
                        count(*) FILTER (y >= 50 AND y < 75) AS n3, count(*) FILTER (y >= 75) AS n4 FROM m GROUP BY 1, 2)
-        SELECT sex, CAST(no AS INT) AS bracket_no, round(low, 4) AS low, round(high, 4) AS high, n,
+        SELECT sex, CAST(no AS INT) AS bracket_no, concat(CAST(round(low) AS BIGINT), '–', CAST(round(high) AS BIGINT), '%') AS bracket, round(low, 4) AS low, round(high, 4) AS high, n,
                n1 AS n_lt25, n2 AS n_b2550, n3 AS n_b5075, n4 AS n_gte75, round(n1 / n * 100, 4) AS lt25,
                round(n2 / n * 100, 4) AS b2550, round(n3 / n * 100, 4) AS b5075, round(n4 / n * 100, 4) AS gte75 FROM g""",
 )
@@ -205,8 +205,8 @@ register(
 
 
 def _insight(t):
-    rows = schools(t).where(F.col("state") != "")
-    out = stats.insight_stats(rows, "pct_high_income", "math_pct_prof", "school_name", ["state"], marts.state_stats(schools(t)))
+    rows = settle(schools(t), "districts").where(F.col("state") != "")
+    out = stats.insight_stats(rows, "pct_high_income", "math_pct_prof", "school_name", ["state"], marts.state_stats(rows))
     return out.withColumns({"top": names_of("top"), "bottom": names_of("bottom")})
 
 
@@ -252,8 +252,9 @@ register(
 
 
 def _drill(t):
-    rows = schools(t)
-    states, counties = marts.state_stats(rows), marts.county_stats(rows)
+    rows = settle(schools(t), "districts")
+    levels = settle(marts.level_stats(rows), "levels")
+    states, counties = levels.where("level = 'state'").drop("level"), levels.where("level = 'county'").drop("level")
     national = marts.drill(rows, states, counties, "national").withColumn("level", F.lit("national"))
     state = marts.drill(rows, states, counties, "state", "NATION_7").withColumn("level", F.lit("state"))
     county = marts.drill(rows, states, counties, "county", "NATION_7", "703").withColumn("level", F.lit("county"))

@@ -75,6 +75,13 @@ register(
     lambda t: jsonx.json_keys(t("raw"), "data_json"),
     "SELECT DISTINCT unnest(json_keys(data_json)) AS key FROM <raw>",
 )
+register(
+    "prj_json_types",
+    lambda t: jsonx.json_types(t("raw"), "data_json"),
+    """SELECT key, CASE json_type(data_json, concat('$."', key, '"')) WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array'
+              WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'NULL' THEN 'null' ELSE 'number' END AS kind, count(*) AS n
+       FROM (SELECT data_json, unnest(json_keys(data_json)) AS key FROM <raw>) GROUP BY 1, 2""",
+)
 register(
     "prj_json_get",
     lambda t: t("events").select("event_id", jsonx.json_get("props", "k").alias("k")),

@@ -27,6 +27,13 @@ ROLES = {
                CAST(c_custkey % 9 AS INT) AS schools_in_zip,
                c_mktsegment AS school_type
         FROM <customer>""",
+    # school feature rows with every column a model is trained on
+    "features": """
+        SELECT *, CASE WHEN school_id % 31 = 0 THEN NULL ELSE CAST(school_id * 23 % 900 AS DOUBLE) / 11e0 END AS read_low_pct,
+               CAST(school_id * 5 % 330 AS DOUBLE) / 16e0 AS pct_10_14, CAST(school_id * 37 % 9000 + 100 AS DOUBLE) AS total_pop,
+               CASE WHEN school_id % 37 = 0 THEN NULL ELSE CAST(school_id * 41 % 700 AS DOUBLE) END AS hhi_150k_200k,
+               CAST(school_id * 43 % 800 AS DOUBLE) AS hhi_220k_plus, CAST(school_id % 3 + 1 AS INT) AS dupe_rank
+        FROM <golden>""",
     # directory entries: several per school name and year, all text
     "directory": """
         SELECT CASE WHEN o_orderkey % 2 = 0 THEN upper(c_name) ELSE c_name END AS school_name,

@@ -4,7 +4,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
-from tallymark.bindings.joins import COUNTY_SQL, over_districts, schools
+from tallymark.bindings.joins import over_districts, schools, stats_sql
 from tallymark.bindings.ranking import LAYERS_SQL, layer_tables
 from tallymark.bindings.registry import TABLES, register, rounded
 from tallymark.operators import marts
@@ -109,21 +109,24 @@ register("snk_replace", _replaced, "SELECT o_orderkey, o_orderstatus FROM <order
 
 
 def _hashed(t):
+    year = F.when(F.col("event_id") % 7 != 0, F.col("event_id") % 3 + 2020).cast("int")
     return t("events").select(
-        F.col("event_type").alias("endpoint"), (F.col("event_id") % 3 + 2020).cast("int").alias("year"), "props",
-        F.sha2(F.concat("event_type", F.lit("_"), (F.col("event_id") % 3 + 2020).cast("string"), F.lit("_"), "props"), 256).alias("data_hash"))
+        F.col("event_type").alias("endpoint"), year.alias("year"), "props",
+        F.sha2(F.concat_ws("_", "event_type", F.coalesce(year.cast("string"), F.lit("none")), "props"), 256).alias("data_hash"))
 
 
-HASHED_SQL = """SELECT DISTINCT event_type AS endpoint, CAST(2020 + event_id % 3 AS INT) AS year, props,
-    sha256(event_type || '_' || CAST(2020 + event_id % 3 AS INT) || '_' || props) AS data_hash FROM <events>"""
+HASHED_SQL = """SELECT DISTINCT event_type AS endpoint, year, props,
+    sha256(event_type || '_' || coalesce(CAST(year AS VARCHAR), 'none') || '_' || props) AS data_hash
+    FROM (SELECT *, CAST(CASE WHEN event_id % 7 <> 0 THEN 2020 + event_id % 3 END AS INT) AS year FROM <events>)"""
 
 
 def _inserted(t):
     path = scratch_path(t.spark, "insert")
     rows = _hashed(t)
-    W.insert_if_absent(rows.where("year < 2022"), path)
-    W.insert_if_absent(rows, path)
-    return t.spark.read.parquet(path)
+    W.insert_if_absent(rows.where("year < 2022 OR year IS NULL"), path, buckets=4)
+    for _ in range(2):
+        W.insert_if_absent(rows, path, buckets=4)
+    return t.spark.read.parquet(path).drop(W.BUCKET)
 
 
 register("snk_insert_if_absent", _inserted, HASHED_SQL)
@@ -131,17 +134,12 @@ register("snk_insert_if_absent", _inserted, HASHED_SQL)
 
 def _ndjson(t):
     path = scratch_path(t.spark, "ndjson")
-    W.ndjson(marts.county_stats(schools(t)), path)
-    return t.spark.read.schema(
-        "state string, county_fips string, avg_math_pct_prof double, avg_pct_high_income double, pearson_r double, school_count bigint"
-    ).json(path)
+    stats = marts.county_stats(schools(t), 8)
+    W.ndjson(stats, path)
+    return t.spark.read.schema(stats.schema).json(path)
 
 
-register(
-    "snk_ndjson", _ndjson,
-    f"""SELECT state, county_fips, avg_math_pct_prof, avg_pct_high_income, pearson_r, school_count
-        FROM ({over_districts(COUNTY_SQL)})""",
-)
+register("snk_ndjson", _ndjson, over_districts(stats_sql(["state", "county_fips"], "state <> '' AND county_fips <> ''", 8)))
 
 
 def _exported(t):
@@ -181,7 +179,7 @@ register(
     "snk_ingest_stats", _ingest_stats,
     f"""WITH u AS ({HASHED_SQL}), e AS (SELECT DISTINCT event_type AS endpoint FROM <events> UNION SELECT 'refund' UNION SELECT 'click'),
           s AS (SELECT endpoint, (SELECT count(*) FROM <events> WHERE event_type = endpoint) AS n_seen,
-                       (SELECT count(*) FROM u WHERE u.endpoint = e.endpoint AND year > 2020) AS n_inserted FROM e)
+                       (SELECT count(*) FROM u WHERE u.endpoint = e.endpoint AND year IS DISTINCT FROM 2020) AS n_inserted FROM e)
         SELECT endpoint, CAST(sum(n_seen) AS BIGINT) AS n_seen, CAST(sum(n_inserted) AS BIGINT) AS n_inserted,
                count(*) FILTER (n_inserted > 0) AS n_tables
         FROM s GROUP BY GROUPING SETS ((endpoint), ())""",

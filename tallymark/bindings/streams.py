@@ -17,22 +17,30 @@ def _landed(df, label, files):
     return path
 
 
-def _ingested(t):
+def _twice_landed(t):
+    """The pages as a stream; a part of them lands a second time, as after a broken run."""
     pages = land_pages(t)
     schema = "value string, endpoint string, year int"
-    # a part of the pages lands a second time, as after a broken run
     again = t.spark.read.schema(schema).text(pages).where(F.xxhash64("value") % 3 == 0)
     again.write.mode("append").partitionBy("endpoint", "year").text(pages)
-    stream = ingest.landed_stream(t.spark, pages, schema, "text", files_per_batch=10)
+    return json_pages(ingest.landed_stream(t.spark, pages, schema, "text", files_per_batch=10))
+
+
+def _ingested(t):
     target = scratch_path(t.spark, "ingested")
-    ingest.ingest_stream(json_pages(stream), target, scratch_path(t.spark, "cp")).awaitTermination()
+    ingest.ingest_stream(_twice_landed(t), target, scratch_path(t.spark, "cp")).awaitTermination()
     return t.spark.read.parquet(target)
 
 
-register(
-    "st_ingest_dedup", _ingested,
-    "SELECT DISTINCT endpoint, year, data_json, sha256(endpoint || '_' || year || '_' || data_json) AS data_hash FROM <raw>",
-)
+def _ingested_by_state(t):
+    target = scratch_path(t.spark, "ingested")
+    ingest.ingest_by_state(_twice_landed(t), target, scratch_path(t.spark, "cp")).awaitTermination()
+    return ingest.read_ingested(t.spark, target)
+
+
+INGESTED_SQL = "SELECT DISTINCT endpoint, year, data_json, sha256(endpoint || '_' || year || '_' || data_json) AS data_hash FROM <raw>"
+register("st_ingest_dedup", _ingested, INGESTED_SQL)
+register("st_ingest_state", _ingested_by_state, INGESTED_SQL)
 
 
 def _metered(t):

@@ -66,5 +66,10 @@ def inner_on(
 
 
 def not_stored(new: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key is not among the stored ones; only the key columns of ``stored`` are read."""
-    return new.join(stored.select(*keys), list(keys), "left_anti")
+    """Rows whose key is not among the stored ones; null key parts match each other.
+
+    Only the key columns of ``stored`` are read.
+    """
+    kinds = {c: new.schema[c].dataType for c in keys}
+    known = stored.select(F.struct(*[F.col(c).cast(kinds[c]).alias(c) for c in keys]).alias("_key"))
+    return new.withColumn("_key", F.struct(*keys)).join(known, "_key", "left_anti").drop("_key")

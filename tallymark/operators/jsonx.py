@@ -16,6 +16,22 @@ def json_keys(df: DataFrame, payload: str) -> DataFrame:
     return df.select(F.explode(F.json_object_keys(payload)).alias("key")).distinct()
 
 
+def json_types(df: DataFrame, payload: str) -> DataFrame:
+    """Every top-level key with the kinds of its values and how often each occurs, as ``key, kind, n``.
+
+    Kinds are object, array, string, number, boolean and null. Payloads are parsed once, as variants, and counted in one
+    aggregate; keys are data here, so there may be any number. Text that is no JSON object has no keys.
+    """
+    parsed = df.select(F.try_parse_json(payload).alias("_v")).where(F.col("_v").isNotNull())
+    entries = parsed.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("_v").outer())).where(F.col("key").isNotNull())
+    kind = F.schema_of_variant("value")
+    named = (
+        F.when(kind.startswith("OBJECT"), "object").when(kind.startswith("ARRAY"), "array").when(kind == "STRING", "string")
+        .when(kind == "BOOLEAN", "boolean").when(kind == "VOID", "null").otherwise("number")
+    )
+    return entries.groupBy("key", named.alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def json_get(payload: str | Column, key: str) -> Column:
     """One top-level value as text: nested values stay JSON, JSON null is null."""
     c = F.col(payload) if isinstance(payload, str) else payload

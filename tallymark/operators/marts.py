@@ -13,7 +13,7 @@ from tallymark.functions.exprs import (
 )
 from tallymark.operators.aggregates import count_by
 from tallymark.operators.joins import left_upper_name
-from tallymark.operators.stats import Metric, area_stats
+from tallymark.operators.stats import Metric, area_levels, area_stats
 from tallymark.operators.windows import dupe_rank
 from tallymark.plans.skew import salted_join
 
@@ -84,6 +84,12 @@ def state_stats(schools: DataFrame, digits: int = 2) -> DataFrame:
     return area_stats(schools, keys, "pct_high_income", "math_pct_prof", METRICS, digits=digits)
 
 
+def level_stats(schools: DataFrame, digits: int = 2) -> DataFrame:
+    """State and county statistics from one pass over the schools; ``level`` is state or county."""
+    levels = {"state": ["state"], "county": ["state", "county_fips"]}
+    return area_levels(schools, levels, "pct_high_income", "math_pct_prof", METRICS, digits=digits)
+
+
 def drill(schools: DataFrame, states: DataFrame, counties: DataFrame, level: str,
           state: str | None = None, county: str | None = None) -> DataFrame:
     """Rows of the national, state or county view.

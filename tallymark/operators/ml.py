@@ -20,6 +20,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallymark.operators.linear import poisson_weight
 from tallymark.plans.lineage import settle
 
 LABEL, FEATURES, PREDICTION, HELD_OUT = "label", "features", "prediction", "held_out"
@@ -142,17 +143,17 @@ def finalize(df: DataFrame, pipeline: Pipeline, path: str) -> PipelineModel:
     return model
 
 
-def bag(df: DataFrame, test: DataFrame, estimator, k: int = 5, seed: int = 123,
-        key: str = "id") -> DataFrame:
+def bag(df: DataFrame, test: DataFrame, estimator, k: int = 5, key: str = "id") -> DataFrame:
     """Average prediction of ``k`` models fitted on bootstrap samples.
 
-    Each model adds a prediction column to the rows, so nothing is joined.
+    A sample is a weight per row, drawn by a hash of the row's key and the model's number, so no sample is
+    written and the models are the same in every run. Each model adds a prediction column to the rows, so nothing is joined.
     """
     out, names = test, []
     for i in range(k):
-        sample = df.sample(withReplacement=True, fraction=1.0, seed=seed + i)
-        name = f"_p{i}"
-        fitted = estimator.copy({estimator.predictionCol: name}).fit(sample)
+        name, weight = f"_p{i}", poisson_weight(key, F.lit(i)).cast("double")
+        drawn = df.withColumn("_weight", weight).where("_weight > 0")
+        fitted = estimator.copy({estimator.predictionCol: name, estimator.weightCol: "_weight"}).fit(drawn)
         out = fitted.transform(out)
         names.append(name)
     mean = reduce(lambda a, b: a + b, [F.col(n) for n in names]) / F.lit(k)

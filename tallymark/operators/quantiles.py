@@ -15,6 +15,8 @@ from tallymark.plans.skew import salted_join
 # accuracy of the sketch, half width of a bracket, and rows below which a key is taken whole:
 # the bracket is wider than the sketch's error and holds five positions on either side
 ACCURACY, MARGIN, FEW = 10_000, 0.0005, 10_000
+# different values of a bracket that are ordered in one task, and parts a larger bracket is cut in
+MOST, PARTS = 100_000, 64
 
 
 def quantiles(
@@ -29,9 +31,10 @@ def quantiles(
 
     Also gives ``n``, ``min`` and ``max``. Exact without sorting or gathering a group: a sketch
     brackets each wanted position, a second pass counts what lies below a bracket and the values inside
-    it, and the position is looked up among these (a thousandth of the rows; keys with few rows are
-    taken whole). A key whose bracket misses is done again without brackets. ``approx`` uses the
-    sketch alone (no interpolation), for when one pass must do.
+    it (a thousandth of the rows; keys with few rows are taken whole). Brackets of more than ``MOST``
+    different values are narrowed in rounds, each of which counts ``PARTS`` parts and keeps those that hold
+    the position; only then are values ordered, at most ``MOST`` in a task. A key whose bracket misses is done
+    again from its whole range. ``approx`` uses the sketch alone (no interpolation), for when one pass must do.
     """
     rows = df.where(F.col(x).isNotNull()).select(
         F.struct(*[F.col(k) for k in keys] or [F.lit(1).alias("one")]).alias("_k"), F.col(x).cast("double").alias("_x")
@@ -71,26 +74,62 @@ def _positions(
     js = range(len(probs))
     bound = sketch.select("_k", *[c.alias(f"_{n}{j}") for j in js for n, c in zip("ab", ends[j])])
     placed = rows.join(bound, "_k")
-    below = placed.groupBy("_k").agg(*[F.count_if(F.col("_x") < F.col(f"_a{j}")).alias(f"_below{j}") for j in js])
+    below = placed.groupBy("_k").agg(F.array(*[F.count_if(F.col("_x") < F.col(f"_a{j}")) for j in js]).alias("_b"))
     inside = [F.when((F.col("_x") >= F.col(f"_a{j}")) & (F.col("_x") <= F.col(f"_b{j}")), F.lit(j)) for j in js]
     values = placed.select("_k", "_x", F.explode(F.array_compact(F.array(*inside))).alias("_j")).groupBy("_k", "_j", "_x").agg(
         F.count(F.lit(1)).alias("_n")
     )
-    earlier = Window.partitionBy("_k", "_j").orderBy("_x").rowsBetween(Window.unboundedPreceding, -1)
-    counted = values.withColumn("_run", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
     # positions on both sides of each quantile, counted from 0
-    at = [(F.col("n") - 1) * F.lit(float(p)) for p in probs]
+    at = (F.col("n") - 1) * F.get(F.array(*[F.lit(float(p)) for p in probs]), F.col("_j"))
+    wanted = sketch.join(below, "_k").select("_k", "n", F.posexplode("_b").alias("_j", "_below")).select(
+        "_k", "_j", "_below", F.floor(at).alias("_lo"), F.ceil(at).alias("_hi"), (at - F.floor(at)).alias("_part")
+    )
+    if (sketch.agg(F.max("n")).first()[0] or 0) > MOST:
+        values, wanted = settle(values, "values"), settle(wanted, "wanted")
+        while True:
+            crowded = values.groupBy("_k", "_j").agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") > MOST)
+            crowded = settle(crowded.drop("_c"), "crowded")
+            if crowded.isEmpty():
+                break
+            values, wanted = _narrowed(values, wanted, crowded)
+    earlier = Window.partitionBy("_k", "_j").orderBy("_x").rowsBetween(Window.unboundedPreceding, -1)
+    counted = values.join(wanted, ["_k", "_j"]).withColumn("_run", F.coalesce(F.sum("_n").over(earlier), F.lit(0)) + F.col("_below"))
+
+    def value(i: str) -> Column:
+        return F.max(F.when((F.col("_run") <= F.col(i)) & (F.col(i) < F.col("_run") + F.col("_n")), F.col("_x")))
+
+    ends_of = counted.groupBy("_k", "_j", "_part").agg(value("_lo").alias("_l"), value("_hi").alias("_h"))
+    between = F.col("_l") + (F.col("_h") - F.col("_l")) * F.col("_part")
+    picked = ends_of.groupBy("_k").agg(*[F.max(F.when(F.col("_j") == j, between)).alias(f"_q{j}") for j in js])
+    return sketch.select("_k", "n", "min", "max").join(picked, "_k", "left").select(
+        "_k", "n", "min", "max", F.array(*[f"_q{j}" for j in js]).alias("_q")
+    )
 
-    def value(j: int, i: Column) -> Column:
-        before = F.col("_run") + F.col(f"_below{j}")
-        return F.max(F.when((F.col("_j") == j) & (before <= i) & (i < before + F.col("_n")), F.col("_x")))
 
-    whole = sketch.select("_k", "n", "min", "max").join(below, "_k").join(counted, "_k")
-    picked = whole.groupBy("_k", "n", "min", "max").agg(*[
-        e.alias(f"_{name}{j}") for j in js for name, e in (("lo", value(j, F.floor(at[j]))), ("hi", value(j, F.ceil(at[j]))))
-    ])
-    between = [F.col(f"_lo{j}") + (F.col(f"_hi{j}") - F.col(f"_lo{j}")) * (at[j] - F.floor(at[j])) for j in js]
-    return picked.select("_k", "n", "min", "max", F.array(*between).alias("_q"))
+def _narrowed(values: DataFrame, wanted: DataFrame, crowded: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The values of crowded brackets in the parts that hold their positions, and what lies below these parts.
+
+    Parts are bounded by quantiles of the different values, so each has about 1 / PARTS of them however
+    they are spread, and at least two parts have some: every round gets somewhere.
+    """
+    key = ["_k", "_j"]
+    here = values.join(crowded, key, "left_semi")
+    cuts = [i / PARTS for i in range(1, PARTS)]
+    edges = settle(here.groupBy(*key).agg(F.approx_percentile("_x", cuts, ACCURACY).alias("_edges")), "edges")
+    # an edge ends the part before it, so that the largest value alone does not make the last part the whole
+    numbered = here.join(edges, key).withColumn("_no", F.size(F.filter("_edges", lambda e: e < F.col("_x")))).drop("_edges")
+    parts = numbered.groupBy(*key, "_no").agg(F.sum("_n").alias("_m"))
+    earlier = Window.partitionBy(*key).orderBy("_no").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_m").over(earlier), F.lit(0)) + F.col("_below")
+    held = parts.join(wanted, key).withColumn("_before", before).where(
+        (F.col("_before") <= F.col("_hi")) & (F.col("_before") + F.col("_m") > F.col("_lo"))
+    )
+    held = settle(held.select(*key, "_no", "_before"), "parts")
+    kept = numbered.join(held, [*key, "_no"], "left_semi").drop("_no")
+    below = held.groupBy(*key).agg(F.min("_before").alias("_new"))
+    moved = wanted.join(below, key, "left").withColumn("_below", F.coalesce("_new", "_below")).drop("_new")
+    rest = values.join(crowded, key, "left_anti")
+    return settle(rest.unionByName(kept), "values"), settle(moved, "wanted")
 
 
 def quantile_cuts(
@@ -178,14 +217,12 @@ def histogram(df: DataFrame, x: str, bins: int) -> DataFrame:
 
 
 def summary(df: DataFrame, x: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Count, mean, median and maximum."""
+    """Count, mean, median and maximum: one row per key, without keys one row (of no values: 0 and nulls)."""
     mid = quantiles(df, x, [0.5], keys)
-    if keys:
-        means = df.where(F.col(x).isNotNull()).groupBy(*keys).agg(F.avg(x).alias("mean"))
-        mid, mean = mid.join(means, list(keys)), F.col("mean")
-    else:
-        mean = df.agg(F.avg(x)).scalar()
-    return mid.select(
-        *keys, F.coalesce("n", F.lit(0)).alias("count"), mean.alias("mean"),
-        F.get("q", F.lit(0)).alias("median"), "max",
-    )
+    if not keys:
+        # one row, also of an empty table
+        means = df.agg(F.avg(x).alias("mean"))
+        found = mid.agg(F.coalesce(F.max("n"), F.lit(0)).alias("count"), F.max(F.get("q", F.lit(0))).alias("median"), F.max("max").alias("max"))
+        return found.select("count", means.scalar().alias("mean"), "median", "max")
+    means = df.where(F.col(x).isNotNull()).groupBy(*keys).agg(F.avg(x).alias("mean"))
+    return mid.join(means, list(keys)).select(*keys, F.col("n").alias("count"), "mean", F.get("q", F.lit(0)).alias("median"), "max")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.functions.exprs import present, round_to
@@ -45,6 +46,13 @@ def area_stats(
     rows = df
     for k in keys:
         rows = rows.where(present(k))
+    found = rows.groupBy(*keys).agg(*_pair_aggregates(x, y, metrics, avg_x, avg_y, count_name, digits))
+    return found.where(F.col(count_name) > 0)
+
+
+def _pair_aggregates(
+    x: str, y: str, metrics: Sequence[Metric], avg_x: str, avg_y: str, count_name: str, digits: int
+) -> list[Column]:
     extra = []
     for m in metrics:
         extra += [
@@ -52,17 +60,40 @@ def area_stats(
             pearson(m.x, y).alias(m.r_name),
             pair_count(m.x, y).alias(m.n_name),
         ]
-    return (
-        rows.groupBy(*keys)
-        .agg(
-            paired_mean(y, x, digits).alias(avg_y),
-            paired_mean(x, y, digits).alias(avg_x),
-            pearson(x, y).alias("pearson_r"),
-            pair_count(x, y).alias(count_name),
-            *extra,
-        )
-        .where(F.col(count_name) > 0)
+    return [
+        paired_mean(y, x, digits).alias(avg_y),
+        paired_mean(x, y, digits).alias(avg_x),
+        pearson(x, y).alias("pearson_r"),
+        pair_count(x, y).alias(count_name),
+        *extra,
+    ]
+
+
+def area_levels(
+    df: DataFrame,
+    levels: Mapping[str, Sequence[str]],
+    x: str,
+    y: str,
+    metrics: Sequence[Metric] = (),
+    avg_x: str = "avg_pct_high_income",
+    avg_y: str = "avg_math_pct_prof",
+    count_name: str = "school_count",
+    digits: int = 2,
+) -> DataFrame:
+    """``area_stats`` of several levels from one pass, with the name of the level; keys of other levels are null.
+
+    Each level asks for its own keys only: a row without a county counts for its state.
+    """
+    keys = list(dict.fromkeys(k for of_level in levels.values() for k in of_level))
+    found = df.groupingSets([list(v) for v in levels.values()], *keys).agg(
+        F.grouping_id().alias("_set"), *_pair_aggregates(x, y, metrics, avg_x, avg_y, count_name, digits)
     )
+    name, kept = F.lit(None), F.lit(False)
+    for level, own in levels.items():
+        here = F.col("_set") == sum(1 << i for i, k in enumerate(reversed(keys)) if k not in own)
+        name = F.when(here, F.lit(level)).otherwise(name)
+        kept = kept | reduce(lambda a, b: a & b, [present(k) for k in own], here)
+    return found.where(kept & (F.col(count_name) > 0)).withColumn("level", name).drop("_set")
 
 
 def trend_segment(df: DataFrame, x: str, y: str, keys: Sequence[str] = ()) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallymark.plans.lineage import settle
 from tallymark.plans.scan import ordered_chunks, running, unchunk
 from tallymark.plans.skew import ROWS_PER_PART, as_parts, salted_join
 
@@ -52,12 +53,27 @@ def top_bottom(
 
 
 def dupe_rank(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], out: str = "dupe_rank"
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], out: str = "dupe_rank",
+    rows_per_part: int = ROWS_PER_PART,
 ) -> DataFrame:
-    """Number all rows of each key 1, 2, 3, ... in the given (total) order."""
-    chunked = ordered_chunks(df, keys, order_by)
-    ranked = running(chunked, keys, {out: F.lit(1).cast("bigint")})
-    return unchunk(ranked.withColumn(out, F.col(out) + 1))
+    """Number all rows of each key 1, 2, 3, ... in the given (total) order. Starts a job that counts the keys.
+
+    Keys of up to ``rows_per_part`` rows are numbered by a window. Larger ones go through the ordered scan, in as many
+    chunks of that size as they need, so neither way puts more rows of a key in one task.
+    """
+    key = F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(1).alias("one"))
+    counts = df.groupBy(key.alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+    heavy = settle(counts.where(F.col("_n") > rows_per_part), "heavy")
+    rows = heavy.agg(F.sum("_n")).first()[0]
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy(*order_by)).cast("bigint")
+    if not rows:
+        return df.withColumn(out, number)
+    marked = df.withColumn("_key", key)
+    light = marked.join(heavy, "_key", "left_anti").drop("_key").withColumn(out, number)
+    large = marked.join(heavy, "_key", "left_semi").drop("_key")
+    parts = max(-(-rows // rows_per_part), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ranked = running(ordered_chunks(large, keys, order_by, parts), keys, {out: F.lit(1).cast("bigint")})
+    return light.unionByName(unchunk(ranked.withColumn(out, F.col(out) + 1)))
 
 
 def count_in(

@@ -14,6 +14,10 @@ from tallymark.operators.joins import not_stored
 from tallymark.operators.sets import union_layers
 
 
+#: Column and folder of a key's bucket.
+BUCKET = "key_bucket"
+
+
 def _sized(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Rows gathered by partition value into well-sized files; AQE splits a heavy value."""
     return df.hint("rebalance", *partition_by) if partition_by else df
@@ -40,23 +44,32 @@ def _stored(spark: SparkSession, path: str) -> DataFrame | None:
 
 def insert_if_absent(
     df: DataFrame, path: str, key: str = "data_hash", partition: str = "year",
-    touched: Sequence | None = None,
+    touched: Sequence | None = None, buckets: int = 0,
 ) -> None:
-    """Append the rows whose key is not stored yet, one per key.
+    """Append the rows whose key is not stored yet, one per key; a null partition is one like others.
 
     Of the stored rows only the key is read, and with ``touched`` (the partition values the
-    batch may hold, such as the years of a run) only those partitions. Running it twice
-    stores nothing twice; a table must have one writer at a time.
+    batch may hold, such as the years of a run; None for the null one) only those partitions. With ``buckets``
+    a partition is laid out in that many folders by a hash of the key (column ``key_bucket``), and only the
+    folders are read in which a key of the batch could be; a table keeps the number it was
+    begun with. Running it twice stores nothing twice; a table must have one writer at a time.
     """
-    fresh = df.dropDuplicates([key])
+    fresh, layout = df.dropDuplicates([key]), [partition]
+    if buckets:
+        fresh, layout = fresh.withColumn(BUCKET, F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")), [partition, BUCKET]
     stored = _stored(df.sparkSession, path)
     if stored is not None:
+        if bool(buckets) != (BUCKET in stored.columns):
+            raise ValueError(f"{path} is{' not' if buckets else ''} laid out in buckets")
         if touched is not None:
-            expected = F.col(partition).isin(list(touched))
+            known = F.col(partition).isin([v for v in touched if v is not None])
+            expected = F.coalesce(known, F.lit(False)) | (F.col(partition).isNull() if None in touched else F.lit(False))
             stored = stored.where(expected)
             fresh = fresh.where(F.assert_true(expected, "row outside the touched partitions").isNull())
-        fresh = not_stored(fresh, stored, [partition, key])
-    append(fresh, path, [partition])
+        if buckets:
+            stored = stored.where(F.col(BUCKET).isin([r[0] for r in fresh.select(BUCKET).distinct().collect()]))
+        fresh = not_stored(fresh, stored, [*layout, key])
+    append(fresh, path, layout)
 
 
 def ndjson(df: DataFrame, path: str) -> None:

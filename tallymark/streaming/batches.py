@@ -96,6 +96,14 @@ def store(
     )
 
 
+def rows(spark: SparkSession, target: str) -> DataFrame:
+    """All rows of the committed batches of a target that is never merged, with their number as ``batch``."""
+    numbers = _numbers(spark, target, "batch")
+    if not numbers:
+        raise ValueError(f"nothing is stored in {target}")
+    return spark.read.option("basePath", target).parquet(*[f"{target}/batch={n}" for n in numbers])
+
+
 def read(spark: SparkSession, target: str, combine: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """The combined rows of all batches stored so far."""
     rows, _ = _read(spark, target)

@@ -6,7 +6,7 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
-from tallymark.operators import windows
+from tallymark.operators import usage, windows
 from tallymark.plans import lineage, scan, skew
 
 
@@ -52,6 +52,34 @@ def test_dupe_rank(frame):
     assert out.columns == ["id", "k", "v", "dupe_rank"]
 
 
+@pytest.mark.parametrize("rows_per_part", [100, 10**6])
+def test_dupe_rank_of_light_and_heavy_keys(frame, rows_per_part):
+    """Heavy keys by the scan, others by a window: same ranks, same types, null keys included."""
+    rows = skewed(2000, 4)
+    out = windows.dupe_rank(frame(rows, "id int, k string, v int"), ["k"], [F.desc("v"), F.asc("id")], "n", rows_per_part)
+    want, seen = {}, {}
+    for i, k, v in sorted(rows, key=lambda x: (-x[2], x[0])):
+        seen[k] = want[i] = seen.get(k, 0) + 1
+    assert {r.id: r.n for r in out.collect()} == want
+    assert out.schema["n"].dataType.simpleString() == "bigint" and out.columns == ["id", "k", "v", "n"]
+
+
+def test_light_keys_are_not_written(frame, monkeypatch):
+    monkeypatch.setattr(scan, "settle", None)
+    out = windows.dupe_rank(frame(skewed(300), "id int, k string, v int"), ["k"], [F.asc("id")])
+    assert "rangepartitioning" not in out._jdf.queryExecution().executedPlan().toString() and out.count() == 300
+
+
+def test_usage_rows_are_written_once(frame, monkeypatch):
+    """One ordered copy; after it a row is shuffled once, by day and chunk, and sessions meet as sums only."""
+    written = []
+    monkeypatch.setattr(scan, "settle", lambda df, label="x": written.append(label) or lineage.settle(df, label))
+    log = frame([(1, 1, "d", "s", "authorize", 1, 1)], "event_id int, ts int, day string, session_id string, kind string, tokens bigint, cost_usd bigint")
+    plan = usage.usage_admission(log, 1, 1, 1)._jdf.queryExecution().executedPlan().toString()
+    assert written == ["chunks"] and plan.count("rangepartitioning") == 0
+    assert plan.count("hashpartitioning(_day") + plan.count("hashpartitioning(_day#") > 0
+
+
 def test_first_n_beyond_the_group_limit(frame):
     rows = [(i, "k") for i in range(1500)]
     out = windows.first_n_per(frame(rows, "id int, k string"), ["k"], [F.asc("id")], 1200)

@@ -89,6 +89,43 @@ def test_quantiles_from_brackets(frame, monkeypatch, margin):
         assert got[k].q == pytest.approx(list(np.quantile(xs, probs))) and got[k].n == len(xs)
 
 
+@pytest.mark.parametrize("most,margin", [(20, 0.2), (20, 0.0), (3, 0.5)])
+def test_brackets_are_narrowed_in_rounds(frame, monkeypatch, most, margin):
+    """With brackets that hold far more values than a task may order: ties, one value, heavy ends, steep skew, null keys."""
+    for name, value in (("FEW", 5), ("ACCURACY", 50), ("MARGIN", margin), ("MOST", most), ("PARTS", 4)):
+        monkeypatch.setattr(quantiles, name, value)
+    r = random.Random(11)
+    columns = {
+        "many": [r.gauss(0, 1) for _ in range(1500)], "ties": [float(r.randint(0, 60)) for _ in range(900)], "one": [7.0] * 400,
+        "ends": [0.0] * 300 + [r.random() for _ in range(300)] + [1.0] * 300, "steep": [math.exp(r.uniform(-300, 300)) for _ in range(700)],
+        "two": [1.0, 2.0], None: [float(i) for i in range(300)],
+    }
+    probs = [0.0, 0.01, 0.5, 0.5, 0.77, 1.0]
+    rows = [(k, x) for k, xs in columns.items() for x in xs] + [("none", None)]
+    got = {x.k: x for x in quantiles.quantiles(frame(rows, "k string, x double").repartition(5), "x", probs, ["k"]).collect()}
+    assert set(got) == set(columns)
+    for k, xs in columns.items():
+        assert got[k].q == pytest.approx(list(np.quantile(xs, probs))) and got[k].n == len(xs)
+
+
+def test_no_task_orders_more_than_stated(frame, monkeypatch):
+    """What reaches the window that orders values, counted per key and position."""
+    for name, value in (("FEW", 5), ("MARGIN", 0.4), ("MOST", 25), ("PARTS", 4)):
+        monkeypatch.setattr(quantiles, name, value)
+    met, narrowed = [], quantiles._narrowed
+
+    def watched(values, wanted, crowded):
+        out = narrowed(values, wanted, crowded)
+        met.append(out[0].groupBy("_k", "_j").count().selectExpr("max(count)").first()[0])
+        return out
+
+    monkeypatch.setattr(quantiles, "_narrowed", watched)
+    xs = [float(i * i) for i in range(3000)]
+    got = quantiles.quantiles(frame([(x,) for x in xs], "x double"), "x", [0.25, 0.5]).first()
+    assert got.q == pytest.approx(list(np.quantile(xs, [0.25, 0.5])))
+    assert len(met) > 2 and met[-1] <= 25 and all(b < a for a, b in zip(met, met[1:]))
+
+
 def test_quantiles_do_not_sort_the_rows(frame):
     df = quantiles.quantiles(frame([("a", 1.0)], "k string, x double"), "x", [0.5], ["k"])
     assert "rangepartitioning" not in df._jdf.queryExecution().executedPlan().toString()
@@ -210,3 +247,20 @@ def test_drill_and_scatter(frame):
         marts.drill(schools, states, counties, "city")
     assert filters.scatter(schools, states, "pct_high_income", "avg_pct_high_income", "MI").count() == 1
     assert filters.scatter(schools, states, "pct_high_income", "avg_pct_high_income").first().name == "MI"
+
+
+def test_levels_from_one_pass(frame):
+    """State and county statistics of one pass are those of two; schools without a county count for their state."""
+    r = random.Random(2)
+    rows = [(r.choice(["MI", "OH", "", None]), r.choice(["1", "2", "", None]), r.choice([None, r.uniform(0, 100)]), r.choice([None, r.uniform(0, 30)]),
+             float(i)) for i in range(300)]
+    schools = frame(rows, "state string, county_fips string, math double, income double, ratio double")
+    more = [Metric("ratio", "avg_r", "r_r", "n_r")]
+    levels = {"state": ["state"], "county": ["state", "county_fips"]}
+    both = stats.area_levels(schools, levels, "income", "math", more)
+    for level, keys in levels.items():
+        want = area_stats(schools, keys, "income", "math", more)
+        got = both.where(F.col("level") == level).select(*want.columns)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and want.count() > 1
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("Expand") >= 1

@@ -196,3 +196,85 @@ def test_live_stats_merge_batches(frame, spark, tmp_path):
     assert set(got) == {"MI", "OH"} and got["OH"].pearson_r is None
     assert got["MI"].pearson_r ** 2 == pytest.approx(want["MI"].r2, abs=1e-3)
     assert got["MI"].school_count == want["MI"].n and got["MI"].avg_math_pct_prof == want["MI"].m
+
+
+def test_null_partitions_are_stored_once(frame, spark, tmp_path):
+    rows = frame([("a", 2020), ("b", None), ("c", None), ("b", None), (None, None)], "data_hash string, year int")
+    for name, how in (("t", {}), ("u", {"touched": [2020, None]}), ("v", {"buckets": 3})):
+        for _ in range(3):
+            writers.insert_if_absent(rows, str(tmp_path / name), **how)
+        got = spark.read.parquet(str(tmp_path / name)).collect()
+        assert sorted((r.data_hash or "", r.year or 0) for r in got) == [("", 0), ("a", 2020), ("b", 0), ("c", 0)]
+    only = str(tmp_path / "w")  # a table of null partitions alone
+    for _ in range(2):
+        writers.insert_if_absent(rows.where("year is null"), only)
+    assert spark.read.parquet(only).count() == 3
+    with pytest.raises(Exception, match="outside the touched"):
+        writers.insert_if_absent(frame([("z", None)], "data_hash string, year int"), only, touched=[2020])
+
+
+def test_buckets_that_cannot_hold_a_key_are_not_read(spark, tmp_path, monkeypatch):
+    target, read = str(tmp_path / "t"), []
+    rows = spark.range(200).selectExpr("cast(id as string) data_hash", "cast(if(id % 5 = 0, null, 2000) as int) year")
+    writers.insert_if_absent(rows, target, buckets=16)
+    plain = writers.not_stored
+    monkeypatch.setattr(writers, "not_stored", lambda new, stored, keys: read.append(stored) or plain(new, stored, keys))
+    writers.insert_if_absent(rows.where("data_hash in ('7', '8')"), target, buckets=16)
+    assert spark.read.parquet(target).count() == 200
+    plan = read[0]._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and writers.BUCKET in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert 0 < read[0].select("data_hash").distinct().count() < 60
+    with pytest.raises(ValueError, match="laid out in buckets"):
+        writers.insert_if_absent(rows, target)
+
+
+def test_ingest_stream_with_null_years_is_repeatable(frame, spark, tmp_path):
+    land, target = str(tmp_path / "land"), str(tmp_path / "t")
+    schema = "data_hash string, year int"
+    frame([("a", 2020), ("b", None)], schema).write.parquet(land)
+    for checkpoint in ("c1", "c2"):
+        for _ in range(2):
+            ingest.ingest_stream(ingest.landed_stream(spark, land, schema), target, str(tmp_path / checkpoint)).awaitTermination()
+    assert sorted((r.data_hash, r.year) for r in spark.read.parquet(target).collect()) == [("a", 2020), ("b", None)]
+
+
+STATE = "data_hash string, year int, at timestamp"
+
+
+def by_state(spark, tmp_path, **how):
+    rows = ingest.landed_stream(spark, str(tmp_path / "land"), STATE, files_per_batch=1)
+    query = ingest.ingest_by_state(rows, str(tmp_path / "t"), str(tmp_path / "cp"), **how)
+    query.awaitTermination()
+    return query, sorted((r.data_hash, r.year) for r in ingest.read_ingested(spark, str(tmp_path / "t")).collect())
+
+
+def test_ingest_by_state(frame, spark, tmp_path):
+    """Goes on after a restart, and a batch that was written but not committed leaves nothing twice."""
+    def add(*rows):
+        frame([(k, y, datetime(2024, 1, 1)) for k, y in rows], STATE).coalesce(1).write.mode("append").parquet(str(tmp_path / "land"))
+
+    add(("a", 2020), ("b", None), ("a", 2020))
+    assert by_state(spark, tmp_path)[1] == [("a", 2020), ("b", None)]
+    add(("b", None), ("c", 2021))
+    query, got = by_state(spark, tmp_path)
+    assert got == [("a", 2020), ("b", None), ("c", 2021)]
+    operator = query.lastProgress["stateOperators"][0]
+    assert operator["numRowsTotal"] == 3 and "rocksdbCommitCheckpointLatency" in operator["customMetrics"]
+    # the last batch ends after its write and before its commit
+    commits = tmp_path / "cp" / "commits"
+    last = max(int(p.name) for p in commits.iterdir() if p.name.isdigit())
+    (commits / str(last)).unlink()
+    (commits / f".{last}.crc").unlink(missing_ok=True)
+    add(("c", 2021), ("d", None))
+    assert by_state(spark, tmp_path)[1] == [("a", 2020), ("b", None), ("c", 2021), ("d", None)]
+    with pytest.raises(ValueError, match="belongs to the stream"):
+        ingest.ingest_by_state(ingest.landed_stream(spark, str(tmp_path / "land"), STATE), str(tmp_path / "t"), "other")
+
+
+def test_ingest_by_state_with_a_horizon(frame, spark, tmp_path):
+    """State older than the horizon is given up; a key within it is stored once."""
+    for day in (1, 2, 20, 21, 22):
+        frame([("a", 2020, datetime(2024, 1, day)), (f"k{day}", 2020, datetime(2024, 1, day))], STATE).coalesce(1).write.mode("append").parquet(str(tmp_path / "land"))
+    query, got = by_state(spark, tmp_path, event_time="at", horizon="3 days")
+    assert sorted(k for k, _ in got if k != "a") == ["k1", "k2", "k20", "k21", "k22"]
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] < 6

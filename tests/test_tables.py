@@ -1,5 +1,6 @@
 """Windows over small tables, reshaping, JSON, spatial join and usage audit."""
 
+import math
 import random
 
 import pytest
@@ -73,6 +74,16 @@ def test_json_expand(frame):
     assert got[2].a_b_1 == "y" and got[2].a_b is None
 
 
+def test_json_types(frame):
+    """Mixed and nested types, keys in the thousands, broken text."""
+    rows = [('{"a": 1, "b": {"c": [1]}, "d": null}',), ('{"a": "1", "b": [], "A": true, "a b": 1.5}',), ("[1, 2]",), ("7",), ("{broken",), (None,), ("{}",)]
+    rows += [("{" + ", ".join(f'"k{i}": {i}' for i in range(3000)) + "}",)]
+    got = {(r.key, r.kind): r.n for r in jsonx.json_types(frame(rows, "p string"), "p").collect()}
+    few = {k: n for k, n in got.items() if not k[0].startswith("k")}
+    assert few == {("a", "number"): 1, ("a", "string"): 1, ("b", "object"): 1, ("b", "array"): 1, ("d", "null"): 1, ("A", "boolean"): 1, ("a b", "number"): 1}
+    assert len(got) - len(few) == 3000
+
+
 def test_json_keys_that_differ_in_case(frame):
     df = frame([(1, '{"Id":"p","ID":"q","x":1}')], "n int, js string")
     row = jsonx.expand_json(df, "js", ["n"]).first().asDict()
@@ -135,6 +146,56 @@ def test_cells_are_bounded(frame):
     assert all(c["count"] <= (spatial.SPLITS + 1) ** 2 for c in counts) and len(counts) == 2
 
 
+def star(n, cx, cy, radius, seed, inner=0.7):
+    """A ring of n corners around a centre."""
+    r = random.Random(seed)
+    at = [(2 * math.pi * i / n, radius * r.uniform(inner, 1.0)) for i in range(n)]
+    ring = [(cx + d * math.cos(a), cy + d * math.sin(a)) for a, d in at]
+    return [*ring, ring[0]]
+
+
+def text_of(rings):
+    return "POLYGON (" + ", ".join("(" + ", ".join(f"{x!r} {y!r}" for x, y in ring) + ")" for ring in rings) + ")"
+
+
+@pytest.mark.parametrize("inner,copies", [(0.99, 1.5), (0.7, 3.5)])
+def test_ten_thousand_corners(frame, inner, copies):
+    """Edges are stored little more than once if they are short, a few times if they are long; cells are no more than edges."""
+    rings = [star(10_000, 10.0, 20.0, 5.0, 1, inner), star(2_000, 10.0, 20.0, 1.0, 2, inner)]
+    polys = spatial.with_edges(frame([("a", text_of(rings)), ("b", text_of([star(50, 12.0, 20.0, 4.0, 3)]))], "name string, geometry string"))
+    n_edges = polys.selectExpr("sum(size(edges))").first()[0]
+    cells = spatial.polygon_cells(polys)
+    stored, most, n = cells.selectExpr("sum(size(edges))", "max(size(edges))", "count(*)").first()
+    assert n_edges == 12_050 and stored < copies * n_edges and n < 1.5 * n_edges and most < n_edges / 20
+    r = random.Random(9)
+    pts = [(i, r.uniform(4, 17), r.uniform(14, 26)) for i in range(400)] + [(400 + i, *rings[0][i * 97]) for i in range(50)]
+    pairs = spatial.within_pairs(frame(pts, "id int, x double, y double"), polys, ["id"], "x", "y", ["name"]).collect()
+    shapes = {"a": rings, "b": [star(50, 12.0, 20.0, 4.0, 3)]}
+    assert sorted((p.id, p.name) for p in pairs) == sorted((i, k) for i, x, y in pts for k, g in shapes.items() if inside_by_hand(g, x, y))
+
+
+def test_within_on_grid_lines(frame):
+    """Corners, edges and points on lines of the grid, collinear and vertical and level edges, a hole that touches the outside."""
+    r = random.Random(4)
+    shapes = {}
+    for i in range(60):
+        n = r.randint(3, 8)
+        ring = [(float(r.randint(0, 8)), float(r.randint(0, 8))) for _ in range(n)]
+        shapes[f"p{i}"] = [[*ring, ring[0]]]
+    shapes["touch"] = [[(0.0, 0.0), (8.0, 0.0), (8.0, 8.0), (0.0, 8.0), (0.0, 0.0)], [(0.0, 4.0), (4.0, 2.0), (4.0, 6.0), (0.0, 4.0)]]
+    polys = spatial.with_edges(frame([(k, text_of(g)) for k, g in shapes.items()], "name string, geometry string"))
+    pts = [(17 * a + b, a / 2, b / 2) for a in range(17) for b in range(17)] + [(1000 + i, r.uniform(-1, 9), r.uniform(-1, 9)) for i in range(200)]
+    pairs = spatial.within_pairs(frame(pts, "id int, x double, y double"), polys, ["id"], "x", "y", ["name"]).collect()
+    assert sorted((p.id, p.name) for p in pairs) == sorted((i, k) for i, x, y in pts for k, g in shapes.items() if inside_by_hand(g, x, y))
+
+
+def test_same_polygon_twice(frame):
+    """Equal polygons are two polygons."""
+    polys = spatial.with_edges(frame([("a", "POLYGON ((0 0, 4 0, 4 4, 0 4, 0 0))")] * 2 + [("e", None)], "name string, geometry string"))
+    pairs = spatial.within_pairs(frame([(1, 1.0, 1.0)], "id int, x double, y double"), polys, ["id"], "x", "y", ["name"])
+    assert [(p.id, p.name) for p in pairs.collect()] == [(1, "a"), (1, "a")]
+
+
 def test_geocode_and_boxes(frame):
     def layer(rows, schema):
         return spatial.with_edges(frame(rows, schema))
