@@ -135,3 +135,20 @@ def covered(starts: np.ndarray, length: int, n: int) -> np.ndarray:
     """Which of n items lie in a window [start, start + length)."""
     delta = np.bincount(starts, minlength=n + 1) - np.bincount(starts + length, minlength=n + 1)
     return np.cumsum(delta[:n]) > 0
+
+
+_CODEC = pa.Codec("zstd", compression_level=1)
+
+
+def squeezed(values: np.ndarray) -> bytes:
+    """An array's bytes, first bytes of all values first, compressed: ids and counts shrink to what they hold."""
+    raw = np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.dtype.itemsize).T.tobytes()
+    return len(raw).to_bytes(8, "little") + _CODEC.compress(raw, asbytes=True)
+
+
+def opened(data: bytes | pa.Buffer, kind: type) -> np.ndarray:
+    """The array of ``squeezed`` bytes."""
+    data = memoryview(data)
+    raw = _CODEC.decompress(data[8:], int.from_bytes(data[:8], "little"), asbytes=True) if len(data) > 8 else b""
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(kind).ravel()

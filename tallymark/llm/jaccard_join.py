@@ -173,7 +173,7 @@ def _posting_task(buckets: int, hot: np.ndarray, hot_df: np.ndarray):
             groups = [g for g in np.split(order, cuts) if len(g)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([int(bucket[g[0]]) for g in groups], pa.int64())]
-                + [pa.array([c[g].tobytes() for g in groups], pa.binary()) for c in columns], names=names,
+                + [pa.array([flat.squeezed(c[g]) for g in groups], pa.binary()) for c in columns], names=names,
             )
 
     return run
@@ -182,7 +182,7 @@ def _posting_task(buckets: int, hot: np.ndarray, hot_df: np.ndarray):
 def _shared_postings(buckets: int):
     def run(key: tuple, table: pa.Table) -> pa.Table:
         token, doc, size, place, shared = (
-            np.concatenate([np.frombuffer(x.as_buffer(), t) for x in table.column(c)])
+            np.concatenate([flat.opened(x.as_buffer(), t) for x in table.column(c)])
             for c, t in (("tokens", U), ("docs", np.int64), ("sizes", np.int32), ("places", np.int32), ("shared", np.int8))
         )
         if key[0].as_py() < buckets:
@@ -350,7 +350,7 @@ def _across(buckets: int):
             groups = [g for g in np.split(order, np.flatnonzero(np.diff(to[order])) + 1) if len(g)]
             return pa.RecordBatch.from_arrays(
                 [pa.array([int(to[g[0]]) for g in groups], pa.int64())]
-                + [pa.array([pairs[c][g].astype(t).tobytes() for g in groups], pa.binary()) for c, t in _PAIR], names=names,
+                + [pa.array([flat.squeezed(pairs[c][g].astype(t)) for g in groups], pa.binary()) for c, t in _PAIR], names=names,
             )
 
         start = 0
@@ -403,7 +403,7 @@ def _tiled(placed: DataFrame, sides: DataFrame) -> DataFrame:
 
 def _counted(key: tuple, table: pa.Table) -> pa.Table:
     """The pairs of a bucket that can be similar enough."""
-    c = {k: np.concatenate([np.frombuffer(v.as_buffer(), t) for v in table.column(k)]).astype(np.int64) for k, t in _PAIR}
+    c = {k: np.concatenate([flat.opened(v.as_buffer(), t) for v in table.column(k)]).astype(np.int64) for k, t in _PAIR}
     c = _merged(c)
     keep = _enough(c["m"], c["n"], c["o"], c["la"], c["lb"], c["x"], c["y"], np.minimum, np.maximum, np.floor)
     return pa.table({"a": c["a"][keep], "b": c["b"][keep]})
@@ -446,9 +446,10 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     )
     first = settle(components(links), "first")
     # second step: what shares shingles across components
-    placed = postings.join(first, F.col("doc") == F.col("node"), "left").select(
+    # read by three jobs, so written once
+    placed = settle(postings.join(first, F.col("doc") == F.col("node"), "left").select(
         "token", "doc", "n", "place", "l", F.coalesce("component", "doc").alias("part")
-    )
+    ), "placed")
     mixed_ = placed.groupBy("token").agg(F.min("part").alias("p"), F.max("part").alias("q"), F.count(F.lit(1)).alias("held"))
     mixed_ = settle(mixed_.where("p <> q").select("token", "held"), "mixed")
     few, many = (mixed_.where(F.col("held") <= POSTINGS).select("token"), mixed_.where(F.col("held") > POSTINGS).select("token"))

@@ -127,7 +127,7 @@ def test_pairs_across_components_in_tiles(spark, monkeypatch):
     found = tiled.groupBy("g").applyInArrow(jaccard_join._across(5), "bucket long, " + ", ".join(f"{c} binary" for c, _ in jaccard_join._PAIR))
     got = collections.Counter()
     for r in found.collect():
-        a, b, m = (np.frombuffer(bytes(r[c]), dict(jaccard_join._PAIR)[c]) for c in ("a", "b", "m"))
+        a, b, m = (flat.opened(bytes(r[c]), dict(jaccard_join._PAIR)[c]) for c in ("a", "b", "m"))
         for i, j, k in zip(a.tolist(), b.tolist(), m.tolist()):
             got[i, j] += k
     want = collections.Counter((x[1], y[1]) for x in rows for y in rows if x[0] == y[0] and x[1] > y[1] and x[5] != y[5])
@@ -140,7 +140,7 @@ def test_pairs_across_components_are_sent_on(monkeypatch):
     columns = {c: np.full(n, v) for c, v in (("token", 1), ("n", 9), ("place", 0), ("l", 1), ("half", 2))}
     batch = pa.RecordBatch.from_pydict({**columns, "doc": np.arange(n), "part": np.arange(n)})
     batches = list(jaccard_join._across(3)((), iter([batch])))
-    sizes = [sum(len(x.as_py()) // 8 for x in b.column("a")) for b in batches]
+    sizes = [sum(len(flat.opened(x.as_py(), np.int64)) for x in b.column("a")) for b in batches]
     assert sum(sizes) == n * (n - 1) // 2 and max(sizes) <= 50 + n
 
 
@@ -308,3 +308,60 @@ def test_embeddings(spark, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "TILE", 8)
     check_embeddings(embedding_dedup.near_duplicates(rows).collect())
     assert embedding_dedup.near_duplicates(rows.where("false")).count() == 0
+
+
+def test_embeddings_of_many_lengths(spark, monkeypatch):
+    """More lengths than trees are fitted for: all are compared."""
+    monkeypatch.setattr(embedding_dedup, "LENGTHS", 5)
+    monkeypatch.setattr(embedding_dedup, "LEAF", 4)
+    draw, rows = np.random.default_rng(2), []
+    for w in range(3, 73):
+        base = draw.standard_normal(w)
+        for x in (base, 2 * base, base + 1e-3 * draw.standard_normal(w), -base, *draw.standard_normal((4, w))):
+            rows.append((len(rows), [float(v) for v in x], 1))
+    got = embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"))
+    vectors_, want = {i: np.array(v) for i, v, _ in rows}, 0
+    for i, x in vectors_.items():
+        want += sum(len(x) == len(y) and i != j and x @ y / np.sqrt((x @ x) * (y @ y)) >= 0.93 for j, y in vectors_.items() if abs(i - j) < 16)
+    found = got.selectExpr("count(*)", "sum(n_links)").first()
+    assert found[0] == len(rows) and 0.9 * want <= found[1] <= want and want >= 70 * 6
+
+
+@pytest.mark.parametrize("depth,least", [(6, 0.99), (14, 0.98), (18, 0.98), (22, 0.97), (24, 0.97)])
+def test_recall_by_depth(depth, least):
+    """Pairs at the threshold that share a leaf, in trees as deep as a table of up to 8 billion vectors of a label has."""
+    draw, width, n = np.random.default_rng(depth), 64, 400
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    a = unit(draw.standard_normal((n, width)))
+    side = draw.standard_normal((n, width))
+    side = unit(side - (side * a).sum(axis=1, keepdims=True) * a)
+    b = 0.93 * a + np.sqrt(1 - 0.93**2) * side
+    forest = embedding_dedup.Forest(unit(draw.standard_normal((20_000, width))), width, depth)
+    row, leaf = forest.leaves(np.concatenate([a, b]), np.full(2 * n, depth))
+    of = [set() for _ in range(2 * n)]
+    for r, x in zip(row.tolist(), leaf.tolist()):
+        of[r].add(x)
+    assert np.mean([bool(of[i] & of[n + i]) for i in range(n)]) >= least
+
+
+def test_boilerplate_of_small_hosts(spark):
+    """A share alone decides, so hosts of a few pages and the same mix at ten times the size lose the same lines."""
+    def pages(host, n):
+        # a menu on all pages, a notice on a quarter, a line on one page in fifty
+        return [(i, "\n".join(["menu", f"body {host} {i}"] + ["notice"] * (i % 4 == 0) + [f"rare {i // 2}"] * (i % 50 < 2)), host) for i in range(n)]
+
+    rows = pages("two", 2) + pages("three", 3) + pages("four", 4) + pages("small", 100) + pages("large", 1000)
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    left = {}
+    for r in line_dedup.drop_boilerplate(frame).collect():
+        left.setdefault(r.source, set()).update(x.split(" ")[0] for x in r.text.split("\n"))
+    assert left["two"] == {"body", "notice"} and left["three"] == {"body", "notice", "rare"}
+    assert left["small"] == left["large"] == {"body", "rare"}
+
+
+def test_boilerplate_keeps_columns_of_any_name(spark):
+    rows = [(i, "menu\nbody %d" % i, "h", "s", "b", "k", "r", "x") for i in range(9)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, `my.host` string, site string, bad string, kept string, row string, `a.b` string")
+    got = line_dedup.drop_boilerplate(frame, host="`my.host`")
+    assert got.columns == [*frame.columns, "n_lines", "n_dropped"]
+    assert sorted(map(tuple, got.collect())) == sorted((i, "body %d" % i, *rest, 2, 1) for i, _, *rest in rows)
