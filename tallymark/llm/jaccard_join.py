@@ -108,7 +108,9 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tokens.append(value[np.repeat(new, sizes)])
         if not tokens:
             continue
-        every = np.sort(np.concatenate(tokens))
+        every = np.concatenate(tokens)
+        tokens.clear()
+        every.sort()  # in place: a batch of long documents has tens of megabytes of shingles
         first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])) if len(every) else np.zeros(0, np.int64)
         df = np.diff(np.append(first, len(every)))
         some = df > 1
@@ -117,6 +119,9 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array(every[first[some]].view(np.int64)), pa.array(df[some])],
             names=names,
         )
+        del every, first, df, some
+    # a worker lives on after its task: what it no longer needs goes back
+    pa.default_memory_pool().release_unused()
 
 
 def prefixes(value: np.ndarray, at: np.ndarray, hot: np.ndarray, hot_df: np.ndarray) -> tuple[np.ndarray, ...]:
