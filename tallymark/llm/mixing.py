@@ -25,35 +25,53 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymark.plans.lineage import settle
+from tallymark.plans.scan import ordered_chunks, running, unchunk
 
 # Blank characters are space and tab to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows a task takes at a time: documents of a chunk, and chunks that meet at the next level.
 CHUNK, FAN_IN = 4096, 64
-#: One row per source reaches the driver; more sources than this are refused.
-MOST_SOURCES = 200_000
 
 
 def word_count(text: str) -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def targets(sizes: Sequence[int], weights: Sequence[float], share: float, most: float) -> list[float]:
-    """Words wanted of each source: ``share`` of all words by weight, none above ``most`` times its
-    size; what is cut off goes to the others by weight, until none is above.
+def source_targets(rows: DataFrame, weights: Sequence[float], share: float, most: float) -> DataFrame:
+    """Per source: ``site`` (a struct of it), ``source_size``, ``target`` and ``n`` rows.
+
+    Words wanted of each source: ``share`` of all words by weight, none above ``most`` times its
+    size; what is cut off goes to the others by weight, until none is above. ``weights`` repeat over the sources
+    by code point, null last. Sources stay a table: each round brings counts and whole sums of it to the driver.
     """
-    left, open_ = share * sum(sizes), [i for i, s in enumerate(sizes) if s > 0]
-    out = [0.0] * len(sizes)
-    while open_:
-        unit = left / sum(weights[i] for i in open_)
-        over = [i for i in open_ if weights[i] * unit > most * sizes[i]]
-        for i in over or open_:
-            out[i] = float(most * sizes[i]) if over else weights[i] * unit
-        if not over:
+    sums = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"))
+    ordered = ordered_chunks(sums.withColumn("_last", F.col("source").isNull()), [], ["_last", "source"])
+    turn = F.col("_turn") % len(weights)
+    sites = unchunk(running(ordered, [], {"_turn": F.lit(1)})).select(
+        F.struct("source").alias("site"), "source_size", "n", turn.cast("int").alias("kind"),
+        F.get(F.array(*[F.lit(float(w)) for w in weights]), turn.cast("int")).alias("weight"),
+    )
+    sites = settle(sites, "sources")
+
+    def above(unit: float) -> Column:
+        return F.col("weight") * F.lit(unit) > F.lit(float(most)) * F.col("source_size")
+
+    total = sites.agg(F.sum("source_size")).first()[0] or 0
+    unit, cut = 0.0, -1
+    while True:
+        # the unit grows with every source cut off, so those cut off before are above it again
+        over = above(unit)
+        found = sites.where("source_size > 0").agg(
+            F.count_if(over).alias("cut"), F.coalesce(F.sum(F.when(over, F.col("source_size"))), F.lit(0)).alias("words"),
+            *[F.count_if(~over & (F.col("kind") == k)).alias(f"n{k}") for k in range(len(weights))],
+        ).first()
+        left = sum(w * found[f"n{k}"] for k, w in enumerate(weights))
+        if found["cut"] == cut or not left:
             break
-        left -= sum(out[i] for i in over)
-        open_ = [i for i in open_ if i not in set(over)]
-    return out
+        cut, unit = found["cut"], (share * total - most * found["words"]) / left
+    wanted = F.when(above(unit), F.lit(float(most)) * F.col("source_size")).otherwise(F.col("weight") * F.lit(unit))
+    wanted = F.when(F.col("source_size") > 0, wanted).otherwise(0.0)
+    return sites.select("site", "source_size", wanted.alias("target"), "n")
 
 
 def round_chunk(frac: np.ndarray, size: np.ndarray, draws: np.ndarray, last: bool) -> np.ndarray:
@@ -88,7 +106,7 @@ def round_chunk(frac: np.ndarray, size: np.ndarray, draws: np.ndarray, last: boo
 
 def _settle_chunk(group: pd.DataFrame) -> pd.DataFrame:
     # long documents first: what is left at the end is short
-    group = group.sort_values(["size", "draw", "doc_id"], ascending=[False, True, True], na_position="last", kind="stable")
+    group = group.sort_values(["size", "draw", "doc_id", "turn"], ascending=[False, True, True, True], na_position="last", kind="stable")
     last = bool((group["n_chunks"] == 1).all())
     group["frac"] = round_chunk(
         group["frac"].to_numpy(), group["size"].to_numpy().astype(float), group["draw"].to_numpy(), last
@@ -100,39 +118,34 @@ def mix_copies(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
     weights: Sequence[float] = (3.0, 1.0, 2.0), share: float = 1.5, most: float = 2.0, seed: int = 0,
 ) -> DataFrame:
-    """Per document: ``doc_id, source, size, source_size, target`` and ``copies``.
+    """Per document: ``doc_id, source, size, source_size, target, copies``, and ``turn``, its number among equal rows.
 
     ``weights`` repeat over the sources by code point, null last.
     """
-    spark = docs.sparkSession
     rows = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"), F.col(source).cast("string").alias("source"), word_count(text).alias("size")
     )
-    rows = settle(rows, "sizes")
-    sums = rows.groupBy("source").agg(F.sum("size").alias("s"), F.count(F.lit(1)).alias("n")).limit(MOST_SOURCES + 1).collect()
-    if len(sums) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources")
-    sums.sort(key=lambda r: (r["source"] is None, (r["source"] or "").encode()))
-    wanted = targets([r["s"] for r in sums], [weights[i % len(weights)] for i in range(len(sums))], share, most)
-    plan = spark.createDataFrame(
-        [((r["source"],), r["s"], t, -(-r["n"] // CHUNK)) for r, t in zip(sums, wanted)],
-        "site struct<source:string>, source_size long, target double, n_chunks long",
-    )
+    # rows equal in all of this are interchangeable: numbered from their count, they get draws of their own
+    rows = settle(rows.groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("_n")).select(
+        "doc_id", "source", "size", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))).alias("turn")
+    ), "sizes")
+    plan = source_targets(rows, weights, share, most).withColumn("n_chunks", F.ceil(F.col("n") / F.lit(CHUNK)))
+    # its size is known to the planner, which broadcasts it if it is small
+    plan = settle(plan.drop("n"), "plan")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    key = F.struct("doc_id", "size")
+    key = F.struct("doc_id", "size", "turn")
 
     def unit(level: int) -> Column:
         return F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.lit(level), key), 11) * F.lit(2.0**-53)
 
-    # at most MOST_SOURCES short rows, counted above
-    placed = rows.withColumn("site", F.struct("source")).join(F.broadcast(plan), "site").withColumn("_rate", rate)
+    placed = rows.withColumn("site", F.struct("source")).join(plan, "site").withColumn("_rate", rate)
     placed = placed.select(
-        "doc_id", "source", "size", "source_size", "target", "n_chunks",
+        "doc_id", "source", "size", "turn", "source_size", "target", "n_chunks",
         F.pmod(F.xxhash64(F.lit(~seed), key), F.col("n_chunks")).alias("chunk"), unit(0).alias("draw"),
         F.floor("_rate").cast("long").alias("copies"),
         F.when(F.col("size") > 0, F.col("_rate") - F.floor("_rate")).otherwise(0.0).alias("frac"),
     )
-    done, level, depth, chunks = [], placed, 0, max([1, *(-(-r["n"] // CHUNK) for r in sums)])
+    done, level, depth, chunks = [], placed, 0, plan.agg(F.max("n_chunks")).first()[0] or 1
     while True:
         keyed = level.withColumn("_site", F.struct("source"))
         out = settle(
@@ -156,7 +169,7 @@ def mix_copies(
     for more in done[1:]:
         every = every.unionByName(more)
     return every.select(
-        "doc_id", "source", "size", "source_size", "target", (F.col("copies") + F.col("frac").cast("long")).alias("copies")
+        "doc_id", "source", "size", "source_size", "target", (F.col("copies") + F.col("frac").cast("long")).alias("copies"), "turn"
     )
 
 
@@ -169,11 +182,9 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     key = F.struct(
         F.col(doc_id).cast("long").alias("doc_id"), F.col(source).cast("string").alias("source"), word_count(text).alias("size")
     )
-    counted = copies.where("copies > 0").groupBy(F.struct("doc_id", "source", "size").alias("_key")).agg(
-        F.sort_array(F.collect_list("copies"), asc=False).alias("_copies")
-    )
-    turn = F.row_number().over(Window.partitionBy("_key").orderBy(F.xxhash64(*docs.columns)))
-    joined = docs.withColumn("_key", key).join(counted, "_key").withColumn("_turn", turn)
-    taken = joined.where(F.col("_turn") <= F.size("_copies"))
-    times = F.element_at("_copies", F.col("_turn")).cast("int")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), times))).select(*docs.columns)
+    numbers = copies.where("copies > 0").select(F.struct("doc_id", "source", "size").alias("key"), "turn", "copies")
+    # the whole row in one column, so that its names meet none of ours
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("key"))
+    turn = F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("row")))
+    taken = rows.withColumn("turn", turn).join(numbers, ["key", "turn"])
+    return taken.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("row.*")

@@ -85,11 +85,63 @@ def test_empty_archive(spark, tmp_path):
     assert warc.describe(warc.read_archive(spark, str(tmp_path / "a"))).count() == 0
 
 
-def test_targets():
-    got = mixing.targets([100, 100, 1000, 0], [3, 1, 2, 3], 1.5, 2)
+def wanted(sizes, weights, share, most):
+    """Targets by a plain loop: cut off what is above, share the rest out again."""
+    left, open_, out = share * sum(sizes), [i for i, s in enumerate(sizes) if s > 0], [0.0] * len(sizes)
+    while open_:
+        unit = left / sum(weights[i] for i in open_)
+        over = [i for i in open_ if weights[i] * unit > most * sizes[i]]
+        for i in over or open_:
+            out[i] = most * sizes[i] if over else weights[i] * unit
+        left -= sum(out[i] for i in over)
+        open_ = [i for i in open_ if i not in set(over)] if over else []
+    return out
+
+
+def targets(spark, sizes, weights, share, most):
+    rows = spark.createDataFrame([(f"s{i:06d}", s) for i, s in enumerate(sizes)], "source string, size long")
+    got = {r.site.source: r.target for r in mixing.source_targets(rows, weights, share, most).collect()}
+    return [got[f"s{i:06d}"] for i in range(len(sizes))]
+
+
+def test_targets(spark):
+    got = targets(spark, [100, 100, 1000, 0], [3, 1, 2, 3], 1.5, 2)
     assert got[:2] == [200.0, 200.0] and got[2] == pytest.approx(1400) and got[3] == 0
-    assert sum(mixing.targets([10, 20, 30], [3, 1, 2], 1.5, 2)) == pytest.approx(90)
-    assert mixing.targets([], [], 1.5, 2) == []
+    assert sum(targets(spark, [10, 20, 30], [3, 1, 2], 1.5, 2)) == pytest.approx(90)
+    assert targets(spark, [], [3], 1.5, 2) == []
+    draw = np.random.default_rng(2)
+    for most in (1.6, 2.0, 9.0):
+        sizes = [int(s) for s in draw.integers(0, 3000, 90) ** 2 // 1000]
+        assert targets(spark, sizes, [3, 1, 2], 1.5, most) == pytest.approx(wanted(sizes, [3, 1, 2] * 30, 1.5, most))
+
+
+def test_many_sources(spark):
+    """More sources than a driver should hold; null comes last."""
+    n = 250_000
+    rows = spark.range(n).selectExpr("lpad(id, 7, '0') AS source", "id % 50 AS size").unionByName(
+        spark.range(1).selectExpr("CAST(NULL AS string) AS source", "id + 7 AS size"))
+    found = mixing.source_targets(rows, [3.0, 1.0, 2.0], 1.5, 2.0).selectExpr("count(*)", "sum(target)", "sum(int(target > 2 * source_size))").first()
+    total = n // 50 * sum(range(50)) + 7
+    assert found[0] == n + 1 and found[1] == pytest.approx(1.5 * total) and found[2] == 0
+
+
+def test_mix_keeps_columns_of_any_name(spark):
+    rows = [(i, f"{prose(9, i)}", f"s{i % 2}", "k", "r", "t", "d", [i]) for i in range(30)]
+    names = "doc_id long, text string, source string, _key string, row string, turn string, `a.b` string, copies array<int>"
+    frame = spark.createDataFrame(rows, names)
+    got = mixing.mix(frame)
+    assert got.columns == frame.columns and got.count() > 30
+    assert {tuple(r) for r in map(lambda r: (*r[:7], tuple(r[7])), got.collect())} <= {(*r[:7], tuple(r[7])) for r in rows}
+
+
+def test_equal_rows_get_draws_of_their_own(spark, monkeypatch):
+    """One text a thousand times, ids missing: chunks stay small and copies differ."""
+    monkeypatch.setattr(mixing, "CHUNK", 16)
+    frame = spark.createDataFrame([(None, "a b c", "s")] * 1000 + [(i, prose(30, i), "t") for i in range(100)], "doc_id long, text string, source string")
+    got = mixing.mix_copies(frame, most=1.4, weights=(1.0, 1.0), share=1.2)
+    assert got.count() == 1100 and {r.copies for r in got.where("source = 's'").collect()} == {1, 2}
+    assert got.where("source = 's'").selectExpr("sum(size * copies)", "max(target)").first()[0] == pytest.approx(
+        got.where("source = 's'").selectExpr("max(target)").first()[0], abs=3)
 
 
 def test_rounding_keeps_words_and_expectation():
