@@ -19,8 +19,8 @@ from tallymark.plans.lineage import settle
 
 #: Share of a host's pages above which a line is boilerplate.
 MAX_RATIO = 0.08
-#: Pages of the host that must hold the line: below this a share says nothing about the site.
-MIN_PAGES = 5
+#: A line repeats if at least two pages hold it; beyond that the share alone decides, at every size of a host.
+MIN_PAGES = 2
 
 
 def _lines(text: str) -> Column:
@@ -78,15 +78,19 @@ def drop_boilerplate(
     splits a hot host.
     """
     bad = settle(boilerplate(pages, host, text, max_ratio, min_pages), "boilerplate")
-    joined = pages.withColumn("_site", F.struct(F.col(host).alias("host"))).join(
-        bad.select(F.col("site").alias("_site"), F.col("lines").alias("_bad")), "_site", "left"
-    )
-    lines = _lines(text)
-    kept = F.filter(lines, lambda x: ~_solid(x) | ~F.array_contains("_bad", _key(x)))
-    kept = F.when(F.col("_bad").isNull(), lines).otherwise(kept)
-    n_lines = F.when(F.col(text).isNull(), 0).otherwise(F.size(lines))
-    return joined.withColumn("_kept", kept).withColumns({
-        "n_lines": n_lines.cast("long"),
-        "n_dropped": F.when(F.col(text).isNull(), 0).otherwise(F.size(lines) - F.size("_kept")).cast("long"),
-        text: F.when(F.col("_kept").isNotNull(), F.array_join("_kept", "\n")),
-    }).select(*[c for c in dict.fromkeys([*pages.columns, "n_lines", "n_dropped"])])
+    # the whole row in one column, so that its names meet none of ours
+    rows = pages.select(
+        F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("row"), F.struct(F.col(host).alias("host")).alias("site"),
+        F.col(text).alias("text"),
+    ).join(bad.withColumnRenamed("lines", "bad"), "site", "left")
+    lines = _lines("text")
+    kept = F.filter(lines, lambda x: ~_solid(x) | ~F.array_contains("bad", _key(x)))
+    rows = rows.withColumn("kept", F.when(F.col("bad").isNull(), lines).otherwise(kept))
+    new = {
+        "n_lines": F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long"),
+        "n_dropped": F.when(F.col("text").isNull(), 0).otherwise(F.size(lines) - F.size("kept")).cast("long"),
+        text: F.when(F.col("kept").isNotNull(), F.array_join("kept", "\n")),
+    }
+    return rows.select(*[
+        (new[c] if c in new else F.col("row").getField(c)).alias(c) for c in dict.fromkeys([*pages.columns, "n_lines", "n_dropped"])
+    ])
