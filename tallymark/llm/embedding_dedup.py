@@ -11,7 +11,7 @@ tiles of ``TILE`` vectors; a tile sends on sums of links and a spanning forest,
 
 Defined cases: vectors that are null or zero or hold null or non-finite numbers, and rows with a null
 label or id, link with nothing and form their own component; vectors of different length link
-with nothing; repeated rows link with each other; an empty table gives an empty table; further
+with nothing, of any number of lengths; repeated rows link with each other; an empty table gives an empty table; further
 columns are ignored. An id is taken to name one vector.
 """
 
@@ -28,24 +28,34 @@ from pyspark.sql import functions as F
 from tallymark.llm.components import components
 from tallymark.plans.lineage import settle
 
-TREES, LEAF, SAMPLE, SPILL, TILE = 10, 512, 20_000, 0.05, 1024
+LEAF, SAMPLE, SPILL, TILE = 512, 20_000, 0.05, 1024
+#: Trees for vectors that are split up to so many times; deeper trees tear more pairs apart, so there are more of them.
+TREES = {0: 1, 14: 10, 18: 16, 24: 36}
+#: Lengths whose trees are fitted, the most frequent ones; others take the bands of a fitted tree's lower levels.
+LENGTHS = 64
 #: Levels a tree can have, levels fitted on the sample, fewest sample rows a split is fitted on.
 DEPTH, FITTED, LEAST = 24, 10, 32
 
 
+def trees_for(depth: int) -> int:
+    """Trees that rows split ``depth`` times are put in."""
+    return next(n for most, n in TREES.items() if depth <= most)
+
+
 class Forest:
     """Directions per tree and level; per fitted node the band around its middle that goes both ways."""
 
-    def __init__(self, sample: np.ndarray, width: int, seed: int = 0):
+    def __init__(self, sample: np.ndarray, width: int, depth: int = DEPTH, seed: int = 0):
         draw = np.random.default_rng([seed, width])
-        self.ways = draw.standard_normal((TREES, DEPTH, width))
+        trees = trees_for(depth)
+        self.ways = draw.standard_normal((trees, DEPTH, width))
         self.ways /= np.linalg.norm(self.ways, axis=2, keepdims=True)
         size = 2 ** (FITTED + 1) - 1
-        self.low = np.full((TREES, size), -SPILL / np.sqrt(width))
+        self.low = np.full((trees, size), -SPILL / np.sqrt(width))
         self.high = -self.low
-        for t in range(TREES if len(sample) else 0):
+        for t in range(trees if len(sample) else 0):
             nodes = {0: np.arange(len(sample))}
-            for level in range(FITTED):
+            for level in range(min(FITTED, depth)):
                 below = {}
                 for node, rows in nodes.items():
                     if len(rows) < LEAST:
@@ -58,9 +68,11 @@ class Forest:
 
     def leaves(self, x: np.ndarray, depth: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, leaf) of unit rows x, each split ``depth`` times; leaves are numbered by tree, then node."""
-        out_row, out_leaf = [], []
-        for t in range(TREES):
-            row, node = np.arange(len(x)), np.zeros(len(x), np.int64)
+        out_row, out_leaf = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        trees = np.array([trees_for(d) for d in range(DEPTH + 1)])[depth]
+        for t in range(int(trees.max(initial=0))):
+            row = np.flatnonzero(trees > t)
+            node = np.zeros(len(row), np.int64)
             for level in range(int(depth.max(initial=0)) + 1):
                 done = depth[row] <= level
                 out_row.append(row[done])
@@ -94,6 +106,8 @@ def _leaf_rows(forests: dict[int, Forest]):
             for w in np.unique(width):
                 at = np.flatnonzero(width == w)
                 x = _unit(np.frombuffer(b"".join(blobs[i] for i in at), np.float64).reshape(len(at), w))
+                if int(w) not in forests:
+                    forests[int(w)] = Forest(np.zeros((0, int(w))), int(w))
                 row, leaf = forests[int(w)].leaves(x, depth[at])
                 order = np.lexsort([leaf, row])
                 row, leaf = row[order], leaf[order]
@@ -181,19 +195,20 @@ def near_duplicates(
         F.coalesce(sound, F.lit(False)).alias("sound"),
     ).withColumn("digest", F.when(F.col("sound"), F.unhex(F.md5(F.to_json(F.struct("v")).cast("binary")))))
     good = all_.where("sound")
-    sizes = good.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    good = good.withColumn("width", F.size("v"))
+    sizes = good.groupBy("label", "width").agg(F.count(F.lit(1)).alias("n"))
     classes = good.groupBy("label", "digest").agg(
         F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("size"), F.first("v").alias("v")
-    )
+    ).withColumn("width", F.size("v"))
     depth = F.least(F.lit(DEPTH), F.greatest(F.lit(0), F.ceil(F.log2(F.col("n") / F.lit(LEAF))))).cast("int")
-    classes = settle(classes.join(sizes, "label").withColumn("depth", depth).drop("n"), "classes")
-    widths = [r[0] for r in classes.select(F.size("v")).distinct().limit(65).collect()]
-    if len(widths) > 64:
-        raise ValueError("vectors of more than 64 lengths")
+    classes = settle(classes.join(sizes, ["label", "width"]).withColumn("depth", depth).drop("n"), "classes")
+    # trees are fitted where there is something to split
+    widths = classes.where("depth > 0").groupBy("width").agg(F.count(F.lit(1)).alias("n"), F.max("depth").alias("depth"))
     forests = {}
-    for w in widths:
-        some = classes.where(F.size("v") == w).orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("v").toPandas()["v"]
-        forests[w] = Forest(_unit(np.stack(some.to_numpy())), w)
+    for w, _, deepest in widths.orderBy(F.desc("n"), "width").limit(LENGTHS).collect():
+        some = classes.where(F.col("width") == w).orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("v").toPandas()["v"]
+        forests[w] = Forest(_unit(np.stack(some.to_numpy())), w, deepest)
+    classes = classes.drop("width")
     packed = classes.mapInArrow(_packed, "id long, label string, width int, depth int, size long, vec binary")
     placed = settle(packed.mapInArrow(
         _leaf_rows(forests), "id long, label string, width int, size long, vec binary, leaf long, leaves array<long>"
