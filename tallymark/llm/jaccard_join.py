@@ -47,8 +47,8 @@ SHARE, LEAST_FREQUENT = 1 / 2000, 32
 #: Most shared shingles asked for; cost of verifying a candidate against reading one posting.
 MOST_SHARED, VERIFY_COST = 8, 20.0
 BUCKET_BYTES = 24 << 20
-#: Candidates a task holds before it adds up those of the same pair and sends them on.
-HELD_PAIRS = 1 << 20
+#: Candidates a task holds before it adds up those of the same pair and sends them on (some 250 bytes each on the way).
+HELD_PAIRS = 1 << 18
 #: Documents of a shingle that are compared in one group.
 POSTINGS = 1024
 #: Documents in a tile of a large cluster of candidates.
