@@ -16,6 +16,8 @@ from tallymark.operators.sets import union_layers
 
 #: Column and folder of a key's bucket.
 BUCKET = "key_bucket"
+#: Rows of a batch whose hashed keys may be sent to all tasks (some 30 bytes each).
+MOST_SENT = 1 << 21
 
 
 def _sized(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -44,7 +46,7 @@ def _stored(spark: SparkSession, path: str) -> DataFrame | None:
 
 def insert_if_absent(
     df: DataFrame, path: str, key: str = "data_hash", partition: str = "year",
-    touched: Sequence | None = None, buckets: int = 0,
+    touched: Sequence | None = None, buckets: int = 0, rows: int | None = None,
 ) -> None:
     """Append the rows whose key is not stored yet, one per key; a null partition is one like others.
 
@@ -52,7 +54,9 @@ def insert_if_absent(
     batch may hold, such as the years of a run; None for the null one) only those partitions. With ``buckets``
     a partition is laid out in that many folders by a hash of the key (column ``key_bucket``), and only the
     folders are read in which a key of the batch could be; a table keeps the number it was
-    begun with. Running it twice stores nothing twice; a table must have one writer at a time.
+    begun with. Of up to MOST_SENT ``rows`` (counted if not given) the hashed keys are sent to where the stored ones
+    are read, so that only stored keys of the same hash are shuffled, not the whole table for each
+    batch. Running it twice stores nothing twice; a table must have one writer at a time.
     """
     fresh, layout = df.dropDuplicates([key]), [partition]
     if buckets:
@@ -68,6 +72,9 @@ def insert_if_absent(
             fresh = fresh.where(F.assert_true(expected, "row outside the touched partitions").isNull())
         if buckets:
             stored = stored.where(F.col(BUCKET).isin([r[0] for r in fresh.select(BUCKET).distinct().collect()]))
+        if (df.count() if rows is None else rows) <= MOST_SENT:
+            sent = F.broadcast(df.select(F.xxhash64(key).alias("_sent")))
+            stored = stored.join(sent, F.xxhash64(F.col(key).cast(df.schema[key].dataType)) == F.col("_sent"), "left_semi")
         fresh = not_stored(fresh, stored, [*layout, key])
     append(fresh, path, layout)
 

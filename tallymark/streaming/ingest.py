@@ -17,12 +17,15 @@ def ingest_stream(
     """Store each new record once, by micro-batch, until all landed files are read.
 
     A batch that is run again after a failure adds nothing, since its hashes are stored. Of the
-    store only the partitions are read that the batch holds; a batch with more than
+    store only the partitions are read that the batch holds, and only keys that may be in the batch are shuffled; a batch with more than
     ``most_partitions`` of them is compared with the whole store. With ``buckets`` see ``insert_if_absent``.
     """
     def store(batch: DataFrame, _: int) -> None:
-        found = [r[0] for r in batch.select(F.col(partition)).distinct().limit(most_partitions + 1).collect()]
-        insert_if_absent(batch, target, key, partition, found if len(found) <= most_partitions else None, buckets)
+        found = batch.groupBy(F.col(partition)).agg(F.count(F.lit(1))).limit(most_partitions + 1).collect()
+        if len(found) <= most_partitions:
+            insert_if_absent(batch, target, key, partition, [r[0] for r in found], buckets, sum(r[1] for r in found))
+        else:
+            insert_if_absent(batch, target, key, partition, None, buckets)
 
     return (
         records.writeStream.foreachBatch(store)

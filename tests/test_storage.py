@@ -278,3 +278,21 @@ def test_ingest_by_state_with_a_horizon(frame, spark, tmp_path):
     query, got = by_state(spark, tmp_path, event_time="at", horizon="3 days")
     assert sorted(k for k, _ in got if k != "a") == ["k1", "k2", "k20", "k21", "k22"]
     assert query.lastProgress["stateOperators"][0]["numRowsTotal"] < 6
+
+
+def test_of_the_store_only_keys_of_the_batch_are_shuffled(spark, tmp_path, monkeypatch):
+    read, plain = [], writers.not_stored
+    monkeypatch.setattr(writers, "not_stored", lambda new, stored, keys: read.append(stored.count()) or plain(new, stored, keys))
+    rows = spark.range(400).selectExpr("if(id = 399, null, cast(id as string)) data_hash", "cast(if(id % 5 = 0, null, 2000 + id % 3) as int) year")
+    batch = "data_hash in ('7', '8', '395') or data_hash is null"
+    for name, most, wanted in (("sent", writers.MOST_SENT, 4), ("whole", 3, 400)):
+        monkeypatch.setattr(writers, "MOST_SENT", most)
+        for how in ({}, {"rows": 4}):
+            target = str(tmp_path / f"{name}{len(how)}")
+            writers.insert_if_absent(rows, target)
+            more = rows.where(batch).unionByName(spark.createDataFrame([("new", 2001), ("new", 2001)], rows.schema))
+            writers.insert_if_absent(more.where("data_hash <> 'new' or data_hash is null"), target, **how)
+            assert read.pop() == wanted and spark.read.parquet(target).count() == 400
+            writers.insert_if_absent(more, target)
+            got = spark.read.parquet(target)
+            assert read.pop() == wanted and got.count() == 401 and got.where("data_hash = 'new' and year = 2001").count() == 1
