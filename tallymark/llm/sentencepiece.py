@@ -25,6 +25,7 @@ import heapq
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,8 @@ from tallymark.llm.passing import add_columns
 # Fixed values of the model format: the mark, piece types, model types, the penalty of an unknown character.
 MARK = "▁"
 NORMAL, BYTE, UNIGRAM, BPE, UNKNOWN_PENALTY = 1, 6, 1, 2, 10.0
-#: Words (and half the pairs of pieces) a worker remembers between chunks; beyond that it starts anew.
+#: Words (and half the pairs of pieces) a worker remembers between chunks. Beyond half of it, words are set aside until the
+#: next time, when those that have not come again are forgotten; pairs are begun anew.
 REMEMBERED = 120_000
 CHUNK_BYTES = 1 << 20
 
@@ -82,25 +84,57 @@ class Encoder:
         self.piece = v.pieces
         self.byte_id = {int(p[3:5], 16): i for i, (p, t) in enumerate(zip(v.pieces, v.types)) if t == BYTE}
         self.length = [*map(len, v.pieces), 1]
-        self.trie: dict = {}
-        for p, i in self.id_of.items():
-            node = self.trie
-            for c in p:
-                node = node.setdefault(c, {})
-            node[""] = i
+        self._build()
         joined = {c for p in self.id_of if len(p) > 1 for c in p} - {" "}
         if any(" " in p.lstrip(" ") for p in self.id_of):
             raise ValueError("pieces must not go on after a mark")
         inner = "[" + "".join(map(re.escape, sorted(joined))) + "]"
         self.words = re.compile(f" *{inner}+| +|[^ ]", re.DOTALL)
         self.unknown = min(self.score[i] for i in self.id_of.values()) - UNKNOWN_PENALTY
-        self.apart: dict[int, bool] = {}
-        self.known: dict[str, int] = {}
-        self.ids: list[tuple[int, ...]] = []
+        self.rank_of = {p: -self.score[i] for p, i in self.id_of.items()}
+        self.courses: dict[int, tuple[list[float], list[str], list[str]] | None] = {}
+        self.known: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
         text = [bytes([int(p[3:5], 16)]) if t == BYTE else p.encode() if t == NORMAL else b"" for p, t in zip(v.pieces, v.types)]
         self.out_bytes = np.frombuffer(b"".join(text), np.uint8)
         self.out_at = np.concatenate([[0], np.cumsum([len(t) for t in text])])
 
+    def _build(self) -> None:
+        """The trie of pieces as an automaton: state 0 is its root, the state of a text the longest of its ends that begins a piece.
+
+        Per state: the next one by character, the state of the next shorter such end, and the pieces that end
+        the text, longest first, each with its length and what is known of it after other pieces.
+        """
+        self.step: list[dict[str, int]] = [{}]
+        own = [NONE]
+        for p, i in self.id_of.items():
+            state = 0
+            for c in p:
+                to = self.step[state].get(c)
+                if to is None:
+                    to = self.step[state][c] = len(self.step)
+                    self.step.append({})
+                    own.append(NONE)
+                state = to
+            own[state] = i
+        self.apart: list[dict[int, bool]] = [{} for _ in self.piece]
+        self.judged = 0
+        self.shorter = [0] * len(self.step)
+        self.ends: list[tuple] = [()] * len(self.step)
+        level = [0]
+        while level:
+            below = []
+            for state in level:
+                for c, to in self.step[state].items():
+                    back = self.shorter[state]
+                    while back and c not in self.step[back]:
+                        back = self.shorter[back]
+                    back = self.step[back].get(c, 0) if state else 0
+                    self.shorter[to], i = back, own[to]
+                    self.ends[to] = self.ends[back] if i == NONE else ((self.length[i], i, self.apart[i]), *self.ends[back])
+                    below.append(to)
+            level = below
+
     def merged(self, symbols: list[str]) -> list[str]:
         """Merge neighbours by the rank of what they make, the leftmost first among equals."""
         parts: list[str | None] = list(symbols)
@@ -129,51 +163,95 @@ class Encoder:
                 offer(before[a])
         return [p for p in parts if p is not None]
 
+    def _course(self, i: int) -> tuple[list[float], list[str], list[str]] | None:
+        """How the text of piece i is merged by rank: the ranks in turn (infinite at the end), and the first and the
+        last part before each; None if it does not end as one piece.
+        """
+        if i in self.courses:
+            return self.courses[i]
+        parts, rank, never = list(self.piece[i]), self.rank_of, float("inf")
+        ranks, firsts, lasts = [], [parts[0]], [parts[-1]]
+        # so few symbols need no heap
+        offers = [rank.get(u + v, never) for u, v in zip(parts, parts[1:])]
+        while offers and (best := min(offers)) < never:
+            at = offers.index(best)
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del offers[at]
+            if at:
+                offers[at - 1] = rank.get(parts[at - 1] + parts[at], never)
+            if at < len(offers):
+                offers[at] = rank.get(parts[at] + parts[at + 1], never)
+            ranks.append(best)
+            firsts.append(parts[0])
+            lasts.append(parts[-1])
+        out = self.courses[i] = ([*ranks, never], firsts, lasts) if len(parts) == 1 else None
+        return out
+
     def _apart(self, a: int, b: int) -> bool:
         """Whether piece b stays a piece after piece a (or at a begin, or after an unknown character, for NONE),
-        when the text of both is merged by rank.
+        when the text of both is merged by rank: no merge across comes before the next one inside of either.
         """
-        x, y = "" if a == NONE else self.piece[a], self.piece[b]
-        out = self.apart[a << 32 | b] = self.merged(list(x + y)) == ([x, y] if x else [y])
-        return out
+        x, y = None if a == NONE else self._course(a), self._course(b)
+        ok = y is not None and (x is not None or a == NONE)
+        if ok and x:
+            (mine, _, lasts), (its, firsts, _), rank, never, i, j = x, y, self.rank_of, float("inf"), 0, 0
+            while True:
+                across = rank.get(lasts[i] + firsts[j], never)
+                least = min(mine[i], across, its[j])
+                if least == never:
+                    break
+                # the leftmost first among equals
+                if mine[i] == least:
+                    i += 1
+                elif across == least:
+                    ok = False
+                    break
+                else:
+                    j += 1
+        self.apart[b][a] = ok
+        self.judged += 1
+        return ok
 
     def _forward(self, words: list[str]) -> Iterator[list[int]]:
         """The piece ids of each of the sorted words (NONE: an unknown character).
 
         For every depth of the path in the trie of words: the last piece, the best sum, and
-        where in the trie of pieces those begun further up now are.
+        the state of the automaton of pieces.
         """
-        last, best, open_, previous = [NONE], [0.0], [[]], ""
-        apart, check, score, bpe, root = self.apart, self._apart, self.score, self.kind == BPE, self.trie
-        size = self.length
+        last, best, states, previous = [NONE], [0.0], [0], ""
+        check, score, bpe, size, unknown = self._apart, self.score, self.kind == BPE, self.length, self.unknown
+        step, shorter, ends = self.step, self.shorter, self.ends
         for word in words:
             shared = 0
             for x, y in zip(word, previous):
                 if x != y:
                     break
                 shared += 1
-            del last[shared + 1 :], best[shared + 1 :], open_[shared + 1 :]
-            for at in range(shared, len(word)):
-                c, now = word[at], []
-                found, top = NONE, -1e300 if bpe else best[at] + self.unknown
-                for begun, node in (*open_[at], (at, root)):
-                    node = node.get(c)
-                    if node is None:
-                        continue
-                    now.append((begun, node))
-                    i = node.get("")
-                    if i is None:
-                        continue
-                    if bpe:
-                        before = last[begun]
-                        ok = apart.get(before << 32 | i)
+            del last[shared + 1 :], best[shared + 1 :], states[shared + 1 :]
+            state, at = states[shared], shared
+            for c in word[shared:]:
+                at += 1
+                to = step[state].get(c)
+                while to is None and state:
+                    state = shorter[state]
+                    to = step[state].get(c)
+                state = to or 0
+                states.append(state)
+                found = NONE
+                if bpe:
+                    for n, i, apart in ends[state]:
+                        before = last[at - n]
+                        ok = apart.get(before)
                         if ok or (ok is None and check(before, i)):
                             found = i
-                    elif best[begun] + score[i] > top:
-                        found, top = i, best[begun] + score[i]
+                            break
+                else:
+                    top = best[at - 1] + unknown
+                    for n, i, _ in ends[state]:
+                        if best[at - n] + score[i] > top:
+                            found, top = i, best[at - n] + score[i]
+                    best.append(top)
                 last.append(found)
-                best.append(top)
-                open_.append(now)
             pieces, end = [], len(word)
             while end:
                 pieces.append(last[end])
@@ -192,32 +270,34 @@ class Encoder:
 
     def learn(self, words: set[str]) -> None:
         """Encode the words that are not known yet."""
-        new = sorted(words)
+        if len(self.known) > REMEMBERED // 2:
+            self.known, self.older = {}, self.known
+        if self.judged > 2 * REMEMBERED:
+            self.judged = 0
+            for pairs in self.apart:
+                pairs.clear()
+        known = self.known
+        words = words - known.keys()
+        again = words & self.older.keys()
+        known.update((w, self.older[w]) for w in again)
+        new = sorted(words - again)
         if self.kind == BPE:
             for word in [w for w in new if w.startswith("  ")]:
-                self._know(word, [self.id_of.get(p, NONE) for p in self.merged(list(word))])
+                known[word] = self._ids(word, [self.id_of.get(p, NONE) for p in self.merged(list(word))])
             new = [w for w in new if not w.startswith("  ")]
         for word, pieces in zip(new, self._forward(new)):
-            self._know(word, pieces)
-
-    def _know(self, word: str, pieces: list[int]) -> None:
-        self.known[word] = len(self.ids)
-        self.ids.append(self._ids(word, pieces))
+            known[word] = self._ids(word, pieces)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one array, and where each begins."""
-        if len(self.known) > REMEMBERED:
-            self.known, self.ids = {}, []
-        if len(self.apart) > 2 * REMEMBERED:
-            self.apart.clear()
         cut = [self.words.findall(" " + t.replace(MARK, " ")) if t else [] for t in texts]
-        self.learn(set().union(*cut) - self.known.keys())
-        known = self.known
-        at = np.fromiter((known[w] for words in cut for w in words), np.int64, sum(map(len, cut)))
-        used, at = np.unique(at, return_inverse=True)
-        ids = [self.ids[i] for i in used]
-        sizes = np.array([len(i) for i in ids], np.int64)
-        flat = np.fromiter((x for i in ids for x in i), np.int32, int(sizes.sum()))
+        every = set().union(*cut)
+        self.learn(every)
+        number = dict(zip(every, range(len(every))))
+        at = np.fromiter(map(number.__getitem__, chain.from_iterable(cut)), np.int64, sum(map(len, cut)))
+        ids = [self.known[w] for w in number]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum()))
         starts = np.cumsum(sizes) - sizes
         per_word = sizes[at]
         ends = np.concatenate([[0], np.cumsum(per_word)])
