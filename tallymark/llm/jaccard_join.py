@@ -492,8 +492,9 @@ def one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     """
     kept = jaccard_components(docs, doc_id, text).where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
     kept = settle(kept.select(F.col("doc_id").alias("_keep"), F.col("n") > 1), "kept").toDF("_keep", "_several")
-    id_ = F.col(doc_id).cast("long")
-    out = docs.join(kept.where("not _several"), id_ == F.col("_keep"), "left_semi")
+    # texts are dealt out once; only those of repeated ids are numbered
+    found = docs.join(kept, F.col(doc_id).cast("long") == F.col("_keep"))
     turn = F.row_number().over(Window.partitionBy("_keep").orderBy(F.xxhash64(text)))
-    again = docs.join(kept.where("_several").select("_keep"), id_ == F.col("_keep")).withColumn("_turn", turn).where("_turn = 1")
-    return out.unionByName(again.select(docs.columns)).unionByName(docs.where(F.col(doc_id).isNull()))
+    again = found.where("_several").withColumn("_turn", turn).where("_turn = 1")
+    out = found.where("not _several").select(docs.columns).unionByName(again.select(docs.columns))
+    return out.unionByName(docs.where(F.col(doc_id).isNull()))

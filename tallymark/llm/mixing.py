@@ -178,13 +178,19 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
 
     Rows equal in id, source and size are interchangeable: the i-th of them gets the i-th number.
     """
-    copies = mix_copies(docs, doc_id, text, source, **how)
+    numbers = mix_copies(docs, doc_id, text, source, **how).select(F.struct("doc_id", "source", "size").alias("key"), "turn", "copies")
     key = F.struct(
         F.col(doc_id).cast("long").alias("doc_id"), F.col(source).cast("string").alias("source"), word_count(text).alias("size")
     )
-    numbers = copies.where("copies > 0").select(F.struct("doc_id", "source", "size").alias("key"), "turn", "copies")
     # the whole row in one column, so that its names meet none of ours
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("key"))
-    turn = F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("row")))
-    taken = rows.withColumn("turn", turn).join(numbers, ["key", "turn"])
+    # texts are dealt out once, by key; only those of equal keys are dealt again, by turn
+    each = numbers.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("copies").alias("most")).where("most > 0")
+    found = rows.join(each, "key")
+    several = found.where("n > 1").select(
+        "row", "key", F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("row"))).alias("turn")
+    )
+    taken = found.where("n = 1").select("row", F.col("most").alias("copies")).unionByName(
+        several.join(numbers.where("copies > 0"), ["key", "turn"]).select("row", "copies")
+    )
     return taken.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("row.*")

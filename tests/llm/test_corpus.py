@@ -5,6 +5,7 @@ import collections
 import gzip
 import hashlib
 import pathlib
+import random
 import re
 
 import numpy as np
@@ -279,3 +280,64 @@ def test_pipeline(spark, tmp_path):
     assert docs.count() == after.count() and docs.where("not round_trip").count() == 0
     ran = corpus_pipeline.run(spark, FOLDER)
     assert ran.count() == docs.count() and ran.columns == docs.columns
+
+
+def test_words_that_come_again_are_not_learned_again(monkeypatch):
+    monkeypatch.setattr(sentencepiece, "REMEMBERED", 40)
+    encoder, lib = as_kind(sentencepiece.BPE)
+    learned, forward = [], encoder._forward
+    monkeypatch.setattr(encoder, "_forward", lambda words: learned.extend(words) or forward(words))
+    usual = "the same words stand in every text"
+    texts = [usual + "".join(f" {chr(97 + k)}{chr(97 + j)}zq" for j in range(26)) for k in range(8)]
+    for text in texts:
+        ids, _ = encoder.encode([text])
+        assert ids.tolist() == lib.encode(text)
+    assert all(learned.count(" " + word) == 1 for word in usual.split())
+    assert len(encoder.known) + len(encoder.older) < 100
+
+
+def test_pairs_of_pieces_as_merged_outright():
+    encoder, _ = as_kind(sentencepiece.BPE)
+    pieces = sorted(encoder.id_of.values())
+    rng = random.Random(5)
+    # neighbours in a text and pairs drawn from all pieces
+    pairs = [(rng.choice(pieces), rng.choice(pieces)) for _ in range(3000)] + [(sentencepiece.NONE, i) for i in rng.sample(pieces, 500)]
+    halves = [(encoder.id_of.get(p[:k]), encoder.id_of.get(p[k:])) for p in rng.sample(encoder.piece, 1500) for k in range(1, len(p))]
+    seen = set()
+    for a, b in pairs + [(a, b) for a, b in halves if a is not None and b is not None]:
+        x, y = "" if a == sentencepiece.NONE else encoder.piece[a], encoder.piece[b]
+        if "  " in x + y or " " in y:
+            continue
+        wanted = encoder.merged(list(x + y)) == ([x, y] if x else [y])
+        assert encoder._apart(a, b) == wanted, (x, y)
+        seen.add(wanted)
+    assert seen == {True, False}
+
+
+def shuffled(df, column: str) -> int:
+    """Rows with a column that a run of ``df`` writes to shuffles, without those of exchanges used again."""
+    df.collect()
+    todo, rows = [df._jdf.queryExecution().executedPlan().executedPlan()], 0
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        elif name != "ReusedExchangeExec":
+            if name == "ShuffleExchangeExec" and f"{column}#" in node.output().mkString(","):
+                rows += node.metrics().apply("shuffleRecordsWritten").value()
+            todo += [node.children().apply(i) for i in range(node.children().size())]
+    return rows
+
+
+def test_texts_are_dealt_out_once(spark):
+    rows = [(i, f"word{i} " * (i % 7 + 1), f"s{i % 3}", 0.5, "en") for i in range(300)]
+    docs = spark.createDataFrame([*rows, rows[5], (6, "other6 " * 7, "s0", 0.5, "en")], SCHEMA)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        # the four rows of equal keys go again, to be numbered and found by number
+        assert 302 <= shuffled(mixing.mix(docs, share=0.5), "row") <= 302 + 8
+        assert 302 <= shuffled(jaccard_join.one_per_group(docs), "text") <= 302 + 8
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
