@@ -27,10 +27,11 @@ shards, equal segments by two 64-bit hashes, rows by id and a 64-bit hash.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,6 +45,8 @@ LENGTH, GRAM = 200, 32
 #: Width of a class of windows of a frequent anchor; share and number of documents that make one frequent.
 CLASS, SHARE, LEAST_FREQUENT = 21, 1 / 2000, 64
 BUCKET_BYTES, SHARD_BYTES = 24 << 20, 1 << 20
+#: Bytes of segments or of texts that a task holds as objects before it sends them on.
+SENT_BYTES = 1 << 20
 #: Different segments of a class that fill a shard.
 HEAVY = SHARD_BYTES // (LENGTH + CLASS)
 #: Bits for a position beside a hash, and windows taken at a time in a text too long for them.
@@ -229,18 +232,30 @@ def _gather(buckets: int):
 
 
 def _cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes of each wanted segment of each text."""
-    names = ["h", "doc", "row_key", "first", "m", "bytes"]
+    """The bytes of each wanted segment of each text, sent on as soon as they are SENT_BYTES."""
+    kinds = dict(h=pa.int64(), doc=pa.int64(), row_key=pa.int64(), first=pa.int32(), m=pa.int64(), bytes=pa.binary())
+
+    def take() -> pa.RecordBatch:
+        out = pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds.values())], names=list(kinds))
+        rows.clear()
+        return out
+
+    rows: list[tuple] = []
+    held = 0
     for batch in batches:
-        rows: list[tuple] = []
         for text, doc, key, wanted in zip(*(batch.column(c) for c in ("text", "doc", "row_key", "wanted"))):
             raw = text.as_buffer().to_pybytes() if text.is_valid else b""
             doc, key = doc.as_py(), key.as_py()
-            for w in wanted.as_py():
-                rows.append((w["h"], doc, key, w["first"], w["m"], raw[w["first"] : w["first"] + w["windows"] - 1 + LENGTH]))
-        kinds = [pa.int64()] * 3 + [pa.int32(), pa.int64(), pa.binary()]
-        for at in range(0, len(rows), 20_000):
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows[at : at + 20_000]], k) for i, k in enumerate(kinds)], names=names)
+            for w in wanted:
+                w = w.as_py()
+                cut = raw[w["first"] : w["first"] + w["windows"] - 1 + LENGTH]
+                rows.append((w["h"], doc, key, w["first"], w["m"], cut))
+                held += len(cut)
+                if held >= SENT_BYTES:
+                    yield take()
+                    held = 0
+    if rows:
+        yield take()
 
 
 def marked(texts: list[bytes]) -> np.ndarray:
@@ -289,8 +304,11 @@ def _removed(spans: list[dict]) -> list[tuple[int, int]]:
     return out
 
 
-def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows with ``spans`` (removed byte ranges, start and end), ``n_bytes`` and ``kept`` (the bytes left)."""
+def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", without: Sequence[str] = ()) -> DataFrame:
+    """The rows with ``spans`` (removed byte ranges, start and end), ``n_bytes`` and ``kept`` (the bytes left).
+
+    Columns named in ``without`` are not returned: texts that nobody wants need not come back from the tasks.
+    """
     key = F.xxhash64(F.col(doc_id).cast("long"), F.col(text).cast("string"))
     keyed = docs.withColumns({"_doc": F.coalesce(F.col(doc_id).cast("long"), F.lit(0)), "_row_key": key})
     rows = keyed.select(F.col("_doc").alias("doc"), F.col("_row_key").alias("row_key"), F.col(text).cast("string").alias("text"))
@@ -316,23 +334,30 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         F.collect_list(F.struct("a", "b")).alias("_spans")
     )
     added = T._parse_datatype_string("spans array<struct<start:int,end:int>>, n_bytes long, kept binary")
-    kept = [c for c in docs.columns if c not in added.names]
-    joined = keyed.join(spans, ["_doc", "_row_key"], "left").select(*kept, F.col(text).cast("string").alias("_text"), "_spans")
+    kept = [c for c in docs.columns if c not in added.names and c not in without]
+    joined = keyed.join(spans, ["_doc", "_row_key"], "left")
+    # a text that goes out as it is is sent to the tasks once
+    same = text in kept and dict(docs.dtypes)[text] == "string"
+    at_text = kept.index(text) if same else len(kept)
+    joined = joined.select(*kept, *([] if same else [F.col(text).cast("string").alias("_text")]), "_spans")
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), pa.int64(), pa.binary()]
-        for batch in batches:
-            out: list[tuple] = []
-            for t, s in zip(batch.column(len(kept)), batch.column(len(kept) + 1)):
-                raw = t.as_buffer().to_pybytes() if t.is_valid else b""
-                runs = _removed(s.as_py()) if s.is_valid else []
-                at, left = 0, []
-                for a, b in runs:
-                    left.append(raw[at:a])
-                    at = b
-                left.append(raw[at:])
-                out.append(([{"start": a, "end": b} for a, b in runs], len(raw), b"".join(left)))
-            new = [pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *new], names=[*kept, *added.names])
+        for whole in batches:
+            bounds = np.append(0, np.cumsum(pc.fill_null(pc.binary_length(whole.column(at_text)), 0).to_numpy(zero_copy_only=False).astype(np.int64)))
+            for lo, hi in flat.spans(bounds, SENT_BYTES):
+                batch = whole.slice(lo, hi - lo)
+                out: list[tuple] = []
+                for t, s in zip(batch.column(at_text), batch.column(batch.num_columns - 1)):
+                    raw = t.as_buffer().to_pybytes() if t.is_valid else b""
+                    runs = _removed(s.as_py()) if s.is_valid else []
+                    at, left = 0, []
+                    for a, b in runs:
+                        left.append(raw[at:a])
+                        at = b
+                    left.append(raw[at:])
+                    out.append(([{"start": a, "end": b} for a, b in runs], len(raw), b"".join(left)))
+                new = [pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)]
+                yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *new], names=[*kept, *added.names])
 
     return joined.mapInArrow(cut_out, T.StructType([*docs.select(*kept).schema.fields, *added.fields]))

@@ -205,6 +205,21 @@ def test_repeated_substrings(docs):
     check_repeats([r[:2] for r in documents()], out)
 
 
+def test_segments_and_texts_are_sent_on_in_small_batches(docs, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "SENT_BYTES", 1000, raising=False)
+    text = prose(2000, 8)
+    wanted = [{"h": k, "first": 5 * k, "windows": 21, "m": 1} for k in range(100)]
+    batch = pa.RecordBatch.from_pydict({"text": [text, None], "doc": [1, 2], "row_key": [3, 4], "wanted": [wanted, []]})
+    sent = list(substring_dedup._cut_texts(iter([batch])))
+    assert max(sum(map(len, b.column("bytes").to_pylist())) for b in sent) < 1000 + 220
+    rows = [r for b in sent for r in b.to_pylist()]
+    assert [(r["h"], r["doc"], r["row_key"], r["first"], r["m"]) for r in rows] == [(k, 1, 3, 5 * k, 1) for k in range(100)]
+    assert all(r["bytes"] == text.encode()[r["first"] : r["first"] + 220] for r in rows)
+    out = substring_dedup.remove_repeats(docs, without=["text"])
+    assert sorted(out.columns) == sorted([*(c for c in docs.columns if c != "text"), "spans", "n_bytes"])
+    check_repeats([r[:2] for r in documents()], out)
+
+
 def test_repeated_substrings_of_frequent_anchors(spark, monkeypatch):
     """A short line in many documents, and passages that overlap in many ways."""
     monkeypatch.setattr(substring_dedup, "LEAST_FREQUENT", 4)
