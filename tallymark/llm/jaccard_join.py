@@ -53,7 +53,7 @@ HELD_PAIRS = 1 << 18
 POSTINGS = 1024
 #: Documents in a tile of a large cluster of candidates.
 TILE = 128
-#: Largest set whose low 16 bits tell hashes apart well; pairs whose ids may be broadcast (tens of MB).
+#: Largest set whose low 16 bits tell hashes apart well; pairs whose ids, and documents whose components, may be broadcast (tens of MB).
 SHORT, FEW = 4096, 500_000
 U = np.uint64
 
@@ -451,8 +451,9 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     )
     first = settle(components(links), "first")
     # second step: what shares shingles across components
-    # read by three jobs, so written once
-    placed = settle(postings.join(first, F.col("doc") == F.col("node"), "left").select(
+    # read by three jobs, so written once; where the components are few, postings of a shingle stay together
+    near = F.broadcast(first) if first.count() <= FEW else first
+    placed = settle(postings.join(near, F.col("doc") == F.col("node"), "left").select(
         "token", "doc", "n", "place", "l", F.coalesce("component", "doc").alias("part")
     ), "placed")
     mixed_ = placed.groupBy("token").agg(F.min("part").alias("p"), F.max("part").alias("q"), F.count(F.lit(1)).alias("held"))
@@ -462,7 +463,8 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     open_ = placed.join(few, "token", "left_semi").select(
         *placed.columns, F.lit(2).alias("half"), F.struct(F.pmod(F.xxhash64("token"), F.lit(buckets)).alias("c"), *none).alias("g")
     )
-    shares = placed.join(many, "token", "left_semi").groupBy("token", "part").agg(F.count(F.lit(1)).alias("c"))
+    # at most one shingle for POSTINGS postings
+    shares = placed.join(F.broadcast(many), "token", "left_semi").groupBy("token", "part").agg(F.count(F.lit(1)).alias("c"))
     sides = settle(shares.groupBy("token").agg(
         F.max_by("part", F.struct("c", "part")).alias("largest"), F.max("c").alias("c0"), (F.sum("c") - F.max("c")).alias("c1")
     ), "sides")
@@ -490,11 +492,15 @@ def one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
 
     Of rows that repeat that id, the one with the smallest hash of its text stays.
     """
-    kept = jaccard_components(docs, doc_id, text).where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    kept = settle(kept.select(F.col("doc_id").alias("_keep"), F.col("n") > 1), "kept").toDF("_keep", "_several")
-    # texts are dealt out once; only those of repeated ids are numbered
-    found = docs.join(kept, F.col(doc_id).cast("long") == F.col("_keep"))
-    turn = F.row_number().over(Window.partitionBy("_keep").orderBy(F.xxhash64(text)))
+    ids = jaccard_components(docs, doc_id, text).where("doc_id is not null").groupBy("doc_id").agg(
+        F.max("component_id").alias("c"), F.count(F.lit(1)).alias("n")
+    )
+    # only ids that lose rows are listed: far fewer than those that stay, so that they may be broadcast where the others may not
+    some = ids.where("doc_id <> c or n > 1").select("doc_id", F.col("doc_id") == F.col("c"))
+    some = settle(some, "some").toDF("_some", "_several")
+    # texts are dealt out once at most; only those of repeated ids are numbered
+    found = docs.where(F.col(doc_id).isNotNull()).join(some, F.col(doc_id).cast("long") == F.col("_some"), "left")
+    turn = F.row_number().over(Window.partitionBy("_some").orderBy(F.xxhash64(text)))
     again = found.where("_several").withColumn("_turn", turn).where("_turn = 1")
-    out = found.where("not _several").select(docs.columns).unionByName(again.select(docs.columns))
+    out = found.where("_several is null").select(docs.columns).unionByName(again.select(docs.columns))
     return out.unionByName(docs.where(F.col(doc_id).isNull()))

@@ -170,6 +170,24 @@ def test_one_document_per_group(docs, spark):
     assert jaccard_join.one_per_group(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_only_ids_that_lose_rows_are_listed(spark, monkeypatch):
+    tables, settle = {}, jaccard_join.settle
+    monkeypatch.setattr(jaccard_join, "settle", lambda df, name: tables.update({name: settle(df, name)}) or tables[name])
+    rows = [(i, prose(30, 900 + i)) for i in range(60)] + [(60 + i, prose(30, 900 + i)) for i in range(5)]
+    rows += [(7, prose(30, 907)), (None, prose(30, 901)), (None, None)]
+    out = [r.doc_id for r in jaccard_join.one_per_group(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert collections.Counter(out) == collections.Counter([*range(60), None, None])
+    # five copies and one repeated id
+    assert tables["some"].count() == 6
+
+
+def test_components_broadcast_or_dealt_out(docs, monkeypatch):
+    rows = lambda: collections.Counter(map(tuple, jaccard_join.jaccard_components(docs).collect()))
+    few = rows()
+    monkeypatch.setattr(jaccard_join, "FEW", 0)
+    assert rows() == few
+
+
 def removed(texts: list[bytes], length: int) -> list[list[tuple[int, int]]]:
     seen = collections.Counter(t[i : i + length] for t in texts for i in range(len(t) - length + 1))
     out = []
