@@ -6,6 +6,7 @@ depends on the longest text, not on the number of texts.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +30,14 @@ STEP = np.uint64(0x9E3779B97F4A7C15 | 1)
 STEP_BACK = np.uint64(pow(int(STEP), -1, 2**64))
 
 
+def give_back() -> None:
+    """Return memory that is free to the system: a worker lives on after its task, next to others."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries keep what is freed, and have this
+    if trim is not None:
+        trim(0)
+
+
 def flat(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts, and where each begins (one entry more than texts)."""
     if isinstance(column, pa.ChunkedArray):

@@ -49,6 +49,8 @@ MOST_SHARED, VERIFY_COST = 8, 20.0
 BUCKET_BYTES = 24 << 20
 #: Candidates a task holds before it adds up those of the same pair and sends them on (some 250 bytes each on the way).
 HELD_PAIRS = 1 << 18
+#: Documents whose shingles a task looks at together, however many come at a time.
+TOGETHER = 10_000
 #: Documents of a shingle that are compared in one group.
 POSTINGS = 1024
 #: Documents in a tile of a large cluster of candidates.
@@ -99,29 +101,35 @@ def _distinct_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
 def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per document (id, size, digest), and rows of shingles that several documents at hand hold."""
     names = ["doc_id", "n", "digest", "token", "df"]
-    for batch in batches:
-        tokens, seen = [], set()
-        for ids, sizes, digests, value, at in _distinct_batches(iter([batch])):
-            none = pa.nulls(len(ids), pa.int64())
-            yield pa.RecordBatch.from_arrays([ids, pa.array(sizes.astype(np.int64)), pa.array(digests, pa.binary()), none, none], names=names)
-            new = np.array([d not in seen and not seen.add(d) for d in digests], bool)
-            tokens.append(value[np.repeat(new, sizes)])
-        if not tokens:
-            continue
+    tokens, seen, held = [], set(), 0
+
+    def counted() -> pa.RecordBatch:
         every = np.concatenate(tokens)
         tokens.clear()
-        every.sort()  # in place: a batch of long documents has tens of megabytes of shingles
+        seen.clear()
+        every.sort()  # in place: long documents have tens of megabytes of shingles together
         first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])) if len(every) else np.zeros(0, np.int64)
         df = np.diff(np.append(first, len(every)))
         some = df > 1
         n = int(some.sum())
-        yield pa.RecordBatch.from_arrays(
+        return pa.RecordBatch.from_arrays(
             [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array(every[first[some]].view(np.int64)), pa.array(df[some])],
             names=names,
         )
-        del every, first, df, some
-    # a worker lives on after its task: what it no longer needs goes back
-    pa.default_memory_pool().release_unused()
+
+    for batch in batches:
+        for ids, sizes, digests, value, at in _distinct_batches(iter([batch])):
+            none = pa.nulls(len(ids), pa.int64())
+            yield pa.RecordBatch.from_arrays([ids, pa.array(sizes.astype(np.int64)), pa.array(digests, pa.binary()), none, none], names=names)
+            new = np.array([d not in seen and not seen.add(d) for d in digests], bool)
+            tokens.append(value[np.repeat(new, sizes)])
+        held += batch.num_rows
+        if held >= TOGETHER:
+            yield counted()
+            held = 0
+    if tokens:
+        yield counted()
+    flat.give_back()
 
 
 def prefixes(value: np.ndarray, at: np.ndarray, hot: np.ndarray, hot_df: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -157,8 +165,21 @@ def _posting_task(buckets: int, hot: np.ndarray, hot_df: np.ndarray):
     names = ["bucket", "tokens", "docs", "sizes", "places", "shared"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for k, batch in enumerate(batches):
-            parts, seen = [], set()
+        parts, seen, held = [], set(), 0
+
+        def packed() -> pa.RecordBatch:
+            bucket, *columns = (np.concatenate(c) for c in zip(*parts))
+            parts.clear()
+            seen.clear()
+            order = np.argsort(bucket, kind="stable")
+            cuts = np.flatnonzero(np.diff(bucket[order])) + 1
+            groups = [g for g in np.split(order, cuts) if len(g)]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([int(bucket[g[0]]) for g in groups], pa.int64())]
+                + [pa.array([flat.squeezed(c[g]) for g in groups], pa.binary()) for c in columns], names=names,
+            )
+
+        for batch in batches:
             for ids, sizes, digests, value, at in _distinct_batches(iter([batch])):
                 text, token, frequent, place, shared = prefixes(value, at, hot, hot_df)
                 # of equal sets in a batch one goes on: the digest links the others
@@ -170,16 +191,13 @@ def _posting_task(buckets: int, hot: np.ndarray, hot_df: np.ndarray):
                 # what is known to be frequent needs no look for company, and is spread by document
                 bucket = np.where(frequent, buckets + (doc & 1023), (token % U(buckets)).astype(np.int64))
                 parts.append((bucket, token, doc.astype(np.int64), sizes[text].astype(np.int32), place.astype(np.int32), shared[text].astype(np.int8)))
-            if not parts:
-                continue
-            bucket, *columns = (np.concatenate(c) for c in zip(*parts))
-            order = np.argsort(bucket, kind="stable")
-            cuts = np.flatnonzero(np.diff(bucket[order])) + 1
-            groups = [g for g in np.split(order, cuts) if len(g)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([int(bucket[g[0]]) for g in groups], pa.int64())]
-                + [pa.array([flat.squeezed(c[g]) for g in groups], pa.binary()) for c in columns], names=names,
-            )
+            held += batch.num_rows
+            if held >= TOGETHER:
+                yield packed()
+                held = 0
+        if parts:
+            yield packed()
+        flat.give_back()
 
     return run
 
@@ -221,6 +239,7 @@ def _sets(short: bool):
                     [*(batch.column(i).slice(a, b - a) for i in range(wide)), pa.array(np.diff(at).astype(np.int64)), pa.array([v.tobytes() for v in each], pa.binary())],
                     names=[*batch.schema.names[:wide], "n", "set"],
                 )
+        flat.give_back()
 
     return run
 
