@@ -136,12 +136,11 @@ def _chunked(rows: DataFrame) -> DataFrame:
     sorted on disk). Rows with null ids are dealt to as many chunks, by the hash they are ordered by.
     """
     wanted = min(MOST_CHUNKS, -(-rows.count() // CHUNK_ROWS)) or 1
-    shares = F.array(*[F.lit(i / wanted) for i in range(1, wanted)]) if wanted < 1000 else F.transform(
-        F.sequence(F.lit(1), F.lit(wanted - 1)), lambda i: i / F.lit(float(wanted))
-    )
     bounds = []
     if wanted > 1:
-        bounds = rows.agg(F.percentile_approx("doc_id", shares, max(10_000, 8 * wanted))).first()[0] or []
+        # percentages have to be a constant, which a function over an array is not; one text, as a call for each takes long
+        shares = F.expr("array(" + ",".join(f"{i / wanted!r}D" for i in range(1, wanted)) + ")")
+        bounds = rows.agg(F.percentile_approx("doc_id", shares, max(10_000, 8 * wanted)).alias("bounds")).first()[0] or []
     down = sorted(set(bounds), reverse=True)
     # one literal once folded, however long
     listed = F.split(F.lit(",".join(map(str, down))), ",").cast("array<bigint>")

@@ -7,6 +7,7 @@ import random
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tallymark.llm import bindings, order_minhash
 from tests.llm.cases import SCHEMA, WORDS, documents, prose
@@ -111,6 +112,18 @@ def test_equal_and_null_ids(spark, monkeypatch, rows_a_chunk):
     assert sorted(r.text for r in got) == sorted(r.next_text for r in got)
 
 
+def test_thousands_of_chunks(spark, monkeypatch):
+    """At 2,048 rows a chunk two million rows make a thousand chunks."""
+    monkeypatch.setattr(order_minhash, "CHUNK_ROWS", 1)
+    rows = [(3 * i - 900, f"text {i}") for i in range(1500)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    down = rows[::-1]
+    got = order_minhash.with_next(frame).select("doc_id", "text", "next_text").collect()
+    assert sorted(map(tuple, got)) == sorted((*a, b[1]) for a, b in zip(down, down[1:] + down[:1]))
+    chunks = order_minhash._chunked(frame.withColumn("tie", F.xxhash64("text"))).groupBy("chunk").count().collect()
+    assert len(chunks) > 1000 and max(r["count"] for r in chunks) <= 3
+
+
 def test_few_rows(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert order_minhash.fingerprint_edits(none).count() == 0
